@@ -124,7 +124,7 @@ def query(*items: str, select: str) -> str:
 
 
 def _r6(expr: str, name: str) -> str:
-    return f"round({expr} * 1000000) / 1000000 AS {name}"
+    return f"round({expr} * 1000000) / 1000000 + 0.0 AS {name}"
 
 
 def analysis(game: str) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import plyscope as ps
@@ -19,8 +19,9 @@ AS_OF = "2024-05-15"
 PLAYER = "CUSTOMER#000000001"
 
 
-def round6(c) -> F.Column:
-    return F.round(F.col(c) * 1000000) / 1000000
+def round6(c: str) -> Column:
+    """Six decimals; adding zero leaves no negative zero behind."""
+    return F.round(F.col(c) * 1000000) / 1000000 + F.lit(0.0)
 
 
 def big(name: str):

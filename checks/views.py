@@ -72,7 +72,7 @@ def _scores() -> dict[str, Column]:
 def moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MV. Runs of 200 events are cut into games of 1, 12, 47 and 140 plies."""
     place = F.col("event_id") % 200
-    block = F.floor(F.col("event_id") / 200).cast("bigint")
+    block = F.expr("event_id div 200")
     part = F.when(place < 1, 0).when(place < 13, 1).when(place < 60, 2).otherwise(3)
     start = F.when(place < 1, 0).when(place < 13, 1).when(place < 60, 13).otherwise(60)
     events = table(spark, sf_dir, "events").select(

@@ -15,6 +15,7 @@ from plyscope.session import land
 
 CHUNK_PLIES = 4096
 MAX_PLY = 2**63 - 1
+BROADCAST_GAMES = 100_000
 
 MEANS = ("ACPL_White", "ACPL_Black", "Game_Accuracy_White", "Game_Accuracy_Black")
 
@@ -24,8 +25,8 @@ def game_window(game: str = "Game_Number", ply: str = "Move_Number"):
     return Window.partitionBy(game).orderBy(F.col(ply).asc_nulls_last())
 
 
-def _scored(ply: Column, ev, w, d, pev, pw, pd_) -> dict[str, Column]:
-    before, after = sc.win_probability(pw, pd_, w, d)
+def _scored(ply: Column, ev: Column, w: Column, d: Column, pev: Column, pw: Column, pd: Column) -> dict[str, Column]:
+    before, after = sc.win_probability(pw, pd, w, d)
     delta = sc.win_delta(before, after)
     return {
         "CentiPawnLoss": sc.centipawn_loss(pev, ev, ply),
@@ -57,14 +58,24 @@ def score_plies(
     mate_policy: str = "verbatim",
     skip_first: bool = False,
     chunk_plies: int = CHUNK_PLIES,
+    long_games: str = "check",
+    ordered: bool = False,
 ) -> DataFrame:
     """Every ply with its loss, win probabilities, accuracy, phase and side means.
 
     One shuffle of the moves, by (game, chunk). Inside a chunk the previous ply
-    comes from a window. Games with more than one chunk get a second, small
-    relation with one row per chunk; it carries the last scores of each chunk to
-    the next one and adds the chunks' sums up. For games of ordinary length that
-    relation is empty, and adaptive execution drops the join to it.
+    comes from a window. Where a game has several chunks, a second, small relation
+    with one row per chunk carries the last scores of each chunk to the next one
+    and adds the chunks' sums up.
+
+    `long_games` says how that relation comes about. `check` first looks for games
+    of more than one chunk, a scan of two columns whose filter reaches the parquet
+    statistics: with none there is no relation, and with some only their rows are
+    read again. `none` asserts there are none, `all` builds it over all rows; both
+    run nothing ahead.
+
+    With `ordered` the shuffle is by range, so that it serves the total order by
+    game and ply as well.
 
     Rows with no previous score count as loss 0 and accuracy 100, unless
     `skip_first` leaves plies without a delta out of the means.
@@ -79,6 +90,61 @@ def score_plies(
         }
     ).withColumn("_chunk", F.expr(f"(_ord - 1) div {int(chunk_plies)}"))
 
+    several = _several_chunks(cut, game, number, chunk_plies, long_games)
+    placed = cut.repartitionByRange(F.col(game).asc_nulls_last(), "_chunk") if ordered else cut
+    rows, measures = _within_chunks(placed, game, number, skip_first)
+    means = {m: F.col(f"_m_{m}") for m in MEANS}
+    before = {c: F.col(f"_{c}") for c in ("pev", "pw", "pd")}
+    if several is not None:
+        bridge = _chunk_bridge(several, measures, game, number, ply, skip_first)
+        rows = rows.join(bridge, [game, "_chunk"], "left")
+        means = {m: F.coalesce(f"_b_{m}", x) for m, x in means.items()}
+        before = {c: F.when(F.col("_head"), F.col(f"_b{c}")).otherwise(x) for c, x in before.items()}
+        rows = rows.withColumns({f"_x{c}": x for c, x in before.items()})
+        before = {c: F.col(f"_x{c}") for c in before}
+    final = _scored(number, F.col("_ev"), F.col("_w"), F.col("_d"), **before)
+    out = rows.withColumns(
+        {
+            "Player_To_Move": sc.player_to_move(ply, "White", "Black"),
+            **final,
+            **{m: sc.round2(x) for m, x in means.items()},
+            "game_phase": sc.game_phase(ply),
+        }
+    )
+    if ordered:
+        out = out.orderBy(F.col(game).asc_nulls_last(), "_chunk", "_ord")
+    own = [c for c in moves.columns if c not in final and c not in MEANS]
+    return out.select(*[F.col(f"`{c}`") for c in own], "Player_To_Move", *final, *MEANS, "game_phase")
+
+
+def _several_chunks(cut: DataFrame, game: str, number: Column, chunk_plies: int, long_games: str) -> DataFrame | None:
+    """Rows of games that may have more than one chunk; None if there are none.
+
+    Few such games are broadcast, by checked count. With more than that, most rows
+    belong to one of them, and no rows are left out.
+    """
+    if long_games == "none":
+        return None
+    if long_games == "all":
+        return cut
+    if long_games != "check":
+        raise ValueError(f"unknown long_games {long_games!r}")
+    # Written on the ply itself, not on the chunk, so that the scan can use it.
+    elsewhere = number.isNull() | (number > chunk_plies) | (number <= 1 - chunk_plies)
+    names = cut.where(elsewhere).select(game).distinct()
+    found = names.limit(BROADCAST_GAMES + 1).count()
+    if found == 0:
+        return None
+    if found > BROADCAST_GAMES:
+        return cut
+    return cut.join(F.broadcast(names), game, "left_semi")
+
+
+def _within_chunks(
+    cut: DataFrame, game: str, number: Column, skip_first: bool
+) -> tuple[DataFrame, dict[str, Column]]:
+    """Rows with the scores of the ply before in the same chunk, and the side means of
+    the chunk. Both windows share one shuffle and one sort."""
     in_chunk = Window.partitionBy(game, "_chunk").orderBy("_ord")
     whole_chunk = Window.partitionBy(game, "_chunk")
     rows = cut.withColumns(
@@ -90,7 +156,6 @@ def score_plies(
         }
     )
     first_pass = _scored(number, *map(F.col, ("_ev", "_w", "_d", "_pev", "_pw", "_pd")))
-    counted = F.col("_delta").isNotNull() if skip_first else None
     rows = rows.withColumns(
         {
             "_loss": first_pass["CentiPawnLoss"],
@@ -98,55 +163,32 @@ def score_plies(
             "_acc": first_pass["move_accuracy"],
         }
     )
+    counted = F.col("_delta").isNotNull() if skip_first else None
     measures = _measures(number, F.col("_loss"), F.col("_acc"), counted)
-    rows = rows.withColumns({f"_m_{m}": F.avg(x).over(whole_chunk) for m, x in measures.items()})
-
-    bridge = _chunk_bridge(cut, rows, measures, game, ply, skip_first)
-    joined = rows.join(bridge, [game, "_chunk"], "left")
-
-    def previous(c: str) -> Column:
-        return F.when(F.col("_head"), F.col(f"_b{c}")).otherwise(F.col(f"_{c}"))
-
-    patched = joined.withColumns({f"_x{c}": previous(c) for c in ("pev", "pw", "pd")})
-    final = _scored(number, *map(F.col, ("_ev", "_w", "_d", "_xpev", "_xpw", "_xpd")))
-    out = patched.withColumns(
-        {
-            "Player_To_Move": sc.player_to_move(ply, "White", "Black"),
-            **final,
-            **{m: sc.round2(F.coalesce(f"_b_{m}", f"_m_{m}")) for m in MEANS},
-            "game_phase": sc.game_phase(ply),
-        }
-    )
-    own = [c for c in moves.columns if c not in final and c not in MEANS]
-    return out.select(*[F.col(f"`{c}`") for c in own], "Player_To_Move", *final, *MEANS, "game_phase")
+    return rows.withColumns({f"_m_{m}": F.avg(x).over(whole_chunk) for m, x in measures.items()}), measures
 
 
 def _chunk_bridge(
-    cut: DataFrame, rows: DataFrame, measures: dict[str, Column], game: str, ply: str, skip_first: bool
+    several: DataFrame, measures: dict[str, Column], game: str, number: Column, ply: str, skip_first: bool
 ) -> DataFrame:
-    """One row per chunk of the games that have several: the scores before its first
-    ply, and the side means of the whole game."""
-    long_games = cut.where(F.col("_chunk") != 0).select(game).distinct()
+    """One row per chunk: the scores before its first ply, and the side means of the
+    whole game. Heads of chunks are left out of the chunk's sums, since their loss
+    is only known here."""
+    rows, _ = _within_chunks(several, game, number, skip_first)
     head = F.col("_head")
     sums = {}
     for m, x in measures.items():
         sums[f"_s_{m}"] = F.sum(F.when(~head, x))
         sums[f"_n_{m}"] = F.count(F.when(~head, x))
-    chunks = (
-        rows.join(long_games, game, "left_semi")
-        .groupBy(game, "_chunk")
-        .agg(
-            F.max(F.when(head, F.col(ply))).alias("_hply"),
-            *[F.max(F.when(head, F.col(f"_{c}"))).alias(f"_h{c}") for c in ("ev", "w", "d")],
-            *[F.max_by(f"_{c}", "_ord").alias(f"_t{c}") for c in ("ev", "w", "d")],
-            *[x.alias(name) for name, x in sums.items()],
-        )
+    chunks = rows.groupBy(game, "_chunk").agg(
+        F.max(F.when(head, F.col(ply))).alias("_hply"),
+        *[F.max(F.when(head, F.col(f"_{c}"))).alias(f"_h{c}") for c in ("ev", "w", "d")],
+        *[F.max_by(f"_{c}", "_ord").alias(f"_t{c}") for c in ("ev", "w", "d")],
+        *[x.alias(name) for name, x in sums.items()],
     )
     by_chunk = Window.partitionBy(game).orderBy("_chunk")
     whole_game = Window.partitionBy(game)
-    chunks = chunks.withColumns(
-        {f"_bp{c}": F.lag(f"_t{c}").over(by_chunk) for c in ("ev", "w", "d")}
-    )
+    chunks = chunks.withColumns({f"_bp{c}": F.lag(f"_t{c}").over(by_chunk) for c in ("ev", "w", "d")})
     heads = _scored(F.col("_hply"), *map(F.col, ("_hev", "_hw", "_hd", "_bpev", "_bpw", "_bpd")))
     counted = heads["delta"].isNotNull() if skip_first else None
     extra = _measures(F.col("_hply"), heads["CentiPawnLoss"], heads["move_accuracy"], counted)

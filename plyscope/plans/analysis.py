@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from plyscope.operators.sequence import ordered as in_order
 from plyscope.operators.sequence import score_plies
 from plyscope.schemas import ANALYSIS_COLUMNS
 
@@ -19,10 +18,9 @@ def move_analysis(
     """One analysed row per ply, with the columns of the analysis table.
 
     `keep` carries more columns along (delta, players, dates), which spares the
-    reports a join back to the moves. `ordered=False` leaves out the total order,
-    and with it a second shuffle; use it for anything but display.
+    reports a join back to the moves. The total order by game and ply costs a pass
+    that samples the keys; `ordered=False` spares it.
     """
-    scored = score_plies(moves, game=game, **options)
+    scored = score_plies(moves, game=game, ordered=ordered, **options)
     columns = [game if c == "Game_Number" else c for c in ANALYSIS_COLUMNS]
-    out = scored.select(*columns, *[c for c in keep if c not in columns])
-    return in_order(out, game) if ordered else out
+    return scored.select(*columns, *[c for c in keep if c not in columns])
