@@ -6,7 +6,7 @@ The pieces below are WITH items; each oracle lists the ones it needs.
 from __future__ import annotations
 
 AS_OF = "2024-05-15"
-CLUB_GAMES = 64
+CLUB_GAMES = 256
 
 _MOVE = """CASE event_type WHEN 'view' THEN 'e4' WHEN 'click' THEN 'Nf3' WHEN 'signup' THEN 'O-O'
     WHEN 'error' THEN 'Bxc6+' WHEN 'purchase' THEN 'e8=Q#' END"""

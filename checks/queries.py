@@ -19,13 +19,13 @@ AS_OF = "2024-05-15"
 PLAYER = "CUSTOMER#000000001"
 
 
-def round6(c: str) -> Column:
+def round6(name: str) -> str:
     """Six decimals; adding zero leaves no negative zero behind."""
-    return F.round(F.col(c) * 1000000) / 1000000 + F.lit(0.0)
+    return f"round({name} * 1000000) / 1000000 + 0D AS {name}"
 
 
-def big(name: str):
-    return F.col(name).cast("bigint").alias(name)
+def big(name: str) -> str:
+    return f"CAST({name} AS BIGINT) AS {name}"
 
 
 def demo_scorer(batches):
@@ -48,6 +48,10 @@ def demo_scorer(batches):
         yield out[part(18, 20) % 32 != 0]
 
 
+def ply() -> Column:
+    return F.col("Move_Number").cast("bigint").alias("Move_Number")
+
+
 def scored(spark: SparkSession, sf: str) -> DataFrame:
     return ps.score_plies(views.moves(spark, sf))
 
@@ -61,13 +65,13 @@ def parsed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def analysis_out(df: DataFrame, game: str = "Game_Number") -> DataFrame:
-    return df.select(
+    return df.selectExpr(
         game,
         big("Move_Number"),
         "Move",
         "CentiPawnLoss",
         "Player_To_Move",
-        round6("move_accuracy").alias("move_accuracy"),
+        round6("move_accuracy"),
         "ACPL_White",
         "ACPL_Black",
         "Game_Accuracy_White",
@@ -78,13 +82,13 @@ def analysis_out(df: DataFrame, game: str = "Game_Number") -> DataFrame:
 
 def moves_flat(df: DataFrame, game: str = "Game_Number") -> DataFrame:
     """Moves without nested columns, so that two engines can compare them."""
-    return df.select(
+    return df.selectExpr(
         game,
         big("Move_Number"),
         "Move",
-        F.col("Evaluation.type").alias("eval_type"),
-        F.col("Evaluation.value").alias("eval_value"),
-        F.array_join(F.col("`WDL Stats`").cast("array<string>"), "/").alias("wdl"),
+        "Evaluation.type AS eval_type",
+        "Evaluation.value AS eval_value",
+        "array_join(CAST(`WDL Stats` AS ARRAY<STRING>), '/') AS wdl",
         "White",
         "Black",
         "End_Date",
@@ -105,7 +109,7 @@ def move_analysis_long_games(spark, sf):
 def eval_fields(spark, sf):
     return views.moves(spark, sf).select(
         "Game_Number",
-        big("Move_Number"),
+        ply(),
         sc.evaluation_type().alias("Evaluation_Type"),
         sc.evaluation_value().alias("Evaluation_Value"),
     )
@@ -114,7 +118,7 @@ def eval_fields(spark, sf):
 def wdl_from_end(spark, sf):
     return views.moves(spark, sf).select(
         "Game_Number",
-        big("Move_Number"),
+        ply(),
         sc.from_end("`WDL Stats`", 3).alias("w"),
         sc.from_end("`WDL Stats`", 2).alias("d"),
     )
@@ -123,31 +127,27 @@ def wdl_from_end(spark, sf):
 def player_to_move(spark, sf):
     return views.moves(spark, sf).select(
         "Game_Number",
-        big("Move_Number"),
-        sc.player_to_move("Move_Number", "White", "Black").alias("Player_To_Move"),
+        ply(),
+        sc.player_to_move().alias("Player_To_Move"),
     )
 
 
 def centipawn_loss(spark, sf):
-    return scored(spark, sf).select("Game_Number", big("Move_Number"), "CentiPawnLoss")
+    return scored(spark, sf).selectExpr("Game_Number", big("Move_Number"), "CentiPawnLoss")
 
 
 def win_probability(spark, sf):
-    return scored(spark, sf).select(
-        "Game_Number",
-        big("Move_Number"),
-        *[round6(c).alias(c) for c in ("wp_before", "wp_after", "delta")],
+    return scored(spark, sf).selectExpr(
+        "Game_Number", big("Move_Number"), *map(round6, ("wp_before", "wp_after", "delta"))
     )
 
 
 def move_accuracy(spark, sf):
-    return scored(spark, sf).select(
-        "Game_Number", big("Move_Number"), round6("move_accuracy").alias("move_accuracy")
-    )
+    return scored(spark, sf).selectExpr("Game_Number", big("Move_Number"), round6("move_accuracy"))
 
 
 def game_phase(spark, sf):
-    return views.moves(spark, sf).select("Game_Number", big("Move_Number"), sc.game_phase().alias("game_phase"))
+    return views.moves(spark, sf).select("Game_Number", ply(), sc.game_phase().alias("game_phase"))
 
 
 def side_aggregates(spark, sf):
@@ -203,7 +203,7 @@ def games_to_review(spark, sf):
 def analysis_context(spark, sf):
     mv = views.moves(spark, sf)
     joined = ps.with_game_context(ps.move_analysis(mv, ordered=False), mv)
-    return joined.select(
+    return joined.selectExpr(
         "Game_Number", big("Move_Number"), "CentiPawnLoss", "Game_Link", "White", "Black", "End_Date"
     )
 
@@ -212,27 +212,30 @@ def analysis_context(spark, sf):
 
 
 def game_headers(spark, sf):
-    return ps.game_headers(parsed(spark, sf), keep=("Game_Number",)).select(
+    return ps.game_headers(parsed(spark, sf), keep=("Game_Number",)).selectExpr(
         "Game_Number", *HEADER_TAGS, big("ply_count")
     )
 
 
 def game_plies(spark, sf):
-    return ps.game_plies(parsed(spark, sf), keep=("Game_Number",)).select("Game_Number", big("Move_Number"), "Move")
+    return ps.game_plies(parsed(spark, sf), keep=("Game_Number",)).selectExpr(
+        "Game_Number", big("Move_Number"), "Move"
+    )
 
 
 def ply_count(spark, sf):
-    return parsed(spark, sf).select("Game_Number", big("ply_count"))
+    return parsed(spark, sf).selectExpr("Game_Number", big("ply_count"))
 
 
 def quarantine(spark, sf):
     good, aside = ps.split_quarantine(ps.parse_games(views.game_texts(spark, sf)))
     columns = ("Game_Number", "reason", "missing_headers")
-    return good.withColumn("reason", F.lit(None).cast("string")).select(*columns).unionByName(aside.select(*columns))
+    whole = good.selectExpr("Game_Number", "CAST(NULL AS STRING) AS reason", "missing_headers")
+    return whole.unionByName(aside.select(*columns))
 
 
 def moves_fact(spark, sf):
-    return ps.build_moves(parsed(spark, sf), keep=("Game_Number",)).select(
+    return ps.build_moves(parsed(spark, sf), keep=("Game_Number",)).selectExpr(
         "Game_Number", "Game_Link", big("Move_Number"), "Move", "White", "Black",
         "Start_Date", "Start_Time", "End_Date", "End_Time", "Result", "position",
     )
@@ -247,12 +250,11 @@ def score_join(spark, sf):
     """Scores come from a table: the last event's scores for each written move."""
     mv = views.moves(spark, sf).withColumn("position", F.col("Move"))
     latest = views.table(spark, sf, "events").groupBy("event_type").agg(F.max("event_id").alias("n"))
-    of_move = F.create_map(*[F.lit(x) for kv in views.MOVE_OF_EVENT.items() for x in kv])
-    scores = latest.where(F.col("event_type") != "signup").select(
-        of_move[F.col("event_type")].alias("position"),
-        F.lit("cp").alias("eval_type"),
-        (F.col("n") % 601 - 300).alias("eval_value"),
-        F.array(F.col("n") % 500, F.lit(200).cast("bigint"), 800 - F.col("n") % 500).alias("wdl"),
+    scores = latest.where("event_type <> 'signup'").selectExpr(
+        f"{views.MOVE} AS position",
+        "'cp' AS eval_type",
+        "n % 601 - 300 AS eval_value",
+        "array(n % 500, 200L, 800 - n % 500) AS wdl",
     )
     return moves_flat(ps.score_join(mv.drop("Evaluation", "WDL Stats"), scores))
 
@@ -268,7 +270,7 @@ def game_numbering(spark, sf):
 def month_keys(spark, sf):
     players = views.table(spark, sf, "customer").select(F.col("c_name").alias("player"))
     keys = ps.month_keys(players, AS_OF)
-    return keys.select("player", big("year"), "month_of_year", "month")
+    return keys.selectExpr("player", big("year"), "month_of_year", "month")
 
 
 def archive_flatten(spark, sf):
@@ -285,9 +287,7 @@ def clean_games(spark, sf):
 
 def archive_gaps(spark, sf):
     path = views.archive(spark, sf)
-    players = views.moves(spark, sf).select(
-        F.concat(F.lit("club"), F.floor(F.col("Game_Number") / views.CLUB_GAMES).cast("string")).alias("player")
-    ).distinct()
+    players = views.moves(spark, sf).selectExpr(f"{views.CLUB} AS player").distinct()
     gaps = ps.archive_gaps(ps.month_keys(players, AS_OF), ps.read_archive(spark, path))
     return gaps.select("player", "month")
 

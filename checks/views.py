@@ -5,7 +5,7 @@ The views are plain projections of `events`, or keyed on a game of bounded lengt
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plyscope.session import shared_dir
@@ -18,69 +18,61 @@ MOVE_OF_EVENT = {
     "error": "Bxc6+",
     "purchase": "e8=Q#",
 }
-CLUB_GAMES = 64
+CLUB_GAMES = 256
+CLUB = f"concat('club', Game_Number div {CLUB_GAMES})"
 NO_GAME_TEXT = "not a game record"
 
+MOVE = "CASE event_type " + " ".join(f"WHEN '{e}' THEN '{m}'" for e, m in MOVE_OF_EVENT.items()) + " END"
+
+# Players, dates and result of a game, from its number alone.
+_DIMENSION = {
+    "White": "concat('Customer#', lpad(Game_Number div 8, 9, '0'))",
+    "Black": "concat('Customer#', lpad(Game_Number div 8 + 1 + Game_Number % 5, 9, '0'))",
+    "Start_Date": "date_format(_day, 'yyyy.MM.dd')",
+    "Start_Time": "concat(lpad(Game_Number % 24, 2, '0'), ':00:00')",
+    "End_Date": "date_format(_day, 'yyyy.MM.dd')",
+    "End_Time": "concat(lpad(Game_Number % 24, 2, '0'), ':45:00')",
+    "Result": "CASE Game_Number % 3 WHEN 0 THEN '1-0' WHEN 1 THEN '0-1' ELSE '1/2-1/2' END",
+}
+GAME_COLUMNS = ("Game_Number", "Game_Link", *_DIMENSION)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _move() -> Column:
-    out = None
-    for event, move in MOVE_OF_EVENT.items():
-        is_event = F.col("event_type") == event
-        out = F.when(is_event, move) if out is None else out.when(is_event, move)
-    return out
-
-
-def _customer(key: Column) -> Column:
-    return F.concat(F.lit("Customer#"), F.lpad(key.cast("string"), 9, "0"))
-
-
-def _dimension(number: Column) -> dict[str, Column]:
-    """Players, dates and result of a game, from its number alone."""
-    host = F.floor(number / 8).cast("bigint")
-    day = F.date_add(F.lit("2023-01-01").cast("date"), (number * 11 % 500).cast("int"))
-    return {
-        "Game_Link": F.concat(F.lit("g/"), number.cast("string")),
-        "White": _customer(host),
-        "Black": _customer(host + 1 + number % 5),
-        "Start_Date": F.date_format(day, "yyyy.MM.dd"),
-        "Start_Time": F.concat(F.lpad((number % 24).cast("string"), 2, "0"), F.lit(":00:00")),
-        "End_Date": F.date_format(day, "yyyy.MM.dd"),
-        "End_Time": F.concat(F.lpad((number % 24).cast("string"), 2, "0"), F.lit(":45:00")),
-        "Result": F.when(number % 3 == 0, "1-0").when(number % 3 == 1, "0-1").otherwise("1/2-1/2"),
-    }
-
-
-def _scores() -> dict[str, Column]:
-    value = F.floor(F.col("value") * 10) % 601 - 300
-    w = F.floor(F.col("value") * 100) % 801
-    d = F.floor(F.col("value") * 1000) % 200
-    missing = F.col("event_id") % 97 == 0
-    kind = F.when(F.col("event_id") % 50 == 0, "mate").otherwise("cp")
-    short = F.col("event_id") % 53 == 0
-    return {
-        "Evaluation": F.when(~missing, F.struct(kind.alias("type"), value.alias("value"))),
-        "WDL Stats": F.when(~missing & short, F.array(w, d)).when(
-            ~missing, F.array(w, d, F.lit(1000) - w - d)
-        ),
-    }
+def _as_moves(events: DataFrame) -> DataFrame:
+    """Moves from events that already have a game and a ply number."""
+    return events.selectExpr(
+        "*",
+        "floor(value * 10) % 601 - 300 AS _x",
+        "floor(value * 100) % 801 AS _w",
+        "floor(value * 1000) % 200 AS _d",
+        "date_add(DATE '2023-01-01', CAST(Game_Number * 11 % 500 AS INT)) AS _day",
+    ).selectExpr(
+        "Game_Number",
+        "concat('g/', Game_Number) AS Game_Link",
+        "Move_Number",
+        f"{MOVE} AS Move",
+        """CASE WHEN event_id % 97 <> 0 THEN
+             named_struct('type', CASE WHEN event_id % 50 = 0 THEN 'mate' ELSE 'cp' END, 'value', _x) END AS Evaluation""",
+        """CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 53 = 0 THEN array(_w, _d)
+             ELSE array(_w, _d, 1000 - _w - _d) END AS `WDL Stats`""",
+        *[f"{x} AS {name}" for name, x in _DIMENSION.items()],
+    )
 
 
 def moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MV. Runs of 200 events are cut into games of 1, 12, 47 and 140 plies."""
-    place = F.col("event_id") % 200
-    block = F.expr("event_id div 200")
-    part = F.when(place < 1, 0).when(place < 13, 1).when(place < 60, 2).otherwise(3)
-    start = F.when(place < 1, 0).when(place < 13, 1).when(place < 60, 13).otherwise(60)
-    events = table(spark, sf_dir, "events").select(
+    place = "event_id % 200"
+    events = table(spark, sf_dir, "events").selectExpr(
         "event_id",
         "event_type",
         "value",
-        (block * 4 + part + 1).alias("Game_Number"),
-        (place - start + 1).cast("int").alias("Move_Number"),
+        f"""event_id div 200 * 4 + CASE WHEN {place} < 1 THEN 1 WHEN {place} < 13 THEN 2
+            WHEN {place} < 60 THEN 3 ELSE 4 END AS Game_Number""",
+        f"""CAST({place} + CASE WHEN {place} < 1 THEN 1 WHEN {place} < 13 THEN 0
+            WHEN {place} < 60 THEN -12 ELSE -59 END AS INT) AS Move_Number""",
     )
     return _as_moves(events)
 
@@ -88,117 +80,90 @@ def moves(spark: SparkSession, sf_dir: str) -> DataFrame:
 def long_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HV. One game per event type: five games that hold all rows, with gaps between
     the ply numbers."""
-    names = list(MOVE_OF_EVENT)
-    number = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("event_type"))
-    events = table(spark, sf_dir, "events").select(
+    numbers = " ".join(f"WHEN '{e}' THEN {i}L" for i, e in enumerate(MOVE_OF_EVENT, 1))
+    events = table(spark, sf_dir, "events").selectExpr(
         "event_id",
         "event_type",
         "value",
-        number.alias("Game_Number"),
-        (F.col("event_id") + 1).alias("Move_Number"),
+        f"CASE event_type {numbers} END AS Game_Number",
+        "event_id + 1 AS Move_Number",
     )
     return _as_moves(events)
 
 
-def _as_moves(events: DataFrame) -> DataFrame:
-    dims = _dimension(F.col("Game_Number"))
-    scores = _scores()
-    return events.select(
-        "Game_Number",
-        dims["Game_Link"].alias("Game_Link"),
-        "Move_Number",
-        _move().alias("Move"),
-        *[c.alias(n) for n, c in scores.items()],
-        *[dims[n].alias(n) for n in ("White", "Black", "Start_Date", "Start_Time", "End_Date", "End_Time", "Result")],
-    )
-
-
 def opening_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sequence of up to three first moves that occurs, but for those that
     begin with castling and have two moves; the name is the sequence, bracketed."""
-    first = moves(spark, sf_dir).where(F.col("Move_Number") <= 3)
+    first = moves(spark, sf_dir).where("Move_Number <= 3")
     per_game = first.groupBy("Game_Number").agg(
-        *[F.max(F.when(F.col("Move_Number") == i, F.col("Move"))).alias(f"m{i}") for i in (1, 2, 3)]
+        *[F.expr(f"max(CASE WHEN Move_Number = {i} THEN Move END)").alias(f"m{i}") for i in (1, 2, 3)]
     )
-    lengths = [F.concat_ws(" ", *[F.col(f"m{i}") for i in range(1, n + 1)]) for n in (1, 2, 3)]
     return (
-        per_game.select(F.explode(F.array(*lengths)).alias("moves"))
+        per_game.selectExpr(
+            "explode(array(m1, concat_ws(' ', m1, m2), concat_ws(' ', m1, m2, m3))) AS moves"
+        )
         .distinct()
-        .where(~((F.size(F.split("moves", " ")) == 2) & F.col("moves").startswith("O-O")))
-        .withColumn("name", F.concat(F.lit("<"), "moves", F.lit(">")))
+        .where("NOT (size(split(moves, ' ')) = 2 AND startswith(moves, 'O-O'))")
+        .selectExpr("moves", "concat('<', moves, '>') AS name")
     )
 
 
+# One ply as written in a text. The aside nests four deep and has a comment with a
+# closing parenthesis in it.
+_ASIDE = " (1. d4 {alt (really) 1. a3} (1. c4 (1. Nf3 d5 (1. g3)) e5) d5 $1 {)})"
+_WRITTEN = f"""transform(plies, p -> concat(
+  CASE WHEN p.Move_Number % 2 = 1 THEN concat((p.Move_Number + 1) div 2, '. ')
+    WHEN Game_Number % 2 = 0 THEN concat((p.Move_Number + 1) div 2, '... ') ELSE '' END,
+  p.Move,
+  CASE WHEN Game_Number % 3 = 0 THEN '!?' ELSE '' END,
+  CASE WHEN Game_Number % 2 = 0 THEN ' {{[%clk 0:09:58] fine (h3)}}' ELSE '' END,
+  CASE WHEN Game_Number % 5 = 0 AND p.Move_Number = 1 THEN '{_ASIDE}' ELSE '' END,
+  CASE WHEN p.Move_Number % 20 = 0 THEN '\\n' ELSE ' ' END))"""
+
+
+def _tag(name: str, column: str) -> str:
+    return f"""'[{name} "', {column}, '"]\\n'"""
+
+
+_TEXT = f"""concat(
+  CASE WHEN Game_Number % 7 = 0 THEN '[Event "Say \\\\"hi\\\\" [x]"]\\n[White "overruled"]\\n' ELSE '' END,
+  {_tag("White", "White")}, {_tag("Black", "Black")}, {_tag("Date", "Start_Date")}, {_tag("StartTime", "Start_Time")},
+  {_tag("EndDate", "End_Date")}, {_tag("EndTime", "End_Time")},
+  CASE WHEN Game_Number % 17 = 0 THEN '' ELSE concat({_tag("Link", "Game_Link")}) END,
+  {_tag("Result", "Result")}, '\\n',
+  trim(array_join({_WRITTEN}, '')),
+  CASE WHEN Game_Number % 9 = 0 THEN ' ; e4 is {{no part\\n' ELSE ' ' END,
+  Result,
+  CASE WHEN Game_Number % 10 = 0 THEN '\\n\\n[White "second game"]\\n\\n1. a4 a5 *' ELSE '\\n' END)"""
+
+
 def game_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TX. One text per MV game, of at most 140 plies."""
-    mv = moves(spark, sf_dir)
-    game = F.col("Game_Number")
-    per_game = mv.groupBy(
-        "Game_Number", "Game_Link", "White", "Black", "Start_Date", "Start_Time", "End_Date", "End_Time", "Result"
-    ).agg(F.sort_array(F.collect_list(F.struct("Move_Number", "Move"))).alias("plies"))
-    clocked = game % 2 == 0
-    no_link = (game % 17 == 0) & (game % 11 != 0) & (game % 13 != 0)
-
-    def tag(name: str, column: str) -> Column:
-        return F.concat(F.lit(f'[{name} "'), F.col(column), F.lit('"]\n'))
-
-    def written(ply: Column) -> Column:
-        n = ply["Move_Number"]
-        turn = F.floor((n + 1) / 2).cast("string")
-        lead = F.when(n % 2 == 1, F.concat(turn, F.lit(". "))).when(
-            clocked, F.concat(turn, F.lit("... "))
-        )
-        aside = F.lit(" (1. d4 {alt (really) 1. a3} (1. c4 (1. Nf3 d5 (1. g3)) e5) d5 $1 {)})")
-        return F.concat(
-            F.coalesce(lead, F.lit("")),
-            ply["Move"],
-            F.when(game % 3 == 0, "!?").otherwise(""),
-            F.when(clocked, " {[%clk 0:09:58] fine (h3)}").otherwise(""),
-            F.when((game % 5 == 0) & (n == 1), aside).otherwise(""),
-            F.when(n % 20 == 0, "\n").otherwise(" "),
-        )
-
-    text = F.concat(
-        F.when(game % 7 == 0, '[Event "Say \\"hi\\" [x]"]\n[White "overruled"]\n').otherwise(""),
-        tag("White", "White"),
-        tag("Black", "Black"),
-        tag("Date", "Start_Date"),
-        tag("StartTime", "Start_Time"),
-        tag("EndDate", "End_Date"),
-        tag("EndTime", "End_Time"),
-        F.when(no_link, "").otherwise(tag("Link", "Game_Link")),
-        tag("Result", "Result"),
-        F.lit("\n"),
-        F.trim(F.array_join(F.transform("plies", written), "")),
-        F.when(game % 9 == 0, " ; e4 is {no part\n").otherwise(" "),
-        F.col("Result"),
-        F.when(game % 10 == 0, '\n\n[White "second game"]\n\n1. a4 a5 *').otherwise("\n"),
+    per_game = moves(spark, sf_dir).groupBy(*GAME_COLUMNS).agg(
+        F.expr("sort_array(collect_list(struct(Move_Number, Move)))").alias("plies")
     )
-    pgn = F.when(game % 11 == 0, None).when(game % 13 == 0, NO_GAME_TEXT).otherwise(text)
-    day = F.datediff(F.to_date("End_Date", "yyyy.MM.dd"), F.lit("1970-01-01").cast("date"))
-    end = day.cast("bigint") * 86400 + game % 24 * 3600 + 2700
-    return per_game.select(
+    return per_game.selectExpr(
         "Game_Number",
-        F.concat(F.lit("club"), F.floor(game / CLUB_GAMES).cast("string")).alias("player"),
-        F.concat(F.substring("End_Date", 1, 4), F.lit("-"), F.substring("End_Date", 6, 2)).alias("month"),
-        F.concat(F.lit("u/"), game.cast("string")).alias("url"),
-        pgn.alias("pgn"),
-        end.alias("end_time"),
+        f"{CLUB} AS player",
+        "concat(substring(End_Date, 1, 4), '-', substring(End_Date, 6, 2)) AS month",
+        "concat('u/', Game_Number) AS url",
+        f"""CASE WHEN Game_Number % 11 = 0 THEN NULL WHEN Game_Number % 13 = 0 THEN '{NO_GAME_TEXT}'
+            ELSE {_TEXT} END AS pgn""",
+        """CAST(datediff(to_date(End_Date, 'yyyy.MM.dd'), DATE '1970-01-01') AS BIGINT) * 86400
+           + Game_Number % 24 * 3600 + 2700 AS end_time""",
     )
 
 
 def write_archive(texts: DataFrame, path: str, marks: bool = True) -> str:
     """AJ. Lands `player=/month=` documents; with `marks` also a month without games
     and one that is not JSON."""
-    game = F.struct("url", "pgn", "end_time")
     docs = texts.groupBy("player", "month").agg(
-        F.to_json(F.struct(F.sort_array(F.collect_list(game)).alias("games"))).alias("value")
+        F.expr("to_json(named_struct('games', sort_array(collect_list(struct(url, pgn, end_time)))))").alias("value")
     )
     if marks:
-        extra = [("club0", "2022-12", '{"games": []}'), ("club0", "2022-11", '{"games": [{"pgn')]
-        docs = docs.unionByName(
-            texts.sparkSession.createDataFrame(extra, "player string, month string, value string")
-        )
+        extra = """SELECT * FROM VALUES ('club0', '2022-12', '{"games": []}'), ('club0', '2022-11', '{"games": [{"pgn')
+            AS t(player, month, value)"""
+        docs = docs.unionByName(texts.sparkSession.sql(extra))
     docs.write.mode("append").partitionBy("player", "month").text(path)
     return path
 

@@ -1,2 +1 @@
 from .scoring import *  # noqa: F401,F403
-from .text import headers, mainline, move_tokens, movetext, position_keys  # noqa: F401

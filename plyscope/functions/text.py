@@ -1,9 +1,9 @@
-"""Column expressions that read game text. No Python runs per row."""
+"""SQL expressions that read game text. No Python runs per row.
 
-from __future__ import annotations
+Like the scoring expressions, they take and give SQL text.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 # The tags that are kept.
 HEADER_TAGS = ("White", "Black", "Date", "StartTime", "EndDate", "EndTime", "Link", "Result")
@@ -18,6 +18,9 @@ TAG_LINE = r'(?m)^\s*\[([A-Za-z0-9][\w+#=:-]*)\s+"([^"\\\n]*(?:\\.[^"\\\n]*)*)"\
 COMMENT = r"(?m)\{[^}]*(?:\}|\z)|;[^\n]*|^%[^\n]*"
 COMMENT_MARK = "~"
 
+# Lines up to a blank one.
+PARAGRAPH = r"\A\s*((?:[^\n]+(?:\n(?![ \t\r]*(?:\n|\z)))?)*+)"
+
 PARENTHESIS_OR_RUN = r"[()]|[^()]+"
 
 # One written move: castling, piece or pawn move, drop, or null move.
@@ -30,66 +33,58 @@ MOVE = (
 )
 
 
-def tag_block(pgn: Column) -> Column:
-    return F.regexp_extract(pgn, TAG_BLOCK, 1)
+def _extract_all(text: str, pattern: str, group: int) -> str:
+    return f"regexp_extract_all({text}, r'{pattern}', {group})"
+
+
+def tag_block_sql(pgn: str = "pgn") -> str:
+    return f"regexp_extract({pgn}, r'{TAG_BLOCK}', 1)"
+
+
+def tag_names_sql(block: str) -> str:
+    """Tags from the last to the first, so that the last of a repeated tag is found."""
+    return f"reverse({_extract_all(block, TAG_LINE, 1)})"
 
 
-def headers(pgn: Column) -> Column:
+def tag_values_sql(block: str) -> str:
+    return f"reverse({_extract_all(block, TAG_LINE, 2)})"
+
+
+def headers_sql(names: str, values: str) -> str:
     """Tag map. A repeated tag keeps its last value, and escapes are undone."""
-    block = tag_block(pgn)
-    keys = F.reverse(F.regexp_extract_all(block, F.lit(TAG_LINE), F.lit(1)))
-    values = F.reverse(F.regexp_extract_all(block, F.lit(TAG_LINE), F.lit(2)))
-    names = F.array_distinct(keys)
-    return F.map_from_arrays(
-        names,
-        F.transform(
-            names,
-            lambda k: F.regexp_replace(
-                F.get(values, F.array_position(keys, k).cast("int") - 1), r"\\(.)", "$1"
-            ),
-        ),
-    )
+    value = f"get({values}, CAST(array_position({names}, k) AS INT) - 1)"
+    distinct = f"array_distinct({names})"
+    return f"map_from_arrays({distinct}, transform({distinct}, k -> regexp_replace({value}, r'\\\\(.)', '$1')))"
 
 
-def movetext(pgn: Column) -> Column:
+def movetext_sql(pgn: str = "pgn") -> str:
     """Text after the tags, without comments, up to the blank line that ends a game."""
-    rest = F.regexp_replace(pgn, TAG_BLOCK, "")
-    bare = F.regexp_replace(rest, COMMENT, COMMENT_MARK)
-    return F.regexp_extract(bare, r"\A\s*((?:[^\n]+(?:\n(?![ \t\r]*(?:\n|\z)))?)*+)", 1)
+    rest = f"regexp_replace({pgn}, r'{TAG_BLOCK}', '')"
+    bare = f"regexp_replace({rest}, r'{COMMENT}', '{COMMENT_MARK}')"
+    return f"regexp_extract({bare}, r'{PARAGRAPH}', 1)"
 
 
-def mainline(text: Column) -> Column:
+def mainline_sql(text: str) -> str:
     """Text outside all parentheses, at any depth of nesting.
 
     Only texts with a parenthesis take the walk, and it steps over whole runs
     between parentheses, not over characters.
     """
-    runs = F.regexp_extract_all(text, F.lit(PARENTHESIS_OR_RUN), F.lit(0))
-    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("kept"))
-
-    def step(state: Column, run: Column) -> Column:
-        depth = state["depth"]
-        return F.struct(
-            F.when(run == "(", depth + 1)
-            .when(run == ")", F.greatest(depth - 1, F.lit(0)))
-            .otherwise(depth)
-            .alias("depth"),
-            F.when((depth == 0) & ~run.isin("(", ")"), F.concat(state["kept"], F.lit(" "), run))
-            .otherwise(state["kept"])
-            .alias("kept"),
-        )
-
-    walked = F.aggregate(runs, start, step, lambda state: state["kept"])
-    return F.when(F.contains(text, F.lit("(")) | F.contains(text, F.lit(")")), walked).otherwise(text)
-
-
-def move_tokens(pgn: Column) -> Column:
+    depth = "CASE x WHEN '(' THEN s.depth + 1 WHEN ')' THEN greatest(s.depth - 1, 0) ELSE s.depth END"
+    kept = "CASE WHEN s.depth = 0 AND x NOT IN ('(', ')') THEN concat(s.kept, ' ', x) ELSE s.kept END"
+    walked = (
+        f"aggregate({_extract_all(text, PARENTHESIS_OR_RUN, 0)}, named_struct('depth', 0, 'kept', ''), "
+        f"(s, x) -> named_struct('depth', {depth}, 'kept', {kept}), s -> s.kept)"
+    )
+    return f"CASE WHEN contains({text}, '(') OR contains({text}, ')') THEN {walked} ELSE {text} END"
+
+
+def move_tokens_sql(movetext: str) -> str:
     """Ordered mainline moves as written, empty for text that is no game."""
-    return F.regexp_extract_all(mainline(movetext(pgn)), F.lit(MOVE), F.lit(0))
+    return _extract_all(mainline_sql(movetext), MOVE, 0)
 
 
-def position_keys(tokens: Column) -> Column:
-    """Key of the position after each ply: digest of the moves that led to it."""
-    return F.transform(
-        tokens, lambda _, i: F.md5(F.array_join(F.slice(tokens, F.lit(1), i + 1), " "))
-    )
+def plies_sql(tokens: str = "tokens") -> str:
+    """Each move with the key of the position after it, a digest of the moves so far."""
+    so_far = f"array_join(slice({tokens}, 1, i + 1), ' ')"
+    return f"transform({tokens}, (t, i) -> named_struct('Move', t, 'position', md5({so_far})))"

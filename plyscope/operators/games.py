@@ -7,10 +7,45 @@ from pyspark.sql import functions as F
 
 from plyscope.functions import text as tx
 
+# Where each column of the moves fact comes from.
+COLUMN_TAGS = {
+    "Game_Link": "Link",
+    "White": "White",
+    "Black": "Black",
+    "Start_Date": "Date",
+    "Start_Time": "StartTime",
+    "End_Date": "EndDate",
+    "End_Time": "EndTime",
+    "Result": "Result",
+}
 
-def game_key(link: Column, pgn: Column) -> Column:
-    """Stable key: the link, else a digest of the text."""
-    return F.coalesce(link, F.concat(F.lit("md5:"), F.md5(pgn)))
+
+def header_sql(tag: str) -> str:
+    return f"try_element_at(headers, '{tag}')"
+
+
+# Stable key of a game: the link, else a digest of the text.
+GAME_KEY = f"coalesce({header_sql('Link')}, concat('md5:', md5(pgn)))"
+
+# Names of required tags a game lacks, joined; empty when none is missing.
+MISSING_HEADERS = "concat_ws(',', {})".format(
+    ", ".join(f"CASE WHEN {header_sql(t)} IS NULL THEN '{t}' END" for t in tx.REQUIRED_TAGS)
+)
+
+# Why a game yields no plies; NULL for a game that does. A missing tag does not cost
+# the game its plies: the column is NULL there, and `missing_headers` names it.
+REASON = "CASE WHEN pgn IS NULL THEN 'no_text' WHEN ply_count <= 0 THEN 'no_moves' END"
+
+
+def with_headers(games: DataFrame) -> DataFrame:
+    """Adds the tag map of `pgn`. Each step is a column of its own, so that no text is
+    searched twice."""
+    own = games.columns
+    return (
+        games.selectExpr("*", f"{tx.tag_block_sql('pgn')} AS _block")
+        .selectExpr(*own, f"{tx.tag_names_sql('_block')} AS _names", f"{tx.tag_values_sql('_block')} AS _values")
+        .selectExpr(*own, f"{tx.headers_sql('_names', '_values')} AS headers")
+    )
 
 
 def distinct_games(games: DataFrame, latest: str = "end_time") -> DataFrame:
@@ -20,13 +55,13 @@ def distinct_games(games: DataFrame, latest: str = "end_time") -> DataFrame:
     delivered very often reaches the last task as one row per earlier task.
     """
     rest = [c for c in games.columns if c not in (latest, "pgn")]
-    link = F.try_element_at(tx.headers(F.col("pgn")), F.lit("Link"))
-    copy = F.struct(latest, "pgn", *rest)
+    copy = ", ".join(f"`{c}`" for c in (latest, "pgn", *rest))
     return (
-        games.select(game_key(link, F.col("pgn")).alias("game_key"), copy.alias("g"))
+        with_headers(games)
+        .selectExpr(f"{GAME_KEY} AS game_key", f"struct({copy}) AS g")
         .groupBy("game_key")
-        .agg(F.max("g").alias("g"))
-        .select("game_key", "g.*")
+        .agg({"g": "max"})
+        .selectExpr("game_key", "`max(g)`.*")
     )
 
 
@@ -35,60 +70,38 @@ def parse_games(games: DataFrame) -> DataFrame:
 
     One game in, one row out: no shuffle.
     """
-    parsed = games.withColumns(
-        {"headers": tx.headers(F.col("pgn")), "tokens": tx.move_tokens(F.col("pgn"))}
-    )
-    return parsed.withColumns(
-        {
-            "ply_count": ply_count(F.col("tokens")),
-            "game_key": game_key(header("Link"), F.col("pgn")),
-        }
+    own = [c for c in games.columns if c != "game_key"]
+    return (
+        with_headers(games)
+        .selectExpr(*own, "headers", f"{tx.movetext_sql('pgn')} AS _movetext")
+        .selectExpr(*own, "headers", f"{GAME_KEY} AS game_key", f"{tx.move_tokens_sql('_movetext')} AS tokens")
+        .withColumn("ply_count", ply_count())
     )
 
 
-def header(tag: str) -> Column:
-    return F.try_element_at(F.col("headers"), F.lit(tag))
-
-
-def ply_count(tokens: Column) -> Column:
+def ply_count(tokens: str = "tokens") -> Column:
+    """Half-moves of a game, before it becomes one row per half-move."""
     return F.size(tokens)
 
 
 def game_headers(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per game with its tags as columns; a missing tag is NULL."""
-    return parsed.select(
-        "game_key", *keep, *[header(t).alias(t) for t in tx.HEADER_TAGS], "ply_count"
+    return parsed.selectExpr(
+        "game_key", *keep, *[f"{header_sql(t)} AS {t}" for t in tx.HEADER_TAGS], "ply_count"
     )
 
 
 def game_plies(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per half-move, numbered from 1."""
-    return parsed.select("game_key", *keep, F.posexplode("tokens").alias("_pos", "Move")).select(
-        "game_key", *keep, (F.col("_pos") + 1).alias("Move_Number"), "Move"
+    return parsed.selectExpr("game_key", *keep, "posexplode(tokens) AS (_pos, Move)").selectExpr(
+        "game_key", *keep, "_pos + 1 AS Move_Number", "Move"
     )
 
 
-def missing_headers() -> Column:
-    """Names of required tags a game lacks, joined; empty when none is missing."""
-    return F.concat_ws(",", *[F.when(header(t).isNull(), t) for t in tx.REQUIRED_TAGS])
-
-
-def quarantine_reason() -> Column:
-    """Why a game yields no plies; NULL for a game that does.
-
-    A missing tag does not cost the game its plies: the column is NULL there,
-    and `missing_headers` names it.
-    """
-    return F.when(F.col("pgn").isNull(), "no_text").when(F.col("ply_count") <= 0, "no_moves")
-
-
 def split_quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(games with plies, games set aside with `reason`), disjoint and complete."""
-    tagged = parsed.withColumns(
-        {"reason": quarantine_reason(), "missing_headers": missing_headers()}
-    )
-    good = tagged.where(F.col("reason").isNull()).drop("reason")
-    return good, tagged.where(F.col("reason").isNotNull())
+    tagged = parsed.selectExpr("*", f"{REASON} AS reason", f"{MISSING_HEADERS} AS missing_headers")
+    return tagged.where("reason IS NULL").drop("reason"), tagged.where("reason IS NOT NULL")
 
 
 def build_moves(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -97,31 +110,16 @@ def build_moves(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     `position` names the position after the ply, so that equal openings can be
     scored once. Headers ride along through the explode; there is no join.
     """
-    rows = F.posexplode(F.arrays_zip(F.col("tokens"), tx.position_keys(F.col("tokens")).alias("position")))
-    return parsed.select(
+    return parsed.selectExpr(
         "game_key",
         *keep,
-        header("Link").alias("Game_Link"),
-        header("White").alias("White"),
-        header("Black").alias("Black"),
-        header("Date").alias("Start_Date"),
-        header("StartTime").alias("Start_Time"),
-        header("EndDate").alias("End_Date"),
-        header("EndTime").alias("End_Time"),
-        header("Result").alias("Result"),
-        rows.alias("_pos", "_ply"),
-    ).select(
+        *[f"{header_sql(tag)} AS {column}" for column, tag in COLUMN_TAGS.items()],
+        f"posexplode({tx.plies_sql()}) AS (_pos, _ply)",
+    ).selectExpr(
         "game_key",
         *keep,
         "Game_Link",
-        (F.col("_pos") + 1).alias("Move_Number"),
-        F.col("_ply.tokens").alias("Move"),
-        F.col("_ply.position").alias("position"),
-        "White",
-        "Black",
-        "Start_Date",
-        "Start_Time",
-        "End_Date",
-        "End_Time",
-        "Result",
+        "_pos + 1 AS Move_Number",
+        "_ply.*",
+        *[c for c in COLUMN_TAGS if c != "Game_Link"],
     )

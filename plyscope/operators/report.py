@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plyscope.functions import scoring as sc
@@ -17,81 +17,76 @@ from plyscope.functions import scoring as sc
 PHASES = ("opening", "middlegame", "endgame")
 BROADCAST_ROWS = 100_000
 DATE_FORMAT = "yyyy.MM.dd"
+STEPS = "CAST(round(delta * 2000) AS BIGINT)"
+
+
+def _agg(df: DataFrame, keys: tuple[str, ...], **folds: str) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.expr(x).alias(name) for name, x in folds.items()])
 
 
 def for_player(df: DataFrame, player: str, columns: tuple[str, ...] = ("Player_To_Move",)) -> DataFrame:
     """Rows where any of `columns` names the player, without regard to case."""
-    match = F.lit(False)
-    for c in columns:
-        match = match | (sc.player_key(c) == player.lower())
+    name = F.lit(player.lower())
+    match = F.lower(F.col(columns[0])) == name
+    for c in columns[1:]:
+        match = match | (F.lower(F.col(c)) == name)
     return df.where(match)
 
 
 def _movers(scored: DataFrame, player: str | None) -> DataFrame:
     df = scored if player is None else for_player(scored, player)
-    return df.withColumn("player", sc.player_key("Player_To_Move"))
+    return df.selectExpr("*", "lower(Player_To_Move) AS player")
 
 
 def phase_breakdown(scored: DataFrame, player: str | None = None, ordered: bool = True) -> DataFrame:
     """Mean accuracy per phase."""
-    out = (
-        _movers(scored, player)
-        .groupBy("player", "game_phase")
-        .agg(sc.round2(F.avg("move_accuracy")).alias("avg_accuracy"))
-    )
+    out = _agg(_movers(scored, player), ("player", "game_phase"), avg_accuracy=sc.round2_sql("avg(move_accuracy)"))
     return out.orderBy("player", "game_phase") if ordered else out
 
 
 def phase_drop(scored: DataFrame, player: str | None = None) -> DataFrame:
     """Mean accuracy of the three phases and the phase that drops most from the last
     phase played before it. A tie goes to the earlier phase."""
-    means = _movers(scored, player).groupBy("player").agg(
-        *[sc.round2(F.avg(F.when(F.col("game_phase") == p, F.col("move_accuracy")))).alias(p) for p in PHASES]
+    means = _agg(
+        _movers(scored, player),
+        ("player",),
+        **{p: sc.round2_sql(f"avg(CASE WHEN game_phase = '{p}' THEN move_accuracy END)") for p in PHASES},
     )
-    drops = {
-        "middlegame": F.col("opening") - F.col("middlegame"),
-        "endgame": F.coalesce("middlegame", "opening") - F.col("endgame"),
-    }
-    hundredths = {p: F.round(d * 100).cast("bigint") for p, d in drops.items()}
-    most = F.greatest(*hundredths.values())
-    return means.withColumns(
-        {
-            "worst_phase": F.when(hundredths["middlegame"] == most, "middlegame").when(
-                hundredths["endgame"] == most, "endgame"
-            ),
-            "accuracy_drop": most / F.lit(100.0),
-        }
+    return means.selectExpr(
+        "*",
+        "CAST(round((opening - middlegame) * 100) AS BIGINT) AS _m",
+        "CAST(round((coalesce(middlegame, opening) - endgame) * 100) AS BIGINT) AS _e",
+    ).selectExpr(
+        "player",
+        *PHASES,
+        "CASE greatest(_m, _e) WHEN _m THEN 'middlegame' WHEN _e THEN 'endgame' END AS worst_phase",
+        "greatest(_m, _e) / 100D AS accuracy_drop",
     )
 
 
 def game_sheet(scored: DataFrame, keys: tuple[str, ...] = ("Game_Number",)) -> DataFrame:
     """One row per game: who played, when, the result, and the accuracy of each side."""
     dims = [c for c in ("Game_Link", "White", "Black", "End_Date", "Result") if c in scored.columns]
-    return (
-        scored.groupBy(*keys, *dims)
-        .agg(
-            F.max("Game_Accuracy_White").alias("Game_Accuracy_White"),
-            F.max("Game_Accuracy_Black").alias("Game_Accuracy_Black"),
-            F.count(F.lit(1)).alias("plies"),
-        )
-        .withColumn("white_result", sc.white_score("Result"))
+    sheet = _agg(
+        scored,
+        (*keys, *dims),
+        Game_Accuracy_White="max(Game_Accuracy_White)",
+        Game_Accuracy_Black="max(Game_Accuracy_Black)",
+        plies="count(*)",
     )
+    return sheet.selectExpr("*", f"{sc.white_score_sql()} AS white_result")
 
 
 def _sides(sheet: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Two rows per game, one for each side, in one pass."""
 
-    def side(name: str, colour: str, won: float) -> Column:
-        return F.struct(
-            sc.player_key(name).alias("player"),
-            F.lit(colour).alias("colour"),
-            F.col(f"Game_Accuracy_{name}").alias("accuracy"),
-            F.when(F.col("white_result") == won, 1).otherwise(0).alias("won"),
-            F.when(F.col("white_result") == 1.0 - won, 1).otherwise(0).alias("lost"),
+    def side(name: str, won: int) -> str:
+        return (
+            f"named_struct('player', lower({name}), 'colour', '{name.lower()}', 'accuracy', Game_Accuracy_{name}, "
+            f"'won', CAST(white_result <=> {won}D AS INT), 'lost', CAST(white_result <=> {1 - won}D AS INT))"
         )
 
-    both = F.array(side("White", "white", 1.0), side("Black", "black", 0.0))
-    return sheet.select(*keep, F.explode(both).alias("s")).select(*keep, "s.*")
+    return sheet.selectExpr(*keep, f"inline(array({side('White', 1)}, {side('Black', 0)}))")
 
 
 def performance_summary(
@@ -103,48 +98,38 @@ def performance_summary(
     The monthly rows are aggregated first; each then counts for its own month and
     for the next one, so a month without games still shows what came before it.
     """
-    sheet = sheet.withColumn("_month", F.trunc(F.try_to_date("End_Date", DATE_FORMAT), "MM"))
-    this = None if as_of is None else F.trunc(F.lit(str(as_of)).cast("date"), "MM")
-    if this is not None:
-        sheet = sheet.where(F.col("_month").isin(this, F.add_months(this, -1)))
+    sheet = sheet.selectExpr("*", f"trunc(try_to_date(End_Date, '{DATE_FORMAT}'), 'MM') AS _month")
+    if as_of is not None:
+        this = f"trunc(DATE '{dt.date.fromisoformat(str(as_of))}', 'MM')"
+        sheet = sheet.where(f"_month IN ({this}, add_months({this}, -1))")
     sides = _sides(sheet, ("_month",))
     if player is not None:
-        sides = sides.where(F.col("player") == player.lower())
-    monthly = sides.groupBy("player", "colour", "_month").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("won").alias("w"), sc.mean2("accuracy").alias("a")
+        sides = for_player(sides, player, ("player",))
+    monthly = _agg(sides, ("player", "colour", "_month"), n="count(*)", w="sum(won)", a=sc.mean2_sql("accuracy"))
+    spread = monthly.selectExpr(
+        "player", "colour", "n", "round(w / n, 4) AS r", "a",
+        "inline(array(named_struct('m', _month, 'own', true), named_struct('m', add_months(_month, 1), 'own', false)))",
     )
-    shifted = F.array(
-        F.struct(F.col("_month").alias("m"), F.lit(True).alias("own")),
-        F.struct(F.add_months("_month", 1).alias("m"), F.lit(False).alias("own")),
+    out = _agg(
+        spread,
+        ("player", "colour", "m"),
+        games="coalesce(max(CASE WHEN own THEN n END), 0)",
+        win_rate="max(CASE WHEN own THEN r END)",
+        avg_accuracy="max(CASE WHEN own THEN a END)",
+        prev_games="coalesce(max(CASE WHEN NOT own THEN n END), 0)",
+        prev_win_rate="max(CASE WHEN NOT own THEN r END)",
+        prev_accuracy="max(CASE WHEN NOT own THEN a END)",
     )
-    spread = monthly.withColumn("t", F.explode(shifted)).select("player", "colour", "t.m", "t.own", "n", "w", "a")
-    own, before = F.col("own"), ~F.col("own")
-    out = spread.groupBy("player", "colour", "m").agg(
-        F.coalesce(F.max(F.when(own, F.col("n"))), F.lit(0)).alias("games"),
-        F.max(F.when(own, F.round(F.col("w") / F.col("n"), 4))).alias("win_rate"),
-        F.max(F.when(own, F.col("a"))).alias("avg_accuracy"),
-        F.coalesce(F.max(F.when(before, F.col("n"))), F.lit(0)).alias("prev_games"),
-        F.max(F.when(before, F.round(F.col("w") / F.col("n"), 4))).alias("prev_win_rate"),
-        F.max(F.when(before, F.col("a"))).alias("prev_accuracy"),
-    )
-    if this is not None:
-        out = out.where(F.col("m") == this)
-    return out.select(
-        "player",
-        "colour",
-        F.date_format("m", "yyyy-MM").alias("month"),
-        "games",
-        "win_rate",
-        "avg_accuracy",
-        "prev_games",
-        "prev_win_rate",
-        "prev_accuracy",
+    if as_of is not None:
+        out = out.where(f"m = {this}")
+    return out.selectExpr(
+        "player", "colour", "date_format(m, 'yyyy-MM') AS month", "games", "win_rate", "avg_accuracy",
+        "prev_games", "prev_win_rate", "prev_accuracy",
     )
 
 
 def _mistakes(scored: DataFrame, player: str | None, bands) -> DataFrame:
-    kind = sc.loss_kind("delta", bands)
-    return _movers(scored, player).withColumn("kind", kind).where(F.col("kind").isNotNull())
+    return _movers(scored, player).selectExpr("*", f"{sc.loss_kind_sql('delta', bands)} AS kind").where("kind IS NOT NULL")
 
 
 def blunder_habits(scored: DataFrame, player: str | None = None, bands=sc.LOSS_BANDS) -> DataFrame:
@@ -153,19 +138,18 @@ def blunder_habits(scored: DataFrame, player: str | None = None, bands=sc.LOSS_B
     Losses are summed in steps of 1/2000, the unit of permille scores with half
     points, so the mean does not depend on the order of the sum.
     """
-    steps = F.round(F.col("delta") * 2000).cast("bigint")
-    per_kind = _mistakes(scored, player, bands).groupBy("player", "kind").agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.round(F.sum(steps) * 5 / F.count(F.lit(1))) / 10000).alias("avg_loss"),
-        *[F.count(F.when(F.col("game_phase") == p, 1)).alias(f"in_{p}") for p in PHASES],
+    per_kind = _agg(
+        _mistakes(scored, player, bands),
+        ("player", "kind"),
+        n="count(*)",
+        avg_loss=f"round(sum({STEPS}) * 5 / count(*)) / 10000",
+        **{f"in_{p}": f"count(CASE WHEN game_phase = '{p}' THEN 1 END)" for p in PHASES},
     )
     # As many rows per player as there are bands.
-    of_player = Window.partitionBy("player")
-    return per_kind.withColumns(
-        {
-            "share": F.round(F.col("n") / F.sum("n").over(of_player), 4),
-            "rank": F.row_number().over(of_player.orderBy(F.col("n").desc(), "kind")).cast("bigint"),
-        }
+    return per_kind.selectExpr(
+        "*",
+        "round(n / sum(n) OVER (PARTITION BY player), 4) AS share",
+        "CAST(row_number() OVER (PARTITION BY player ORDER BY n DESC, kind) AS BIGINT) AS rank",
     )
 
 
@@ -173,38 +157,23 @@ def blunder_plies(
     scored: DataFrame, player: str | None = None, k: int = 3, width: int = 10, bands=sc.LOSS_BANDS
 ) -> DataFrame:
     """The k stretches of plies in which each kind of mistake happens most."""
-    stretch = F.expr(f"(Move_Number - 1) div {int(width)}")
-    counts = (
-        _mistakes(scored, player, bands)
-        .groupBy("player", "kind", stretch.alias("_s"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    best = Window.partitionBy("player", "kind").orderBy(F.col("n").desc(), "_s")
+    mistakes = _mistakes(scored, player, bands).selectExpr("player", "kind", f"(Move_Number - 1) div {int(width)} AS _s")
     return (
-        counts.withColumn("rank", F.row_number().over(best).cast("bigint"))
-        .where(F.col("rank") <= k)
-        .select(
-            "player",
-            "kind",
-            (F.col("_s") * width + 1).alias("from_ply"),
-            ((F.col("_s") + 1) * width).alias("to_ply"),
-            "n",
-            "rank",
-        )
+        _agg(mistakes, ("player", "kind", "_s"), n="count(*)")
+        .selectExpr("*", "CAST(row_number() OVER (PARTITION BY player, kind ORDER BY n DESC, _s) AS BIGINT) AS rank")
+        .where(f"rank <= {int(k)}")
+        .selectExpr("player", "kind", f"_s * {width} + 1 AS from_ply", f"(_s + 1) * {width} AS to_ply", "n", "rank")
     )
 
 
 def first_moves(moves: DataFrame, plies: int = 6, keys: tuple[str, ...] = ("Game_Number",)) -> DataFrame:
     """Opening key of each game: its first moves, joined. At most `plies` rows of a
     game are gathered; the filter reaches the scan."""
-    early = moves.where(F.col("Move_Number").between(1, plies))
-    return early.groupBy(*keys).agg(
-        F.array_join(
-            F.transform(
-                F.sort_array(F.collect_list(F.struct("Move_Number", "Move"))), lambda m: m["Move"]
-            ),
-            " ",
-        ).alias("opening")
+    in_order = "sort_array(collect_list(named_struct('n', Move_Number, 'm', Move)))"
+    return _agg(
+        moves.where(f"Move_Number BETWEEN 1 AND {int(plies)}"),
+        keys,
+        opening=f"array_join(transform({in_order}, x -> x.m), ' ')",
     )
 
 
@@ -224,55 +193,34 @@ def opening_repertoire(
     """The k best and k worst openings of each player by win rate, then accuracy, and
     for the worst the `review` games to look at: lost ones first, least accurate first."""
     if player is not None:
-        sides = sides.where(F.col("player") == player.lower())
-    per_opening = (
-        sides.groupBy("player", "opening")
-        .agg(
-            F.count(F.lit(1)).alias("games"),
-            F.round(F.avg("won"), 4).alias("win_rate"),
-            sc.mean2("accuracy").alias("avg_accuracy"),
-        )
-        .where(F.col("games") >= min_games)
-    )
+        sides = for_player(sides, player, ("player",))
+    per_opening = _agg(
+        sides,
+        ("player", "opening"),
+        games="count(*)",
+        win_rate="round(avg(won), 4)",
+        avg_accuracy=sc.mean2_sql("accuracy"),
+    ).where(f"games >= {int(min_games)}")
 
     # Both lists come from one pass: each opening stands once in either direction.
-    def direction(name: str, sign: int) -> Column:
-        return F.struct(
-            F.lit(name).alias("side"),
-            (F.col("win_rate") * sign).alias("by_rate"),
-            (F.col("avg_accuracy") * sign).alias("by_accuracy"),
-        )
+    def direction(name: str, sign: str) -> str:
+        return f"named_struct('side', '{name}', '_rate', {sign}win_rate, '_accuracy', {sign}avg_accuracy)"
 
-    both = F.array(direction("best", -1), direction("worst", 1))
-    in_list = Window.partitionBy("player", "side").orderBy(
-        "by_rate", F.col("by_accuracy").asc_nulls_last(), "opening"
-    )
+    place = "OVER (PARTITION BY player, side ORDER BY _rate, _accuracy ASC NULLS LAST, opening)"
     listed = (
-        per_opening.withColumn("d", F.explode(both))
-        .select("player", "opening", "games", "win_rate", "avg_accuracy", "d.*")
-        .withColumn("rank", F.row_number().over(in_list).cast("bigint"))
-        .where(F.col("rank") <= k)
-    )
-    place = F.row_number().over(
-        Window.partitionBy("player", "opening").orderBy(
-            F.col("lost").desc(), F.col("accuracy").asc_nulls_last(), F.col(key), F.col("colour").desc()
-        )
+        per_opening.selectExpr("*", f"inline(array({direction('best', '-')}, {direction('worst', '')}))")
+        .selectExpr("*", f"CAST(row_number() {place} AS BIGINT) AS rank")
+        .where(f"rank <= {int(k)}")
     )
-    weak_games = (
-        sides.withColumn("_n", place)
-        .where(F.col("_n") <= review)
-        .groupBy("player", "opening")
-        .agg(
-            F.array_join(
-                F.transform(
-                    F.sort_array(F.collect_list(F.struct("_n", F.col(key).cast("string").alias("g")))),
-                    lambda x: x["g"],
-                ),
-                ",",
-            ).alias("review_games")
-        )
-    )
-    weak_games = weak_games.withColumn("side", F.lit("worst"))
+    worst_first = f"lost DESC, accuracy ASC NULLS LAST, {key}, colour DESC"
+    weak_games = _agg(
+        sides.selectExpr(
+            "player", "opening", f"CAST({key} AS STRING) AS _g",
+            f"row_number() OVER (PARTITION BY player, opening ORDER BY {worst_first}) AS _n",
+        ).where(f"_n <= {int(review)}"),
+        ("player", "opening"),
+        review_games="array_join(transform(sort_array(collect_list(named_struct('n', _n, 'g', _g))), x -> x.g), ',')",
+    ).selectExpr("*", "'worst' AS side")
     return listed.join(weak_games, ["player", "opening", "side"], "left").select(
         "player", "side", "rank", "opening", "games", "win_rate", "avg_accuracy", "review_games"
     )
@@ -291,23 +239,24 @@ def name_openings(openings: DataFrame, names: DataFrame, salts: int = 64) -> Dat
     games. Where the names do not fit a broadcast, the first moves, which a third of
     all openings may share, are salted and each name is copied to every salt.
     """
-    plies = F.split("opening", " ")
-    keys = openings.select("opening").distinct()
-    prefixes = keys.select(
-        "opening",
-        F.posexplode(
-            F.transform(plies, lambda _, i: F.array_join(F.slice(plies, F.lit(1), i + 1), " "))
-        ).alias("_len", "moves"),
+    prefixes = (
+        openings.select("opening")
+        .distinct()
+        .selectExpr("opening", "split(opening, ' ') AS _plies")
+        .selectExpr(
+            "opening",
+            "posexplode(transform(_plies, (_, i) -> array_join(slice(_plies, 1, i + 1), ' '))) AS (_len, moves)",
+        )
     )
     table, small = bounded_broadcast(names.select("moves", "name"))
     if small:
         hits = prefixes.join(table, "moves")
     else:
-        copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        spread = prefixes.withColumn("_salt", F.pmod(F.hash("opening"), F.lit(salts)))
+        copies = table.selectExpr("*", f"explode(sequence(0, {int(salts) - 1})) AS _salt")
+        spread = prefixes.selectExpr("*", f"pmod(hash(opening), {int(salts)}) AS _salt")
         hits = spread.join(copies, ["moves", "_salt"])
-    longest = hits.groupBy("opening").agg(
-        F.max_by("name", "_len").alias("opening_name"), (F.max("_len") + 1).cast("bigint").alias("named_plies")
+    longest = _agg(
+        hits, ("opening",), opening_name="max_by(name, _len)", named_plies="CAST(max(_len) + 1 AS BIGINT)"
     )
     return openings.join(longest, "opening", "left")
 
@@ -320,41 +269,25 @@ def games_to_review(
     link_prefix: str = "",
 ) -> DataFrame:
     """The k games of each player with the costliest single ply, and that ply."""
-    worst_ply = F.max(
-        F.struct(
-            F.round(F.col("delta") * 2000).cast("bigint").alias("steps"),
-            (-F.col("Move_Number")).alias("neg_ply"),
-            F.col("Move").alias("move"),
-            F.col("game_phase").alias("phase"),
-        )
-    )
+    ply = f"named_struct('steps', {STEPS}, 'neg_ply', -Move_Number, 'move', Move, 'phase', game_phase)"
+    percent = "CAST(CAST(round(x.steps / 20D) AS BIGINT) AS STRING)"
     per_game = (
-        _movers(scored, player)
-        .where(F.col("delta") > 0)
-        .groupBy("player", *keys, "Game_Link")
-        .agg(worst_ply.alias("x"))
-        .select(
+        _agg(_movers(scored, player).where("delta > 0"), ("player", *keys, "Game_Link"), x=f"max({ply})")
+        .withColumn("link", F.concat(F.lit(link_prefix), "Game_Link"))
+        .selectExpr(
             "player",
             *keys,
-            F.concat(F.lit(link_prefix), "Game_Link").alias("link"),
-            (-F.col("x.neg_ply")).cast("bigint").alias("ply"),
-            F.col("x.move").alias("move"),
-            (F.col("x.steps") / F.lit(2000.0)).alias("loss"),
-            F.concat(
-                F.lit("lost "),
-                F.round(F.col("x.steps") / F.lit(20.0)).cast("bigint").cast("string"),
-                F.lit("% with "),
-                F.col("x.move"),
-                F.lit(" in the "),
-                F.col("x.phase"),
-            ).alias("summary"),
+            "link",
+            "CAST(-x.neg_ply AS BIGINT) AS ply",
+            "x.move AS move",
+            "x.steps / 2000D AS loss",
+            f"concat('lost ', {percent}, '% with ', x.move, ' in the ', x.phase) AS summary",
         )
     )
-    order = [F.col("loss").desc(), *[F.col(c) for c in keys]]
     if player is not None:
-        return per_game.orderBy(*order).limit(k)
-    place = F.row_number().over(Window.partitionBy("player").orderBy(*order))
-    return per_game.withColumn("_n", place).where(F.col("_n") <= k).drop("_n")
+        return per_game.orderBy(F.col("loss").desc(), *keys).limit(k)
+    place = f"row_number() OVER (PARTITION BY player ORDER BY loss DESC, {', '.join(keys)})"
+    return per_game.selectExpr("*", f"{place} AS _n").where(f"_n <= {int(k)}").drop("_n")
 
 
 def with_game_context(

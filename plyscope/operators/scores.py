@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plyscope.functions.scoring import is_black_ply
-from plyscope.schemas import EVALUATION
+from plyscope.functions.scoring import white_ply_sql
 
 # A scorer takes batches with a `position` column and yields, for each position it
 # can score, `position, eval_type, eval_value, wdl`. It is called once per
@@ -43,15 +42,10 @@ def score_join(moves: DataFrame, scores: DataFrame) -> DataFrame:
     unique, so a position that most games share makes the left side of the join
     lopsided but never multiplies rows; adaptive execution splits such a side.
     """
-    flat = scores.select(
+    flat = scores.selectExpr(
         "position",
-        F.when(
-            F.col("eval_value").isNotNull(),
-            F.struct(F.col("eval_type").alias("type"), F.col("eval_value").alias("value")),
-        )
-        .cast(EVALUATION)
-        .alias("Evaluation"),
-        F.col("wdl").alias("WDL Stats"),
+        "CASE WHEN eval_value IS NOT NULL THEN named_struct('type', eval_type, 'value', eval_value) END AS Evaluation",
+        "wdl AS `WDL Stats`",
     )
     return moves.join(flat, "position", "left")
 
@@ -72,17 +66,16 @@ def normalise_scores(
     for name in (eval_perspective, wdl_perspective):
         if name not in ("white", "mover"):
             raise ValueError(f"unknown perspective {name!r}")
-    black_to_move = ~F.coalesce(is_black_ply(ply), F.lit(True))
+    black_to_move = white_ply_sql(ply)
     out = moves
     if eval_perspective == "mover":
-        value = F.col("Evaluation.value")
+        turned = "named_struct('type', Evaluation.type, 'value', -Evaluation.value)"
         out = out.withColumn(
             "Evaluation",
-            F.col("Evaluation").withField("value", F.when(black_to_move, -value).otherwise(value)),
+            F.expr(f"CASE WHEN {black_to_move} AND Evaluation IS NOT NULL THEN {turned} ELSE Evaluation END"),
         )
     if wdl_perspective == "white":
-        triple = F.col("`WDL Stats`")
         out = out.withColumn(
-            "WDL Stats", F.when(black_to_move, F.reverse(triple)).otherwise(triple)
+            "WDL Stats", F.expr(f"CASE WHEN {black_to_move} THEN reverse(`WDL Stats`) ELSE `WDL Stats` END")
         )
     return out

@@ -7,7 +7,7 @@ over the cluster like any other data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plyscope.functions import scoring as sc
@@ -25,32 +25,35 @@ def game_window(game: str = "Game_Number", ply: str = "Move_Number"):
     return Window.partitionBy(game).orderBy(F.col(ply).asc_nulls_last())
 
 
-def _scored(ply: Column, ev: Column, w: Column, d: Column, pev: Column, pw: Column, pd: Column) -> dict[str, Column]:
-    before, after = sc.win_probability(pw, pd, w, d)
-    delta = sc.win_delta(before, after)
+def _scored(ply: str, ev: str, w: str, d: str, pev: str, pw: str, pd: str) -> dict[str, str]:
+    before, after = sc.win_probability_sql(pw, pd, w, d)
+    delta = sc.win_delta_sql(before, after)
     return {
-        "CentiPawnLoss": sc.centipawn_loss(pev, ev, ply),
+        "CentiPawnLoss": sc.centipawn_loss_sql(pev, ev, ply),
         "wp_before": before,
         "wp_after": after,
         "delta": delta,
-        "move_accuracy": sc.move_accuracy(delta),
+        "move_accuracy": sc.move_accuracy_sql(delta),
     }
 
 
-def _measures(ply: Column, loss: Column, accuracy: Column, counted: Column | None) -> dict[str, Column]:
+def _measures(ply: str, loss: str, delta: str, accuracy: str, skip_first: bool) -> dict[str, str]:
     """What each per-game mean is taken over: NULL where a row does not enter it."""
-    charged = sc.charged_loss(loss)
-    if counted is not None:
-        charged, accuracy = F.when(counted, charged), F.when(counted, accuracy)
-    white, black = sc.is_white_ply(ply), sc.is_black_ply(ply)
+    only = f" AND {delta} IS NOT NULL" if skip_first else ""
+    white, black = sc.white_ply_sql(ply) + only, sc.black_ply_sql(ply) + only
+    charged = sc.charged_loss_sql(loss)
     return {
-        "ACPL_White": F.when(white, charged),
-        "ACPL_Black": F.when(black, charged),
-        "Game_Accuracy_White": F.when(white, accuracy),
-        "Game_Accuracy_Black": F.when(black, accuracy),
+        "ACPL_White": f"CASE WHEN {white} THEN {charged} END",
+        "ACPL_Black": f"CASE WHEN {black} THEN {charged} END",
+        "Game_Accuracy_White": f"CASE WHEN {white} THEN {accuracy} END",
+        "Game_Accuracy_Black": f"CASE WHEN {black} THEN {accuracy} END",
     }
 
 
+def _named(columns: dict[str, str], prefix: str = "") -> list[str]:
+    return [f"{x} AS `{prefix}{name}`" for name, x in columns.items()]
+
+
 def score_plies(
     moves: DataFrame,
     game: str = "Game_Number",
@@ -80,44 +83,40 @@ def score_plies(
     Rows with no previous score count as loss 0 and accuracy 100, unless
     `skip_first` leaves plies without a delta out of the means.
     """
-    number = F.col(ply)
-    cut = moves.withColumns(
-        {
-            "_ev": sc.evaluation_value("Evaluation", mate_policy),
-            "_w": sc.from_end("`WDL Stats`", 3),
-            "_d": sc.from_end("`WDL Stats`", 2),
-            "_ord": F.coalesce(number.cast("bigint"), F.lit(MAX_PLY)),
-        }
-    ).withColumn("_chunk", F.expr(f"(_ord - 1) div {int(chunk_plies)}"))
-
-    several = _several_chunks(cut, game, number, chunk_plies, long_games)
-    placed = cut.repartitionByRange(F.col(game).asc_nulls_last(), "_chunk") if ordered else cut
-    rows, measures = _within_chunks(placed, game, number, skip_first)
-    means = {m: F.col(f"_m_{m}") for m in MEANS}
-    before = {c: F.col(f"_{c}") for c in ("pev", "pw", "pd")}
+    cut = moves.selectExpr(
+        "*",
+        f"{sc.evaluation_value_sql('Evaluation', mate_policy)} AS _ev",
+        f"{sc.from_end_sql('`WDL Stats`', 3)} AS _w",
+        f"{sc.from_end_sql('`WDL Stats`', 2)} AS _d",
+        f"coalesce(CAST({ply} AS BIGINT), {MAX_PLY}L) AS _ord",
+    ).selectExpr("*", f"(_ord - 1) div {int(chunk_plies)} AS _chunk")
+
+    several = _several_chunks(cut, game, ply, chunk_plies, long_games)
+    by_game = F.col(game).asc_nulls_last()
+    placed = cut.repartitionByRange(by_game, "_chunk") if ordered else cut
+    rows, measures = _within_chunks(placed, game, ply, skip_first)
+    means = {m: f"_m_{m}" for m in MEANS}
+    before = {"pev": "_pev", "pw": "_pw", "pd": "_pd"}
     if several is not None:
-        bridge = _chunk_bridge(several, measures, game, number, ply, skip_first)
+        bridge = _chunk_bridge(several, measures, game, ply, skip_first)
         rows = rows.join(bridge, [game, "_chunk"], "left")
-        means = {m: F.coalesce(f"_b_{m}", x) for m, x in means.items()}
-        before = {c: F.when(F.col("_head"), F.col(f"_b{c}")).otherwise(x) for c, x in before.items()}
-        rows = rows.withColumns({f"_x{c}": x for c, x in before.items()})
-        before = {c: F.col(f"_x{c}") for c in before}
-    final = _scored(number, F.col("_ev"), F.col("_w"), F.col("_d"), **before)
-    out = rows.withColumns(
-        {
-            "Player_To_Move": sc.player_to_move(ply, "White", "Black"),
-            **final,
-            **{m: sc.round2(x) for m, x in means.items()},
-            "game_phase": sc.game_phase(ply),
-        }
-    )
+        before = {c: f"_x{c}" for c in before}
+        rows = rows.selectExpr("*", *[f"CASE WHEN _head THEN _b{c} ELSE _{c} END AS {x}" for c, x in before.items()])
+        means = {m: f"coalesce(_b_{m}, _m_{m})" for m in MEANS}
+    derived = {
+        "Player_To_Move": sc.player_to_move_sql(ply),
+        **_scored(ply, "_ev", "_w", "_d", **before),
+        **{m: sc.round2_sql(x) for m, x in means.items()},
+        "game_phase": sc.game_phase_sql(ply),
+    }
+    own = [f"`{c}`" for c in moves.columns if c not in derived]
+    out = rows.selectExpr(*own, *_named(derived), "_chunk", "_ord")
     if ordered:
-        out = out.orderBy(F.col(game).asc_nulls_last(), "_chunk", "_ord")
-    own = [c for c in moves.columns if c not in final and c not in MEANS]
-    return out.select(*[F.col(f"`{c}`") for c in own], "Player_To_Move", *final, *MEANS, "game_phase")
+        out = out.orderBy(by_game, "_chunk", "_ord")
+    return out.drop("_chunk", "_ord")
 
 
-def _several_chunks(cut: DataFrame, game: str, number: Column, chunk_plies: int, long_games: str) -> DataFrame | None:
+def _several_chunks(cut: DataFrame, game: str, ply: str, chunk_plies: int, long_games: str) -> DataFrame | None:
     """Rows of games that may have more than one chunk; None if there are none.
 
     Few such games are broadcast, by checked count. With more than that, most rows
@@ -130,7 +129,7 @@ def _several_chunks(cut: DataFrame, game: str, number: Column, chunk_plies: int,
     if long_games != "check":
         raise ValueError(f"unknown long_games {long_games!r}")
     # Written on the ply itself, not on the chunk, so that the scan can use it.
-    elsewhere = number.isNull() | (number > chunk_plies) | (number <= 1 - chunk_plies)
+    elsewhere = f"{ply} IS NULL OR {ply} > {chunk_plies} OR {ply} <= {1 - chunk_plies}"
     names = cut.where(elsewhere).select(game).distinct()
     found = names.limit(BROADCAST_GAMES + 1).count()
     if found == 0:
@@ -140,66 +139,53 @@ def _several_chunks(cut: DataFrame, game: str, number: Column, chunk_plies: int,
     return cut.join(F.broadcast(names), game, "left_semi")
 
 
-def _within_chunks(
-    cut: DataFrame, game: str, number: Column, skip_first: bool
-) -> tuple[DataFrame, dict[str, Column]]:
+def _within_chunks(cut: DataFrame, game: str, ply: str, skip_first: bool) -> tuple[DataFrame, dict[str, str]]:
     """Rows with the scores of the ply before in the same chunk, and the side means of
     the chunk. Both windows share one shuffle and one sort."""
-    in_chunk = Window.partitionBy(game, "_chunk").orderBy("_ord")
-    whole_chunk = Window.partitionBy(game, "_chunk")
-    rows = cut.withColumns(
-        {
-            "_pev": F.lag("_ev").over(in_chunk),
-            "_pw": F.lag("_w").over(in_chunk),
-            "_pd": F.lag("_d").over(in_chunk),
-            "_head": F.row_number().over(in_chunk) == 1,
-        }
+    in_chunk = f"OVER (PARTITION BY {game}, _chunk ORDER BY _ord)"
+    scored = _scored(ply, "_ev", "_w", "_d", "_pev", "_pw", "_pd")
+    measures = _measures(ply, "_loss", "_delta", "_acc", skip_first)
+    rows = cut.selectExpr(
+        "*",
+        *[f"lag(_{c}) {in_chunk} AS _p{c}" for c in ("ev", "w", "d")],
+        f"row_number() {in_chunk} = 1 AS _head",
+    ).selectExpr(
+        "*",
+        f"{scored['CentiPawnLoss']} AS _loss",
+        f"{scored['delta']} AS _delta",
+        f"{scored['move_accuracy']} AS _acc",
     )
-    first_pass = _scored(number, *map(F.col, ("_ev", "_w", "_d", "_pev", "_pw", "_pd")))
-    rows = rows.withColumns(
-        {
-            "_loss": first_pass["CentiPawnLoss"],
-            "_delta": first_pass["delta"],
-            "_acc": first_pass["move_accuracy"],
-        }
-    )
-    counted = F.col("_delta").isNotNull() if skip_first else None
-    measures = _measures(number, F.col("_loss"), F.col("_acc"), counted)
-    return rows.withColumns({f"_m_{m}": F.avg(x).over(whole_chunk) for m, x in measures.items()}), measures
+    over = f"OVER (PARTITION BY {game}, _chunk)"
+    return rows.selectExpr("*", *[f"avg({x}) {over} AS _m_{m}" for m, x in measures.items()]), measures
 
 
 def _chunk_bridge(
-    several: DataFrame, measures: dict[str, Column], game: str, number: Column, ply: str, skip_first: bool
+    several: DataFrame, measures: dict[str, str], game: str, ply: str, skip_first: bool
 ) -> DataFrame:
     """One row per chunk: the scores before its first ply, and the side means of the
     whole game. Heads of chunks are left out of the chunk's sums, since their loss
     is only known here."""
-    rows, _ = _within_chunks(several, game, number, skip_first)
-    head = F.col("_head")
-    sums = {}
-    for m, x in measures.items():
-        sums[f"_s_{m}"] = F.sum(F.when(~head, x))
-        sums[f"_n_{m}"] = F.count(F.when(~head, x))
-    chunks = rows.groupBy(game, "_chunk").agg(
-        F.max(F.when(head, F.col(ply))).alias("_hply"),
-        *[F.max(F.when(head, F.col(f"_{c}"))).alias(f"_h{c}") for c in ("ev", "w", "d")],
-        *[F.max_by(f"_{c}", "_ord").alias(f"_t{c}") for c in ("ev", "w", "d")],
-        *[x.alias(name) for name, x in sums.items()],
-    )
-    by_chunk = Window.partitionBy(game).orderBy("_chunk")
-    whole_game = Window.partitionBy(game)
-    chunks = chunks.withColumns({f"_bp{c}": F.lag(f"_t{c}").over(by_chunk) for c in ("ev", "w", "d")})
-    heads = _scored(F.col("_hply"), *map(F.col, ("_hev", "_hw", "_hd", "_bpev", "_bpw", "_bpd")))
-    counted = heads["delta"].isNotNull() if skip_first else None
-    extra = _measures(F.col("_hply"), heads["CentiPawnLoss"], heads["move_accuracy"], counted)
-    totals = {}
-    for m, x in extra.items():
-        total = F.sum(F.coalesce(F.col(f"_s_{m}"), F.lit(0)) + F.coalesce(x, F.lit(0))).over(whole_game)
-        count = F.sum(F.col(f"_n_{m}") + F.when(x.isNotNull(), 1).otherwise(0)).over(whole_game)
-        totals[f"_b_{m}"] = F.when(count > 0, total / count)
-    return chunks.withColumns(totals).select(
-        game, "_chunk", "_bpev", "_bpw", "_bpd", *[f"_b_{m}" for m in MEANS]
+    rows, _ = _within_chunks(several, game, ply, skip_first)
+    of_head = {"_hply": ply, "_hev": "_ev", "_hw": "_w", "_hd": "_d"}
+    folds = {name: f"max(CASE WHEN _head THEN {x} END)" for name, x in of_head.items()}
+    folds |= {f"_t{c}": f"max_by(_{c}, _ord)" for c in ("ev", "w", "d")}
+    folds |= {f"_s_{m}": f"sum(CASE WHEN NOT _head THEN {x} END)" for m, x in measures.items()}
+    folds |= {f"_n_{m}": f"count(CASE WHEN NOT _head THEN {x} END)" for m, x in measures.items()}
+    chunks = rows.groupBy(game, "_chunk").agg(*[F.expr(x).alias(name) for name, x in folds.items()])
+
+    by_chunk = f"OVER (PARTITION BY {game} ORDER BY _chunk)"
+    heads = _scored("_hply", "_hev", "_hw", "_hd", "_bpev", "_bpw", "_bpd")
+    chunks = chunks.selectExpr("*", *[f"lag(_t{c}) {by_chunk} AS _bp{c}" for c in ("ev", "w", "d")]).selectExpr(
+        "*", *_named({k: heads[k] for k in ("CentiPawnLoss", "delta", "move_accuracy")}, "_h_")
     )
+    own = _measures("_hply", "_h_CentiPawnLoss", "_h_delta", "_h_move_accuracy", skip_first)
+    whole = f"OVER (PARTITION BY {game})"
+    means = {
+        m: f"sum(coalesce(_s_{m}, 0) + coalesce({x}, 0)) {whole}"
+        f" / nullif(sum(_n_{m} + CASE WHEN {x} IS NOT NULL THEN 1 ELSE 0 END) {whole}, 0)"
+        for m, x in own.items()
+    }
+    return chunks.selectExpr(game, "_chunk", "_bpev", "_bpw", "_bpd", *_named(means, "_b_"))
 
 
 def side_aggregates(scored: DataFrame, keys: tuple[str, ...] = ("Game_Number",)) -> DataFrame:
@@ -209,7 +195,7 @@ def side_aggregates(scored: DataFrame, keys: tuple[str, ...] = ("Game_Number",))
     folds before the shuffle.
     """
     return scored.groupBy(*keys).agg(
-        *[F.max(m).alias(m) for m in MEANS], F.count(F.lit(1)).alias("plies")
+        *[F.expr(f"max({m})").alias(m) for m in MEANS], F.expr("count(*)").alias("plies")
     )
 
 
@@ -241,14 +227,18 @@ def number_games(
         .withColumn("_slot", F.monotonically_increasing_id()),
         "numbered",
     )
-    part = F.shiftright("_slot", 33)
-    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     # At most `n` rows, whatever the data: safe in one window and to broadcast.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    offsets = (
+        placed.groupBy(F.expr("shiftright(_slot, 33)").alias("_part"))
+        .agg(F.expr("count(*)").alias("_n"))
+        .selectExpr(
+            "_part",
+            "coalesce(sum(_n) OVER (ORDER BY _part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before",
+        )
+    )
+    own = [f"`{c}`" for c in games.columns]
     return (
-        placed.withColumn("_part", part)
+        placed.selectExpr("*", "shiftright(_slot, 33) AS _part")
         .join(F.broadcast(offsets), "_part")
-        .withColumn(out, F.col("_slot").bitwiseAND(F.lit(2**33 - 1)) + F.col("_before") + 1)
-        .drop("_slot", "_part", "_before")
+        .selectExpr(*own, f"(_slot & {2**33 - 1}L) + _before + 1 AS `{out}`")
     )

@@ -4,7 +4,7 @@ import pytest
 
 import plyscope as ps
 from checks import queries, views
-from plyscope.functions import text as tx  # noqa: F401
+
 
 
 def plan(df):

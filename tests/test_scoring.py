@@ -130,7 +130,7 @@ def test_from_end_on_short_lists(spark):
 
 def test_phase_bounds_and_null_ply(spark):
     df = spark.createDataFrame([(n,) for n in (1, 10, 11, 25, 26, 0, None)], "n int")
-    row = df.select(sc.game_phase("n"), sc.player_to_move("n", F.lit("w"), F.lit("b"))).collect()
+    row = df.select(sc.game_phase("n"), sc.player_to_move("n", "'w'", "'b'")).collect()
     assert [r[0] for r in row] == ["opening", "opening", "middlegame", "middlegame", "endgame", "endgame", "endgame"]
     assert [r[1] for r in row] == ["w", "b", "w", "w", "b", "b", "b"]
 

@@ -1,13 +1,11 @@
 import pytest
-from pyspark.sql import functions as F
 
 import plyscope as ps
-from plyscope.functions import text as tx
 
 
 def tokens(spark, pgn):
     df = spark.createDataFrame([(pgn,)], "pgn string")
-    return df.select(tx.move_tokens(F.col("pgn"))).first()[0]
+    return ps.parse_games(df).first().tokens
 
 
 TAGS = '[White "a"]\n[Black "b"]\n\n'
@@ -59,7 +57,7 @@ def test_deep_nesting_and_long_text(spark):
 
 
 def headers(spark, pgn):
-    return spark.createDataFrame([(pgn,)], "pgn string").select(tx.headers(F.col("pgn"))).first()[0]
+    return ps.parse_games(spark.createDataFrame([(pgn,)], "pgn string")).first().headers
 
 
 def test_headers(spark):
