@@ -344,8 +344,9 @@ ORACLES: dict[str, str] = {
     "archive_flatten": query(
         *BASE,
         ARCHIVE,
-        select="""SELECT player, "month", url, has_text, end_time FROM games
-  UNION ALL SELECT 'club0', '2022-12', NULL, false, NULL UNION ALL SELECT 'club0', '2022-11', NULL, false, NULL""",
+        select="""SELECT player, "month", url, has_text, end_time, NULL AS unread FROM games
+  UNION ALL SELECT 'club0', '2022-12', NULL, false, NULL, NULL
+  UNION ALL SELECT 'club0', '2022-11', NULL, false, NULL, '{"games": [{"pgn' || chr(10)""",
     ),
     "archive_gaps": query(
         *BASE,

@@ -275,8 +275,8 @@ def month_keys(spark, sf):
 
 def archive_flatten(spark, sf):
     docs = ps.read_archive(spark, views.archive(spark, sf))
-    return ps.flatten_archive(docs).select(
-        "player", "month", "url", F.col("pgn").isNotNull().alias("has_text"), "end_time"
+    return ps.flatten_archive(docs).selectExpr(
+        "player", "month", "url", "pgn IS NOT NULL AS has_text", "end_time", "_corrupt_record AS unread"
     )
 
 

@@ -6,6 +6,7 @@ from .games import (  # noqa: F401
     parse_games,
     ply_count,
     split_quarantine,
+    tag_games,
 )
 from .report import (  # noqa: F401
     blunder_habits,

@@ -98,10 +98,22 @@ def game_plies(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def tag_games(parsed: DataFrame) -> DataFrame:
+    """Adds `reason`, NULL for games with plies, and `missing_headers`. The text, no
+    longer needed, stays only with games that have a reason."""
+    own = [c for c in parsed.columns if c != "pgn"]
+    return parsed.selectExpr(
+        *own,
+        f"{REASON} AS reason",
+        f"{MISSING_HEADERS} AS missing_headers",
+        f"CASE WHEN ({REASON}) IS NOT NULL THEN pgn END AS pgn",
+    )
+
+
 def split_quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(games with plies, games set aside with `reason`), disjoint and complete."""
-    tagged = parsed.selectExpr("*", f"{REASON} AS reason", f"{MISSING_HEADERS} AS missing_headers")
-    return tagged.where("reason IS NULL").drop("reason"), tagged.where("reason IS NOT NULL")
+    tagged = parsed if "reason" in parsed.columns else tag_games(parsed)
+    return tagged.where("reason IS NULL").drop("reason", "pgn"), tagged.where("reason IS NOT NULL")
 
 
 def build_moves(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -13,6 +13,7 @@ from plyscope.operators import report as rp
 from plyscope.operators.scores import Scorer, score_positions
 from plyscope.operators.sequence import number_games
 from plyscope.plans.analysis import move_analysis
+from plyscope.session import land
 from plyscope.sources import archive as ar
 from plyscope.sources import tables as tb
 from plyscope.sources.audit import audit_table, audited
@@ -64,14 +65,14 @@ def refresh(
 
     staged = tb.latest_snapshot(spark, staging).drop(tb.SNAPSHOT)
     clean, seen_clean = audited(ar.clean_games(staged, keep=("end_time",)), "clean_games")
-    numbered = number_games(gm.distinct_games(clean))
-
-    good, aside = gm.split_quarantine(gm.parse_games(numbered))
-    tb.write_snapshot(
-        aside.select("game_key", "Game_Number", "reason", "missing_headers", "pgn"),
-        f"{root}/quarantine",
-        snapshot_date,
+    # Landed, so that no text is parsed a second time by the passes that follow.
+    parsed = land(gm.tag_games(gm.parse_games(gm.distinct_games(clean))), "parsed")
+    good, aside = gm.split_quarantine(number_games(parsed))
+    unread = ar.corrupt_documents(staged).selectExpr(
+        "concat(player, '/', month) AS game_key", "'corrupt_document' AS reason", "_corrupt_record AS text"
     )
+    set_aside = aside.selectExpr("game_key", "reason", "pgn AS text").unionByName(unread)
+    tb.write_snapshot(set_aside, f"{root}/quarantine", snapshot_date)
 
     scored = score_positions(gm.build_moves(good, ("Game_Number",)), scorer).drop("position")
     moves, seen_moves = audited(scored, "moves", ("Evaluation", "WDL Stats"))

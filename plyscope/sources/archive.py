@@ -39,11 +39,13 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def corrupt_documents(docs: DataFrame) -> DataFrame:
-    """Documents set aside. `games` is kept: Spark reads no corrupt column alone."""
-    return docs.where(F.col("_corrupt_record").isNotNull()).select(
-        "player", "month", "_corrupt_record", "games"
-    )
+def corrupt_documents(games: DataFrame) -> DataFrame:
+    """The documents among flattened games that could not be read.
+
+    Spark reads no corrupt column alone, so the other columns stay; over a written
+    snapshot the scan prunes them.
+    """
+    return games.where("_corrupt_record IS NOT NULL")
 
 
 def archive_gaps(expected: DataFrame, docs: DataFrame) -> DataFrame:
@@ -59,10 +61,11 @@ def archive_gaps(expected: DataFrame, docs: DataFrame) -> DataFrame:
 def flatten_archive(docs: DataFrame) -> DataFrame:
     """One row per game with the game's fields as columns.
 
-    A month without games stays as one row of NULLs; `clean_games` drops it.
+    A month without games stays as one row of NULLs; `clean_games` drops it. A
+    document that could not be read is such a row too, with its text.
     """
-    return docs.select("player", "month", F.explode_outer("games").alias("g")).select(
-        "player", "month", "g.*"
+    return docs.select("player", "month", "_corrupt_record", F.explode_outer("games").alias("g")).select(
+        "player", "month", "g.*", "_corrupt_record"
     )
 
 

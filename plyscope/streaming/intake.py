@@ -40,17 +40,18 @@ def _replace(df: DataFrame, path: str, batch: str) -> None:
 def add_games(raw: DataFrame, target: str, batch: str, scorer: Scorer) -> None:
     """Adds the games of one batch that no other batch holds.
 
-    Moves go to `target/moves`, one row per game to `target/games`, and the scores of
-    positions not met before to `target/scores`. All three are partitioned by batch,
-    and a batch never reads its own partition: after a crash at any point the same
-    batch runs again and gives the same rows, so nothing is lost or doubled.
+    Moves go to `target/moves`, one row per game to `target/games`, the scores of
+    positions not met before to `target/scores`, and what cannot be used to
+    `target/quarantine`. All are partitioned by batch, and a batch never reads its own
+    partition: after a crash at any point the same batch runs again and gives the same
+    rows, so nothing is lost or doubled.
     """
     spark = raw.sparkSession
     clean = ar.clean_games(raw, keep=("end_time",))
     known = _others(spark, f"{target}/games", KEYS, batch).select("game_key")
     fresh = gm.distinct_games(clean).join(known, "game_key", "left_anti")
-    good, _ = gm.split_quarantine(gm.parse_games(fresh))
-    moves = land(gm.build_moves(good), "intake")
+    good, aside = gm.split_quarantine(land(gm.tag_games(gm.parse_games(fresh)), "intake"))
+    moves = gm.build_moves(good)
 
     scores_path = f"{target}/scores"
     scores_schema = T.StructType(SCORES.fields + [BATCH])
@@ -62,7 +63,11 @@ def add_games(raw: DataFrame, target: str, batch: str, scorer: Scorer) -> None:
     own = spark.read.schema(scores_schema).parquet(scores_path).where(F.col("batch") == batch).drop("batch")
     scored = score_join(moves, old_scores.unionByName(own)).drop("position")
     _replace(scored, f"{target}/moves", batch)
-    _replace(moves.select("game_key").distinct(), f"{target}/games", batch)
+    unread = ar.corrupt_documents(raw).selectExpr(
+        "concat(player, '/', month) AS game_key", "'corrupt_document' AS reason", "_corrupt_record AS text"
+    )
+    _replace(aside.selectExpr("game_key", "reason", "pgn AS text").unionByName(unread), f"{target}/quarantine", batch)
+    _replace(good.select("game_key"), f"{target}/games", batch)
 
 
 def refresh_incremental(spark: SparkSession, landing: str, target: str, checkpoint: str, scorer: Scorer) -> DataFrame:

@@ -24,7 +24,9 @@ def test_refresh_writes_every_stage(spark, sf, whole):
     readable = texts.where("pgn IS NOT NULL AND Game_Number % 13 <> 0").count()
     assert whole.moves.select("game_key").distinct().count() == readable
     assert whole.analysis.count() == whole.moves.count()
-    assert {r.reason for r in whole.quarantine.collect()} == {"no_moves"}
+    assert {(r.reason, r.text) for r in whole.quarantine.collect()} == {
+        ("no_moves", views.NO_GAME_TEXT), ("corrupt_document", '{"games": [{"pgn\n'),
+    }
     audit = {(r.stage, r.counter): r.value for r in whole.audit.collect()}
     assert audit["months", "null_games"] == 1
     assert audit["raw_games", "rows"] == texts.count() + 2
@@ -51,6 +53,8 @@ def test_incremental_equals_batch(spark, sf, whole):
         views.write_archive(texts.where(drop), landing, marks=marks)
         ps.refresh_incremental(spark, landing, target, checkpoint, demo_scorer)
     assert rows(ps.refresh_incremental(spark, landing, target, checkpoint, demo_scorer)) == rows(whole.moves)
+    aside = spark.read.parquet(f"{target}/quarantine")
+    assert {r.reason for r in aside.collect()} == {"no_moves", "corrupt_document"}
     scores = spark.read.parquet(f"{target}/scores")
     assert scores.count() == scores.select("position").distinct().count()
     # A lost checkpoint delivers every file again under new batch names.
@@ -81,8 +85,9 @@ def test_a_batch_that_crashed_runs_again(spark, sf, whole, monkeypatch, crash_af
 
 
 def test_known_positions_are_not_scored_again(spark):
-    games = spark.createDataFrame([("1. e4 e5", 1)], "pgn string, end_time long")
-    more = spark.createDataFrame([("1. e4 e5 2. d4", 2), ("1. e4 e5 2. c4", 3)], "pgn string, end_time long")
+    columns = "player string, month string, pgn string, end_time long, _corrupt_record string"
+    games = spark.createDataFrame([("a", "m", "1. e4 e5", 1, None)], columns)
+    more = spark.createDataFrame([("a", "m", "1. e4 e5 2. d4", 2, None), ("a", "m", "1. e4 e5 2. c4", 3, None)], columns)
     target = shared_dir(spark, "target")
     ps.add_games(games, target, "a", demo_scorer)
     ps.add_games(more, target, "b", demo_scorer)

@@ -34,7 +34,7 @@ def test_archive_reads_around_a_corrupt_document(spark, landing):
     assert [r.white.username for r in games if r.url == "u1"] == ["ann"]
     clean = ps.clean_games(ps.flatten_archive(docs)).collect()
     assert [(r.player, r.url, r.pgn) for r in clean] == [("ann", "u1", "1. e4")]
-    aside = ps.corrupt_documents(docs).collect()
+    aside = ps.corrupt_documents(ps.flatten_archive(docs)).collect()
     assert [(r.player, r.month, r["_corrupt_record"]) for r in aside] == [("ann", "2024-03", '{"games": [{"pgn": ')]
 
 
