@@ -167,14 +167,11 @@ def blunder_plies(
 
 
 def first_moves(moves: DataFrame, plies: int = 6, keys: tuple[str, ...] = ("Game_Number",)) -> DataFrame:
-    """Opening key of each game: its first moves, joined. At most `plies` rows of a
-    game are gathered; the filter reaches the scan."""
-    in_order = "sort_array(collect_list(named_struct('n', Move_Number, 'm', Move)))"
-    return _agg(
-        moves.where(f"Move_Number BETWEEN 1 AND {int(plies)}"),
-        keys,
-        opening=f"array_join(transform({in_order}, x -> x.m), ' ')",
-    )
+    """Opening key of each game: its first moves, joined. The filter reaches the scan,
+    and each ply folds into a slot of its own, so nothing is gathered per game."""
+    slots = {f"_{i}": f"max(CASE WHEN Move_Number = {i} THEN Move END)" for i in range(1, plies + 1)}
+    early = moves.where(f"Move_Number BETWEEN 1 AND {int(plies)}")
+    return _agg(early, keys, **slots).selectExpr(*keys, f"concat_ws(' ', {', '.join(slots)}) AS opening")
 
 
 def opening_results(sheet: DataFrame, openings: DataFrame, key: str = "Game_Number") -> DataFrame:
@@ -235,30 +232,55 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[Da
 def name_openings(openings: DataFrame, names: DataFrame, salts: int = 64) -> DataFrame:
     """Adds the name of the longest known sequence that begins each opening.
 
-    `names` has `moves` (unique) and `name`. Distinct openings are looked up, not
-    games. Where the names do not fit a broadcast, the first moves, which a third of
-    all openings may share, are salted and each name is copied to every salt.
+    `names` has `moves` (unique) and `name`. When a look shows that it fits a
+    broadcast, each length of sequence that occurs in it is one broadcast join, and
+    nothing is shuffled.
+    """
+    table, small = bounded_broadcast(names.selectExpr("moves", "name", "size(split(moves, ' ')) AS _len"))
+    if not small:
+        return _name_openings_by_shuffle(openings, table, salts)
+    lengths = sorted((r[0] for r in table.select("_len").distinct().collect()), reverse=True)
+    out = openings.selectExpr("*", "split(opening, ' ') AS _plies")
+    for n in lengths:
+        known = F.broadcast(table.where(f"_len = {n}").selectExpr("moves AS _moves", f"name AS _name{n}"))
+        out = out.join(known, F.expr(f"size(_plies) >= {n} AND array_join(slice(_plies, 1, {n}), ' ') = _moves"), "left")
+        out = out.drop("_moves")
+    found = ", ".join(f"_name{n}" for n in lengths) or "CAST(NULL AS STRING)"
+    plies = " ".join(f"WHEN _name{n} IS NOT NULL THEN {n}L" for n in lengths) or "WHEN false THEN 0L"
+    return out.selectExpr(*openings.columns, f"coalesce({found}) AS opening_name", f"CASE {plies} END AS named_plies")
+
+
+def _name_openings_by_shuffle(openings: DataFrame, names: DataFrame, salts: int) -> DataFrame:
+    """For a list of names of any size. Distinct openings are looked up, not games.
+
+    A third of all openings may share their first move, and a third of all games their
+    opening; so both joins are salted, with a copy of the unique side for each salt.
     """
+
+    def copies(df: DataFrame) -> DataFrame:
+        return df.selectExpr("*", f"explode(sequence(0, {int(salts) - 1})) AS _salt")
+
     prefixes = (
         openings.select("opening")
         .distinct()
-        .selectExpr("opening", "split(opening, ' ') AS _plies")
+        .selectExpr("opening", f"CAST(pmod(xxhash64(opening), {int(salts)}) AS INT) AS _salt", "split(opening, ' ') AS _plies")
         .selectExpr(
             "opening",
-            "posexplode(transform(_plies, (_, i) -> array_join(slice(_plies, 1, i + 1), ' '))) AS (_len, moves)",
+            "_salt",
+            "explode(transform(_plies, (_, i) -> array_join(slice(_plies, 1, i + 1), ' '))) AS moves",
         )
     )
-    table, small = bounded_broadcast(names.select("moves", "name"))
-    if small:
-        hits = prefixes.join(table, "moves")
-    else:
-        copies = table.selectExpr("*", f"explode(sequence(0, {int(salts) - 1})) AS _salt")
-        spread = prefixes.selectExpr("*", f"pmod(hash(opening), {int(salts)}) AS _salt")
-        hits = spread.join(copies, ["moves", "_salt"])
     longest = _agg(
-        hits, ("opening",), opening_name="max_by(name, _len)", named_plies="CAST(max(_len) + 1 AS BIGINT)"
+        prefixes.join(copies(names), ["moves", "_salt"]),
+        ("opening",),
+        opening_name="max_by(name, _len)",
+        named_plies="CAST(max(_len) AS BIGINT)",
+    )
+    row = ", ".join(openings.columns)
+    spread = openings.selectExpr("*", f"CAST(pmod(xxhash64({row}), {int(salts)}) AS INT) AS _salt")
+    return spread.join(copies(longest), ["opening", "_salt"], "left").select(
+        *openings.columns, "opening_name", "named_plies"
     )
-    return openings.join(longest, "opening", "left")
 
 
 def games_to_review(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plyscope.functions.scoring import white_ply_sql
+from plyscope.session import land
 
 # A scorer takes batches with a `position` column and yields, for each position it
 # can score, `position, eval_type, eval_value, wdl`. It is called once per
@@ -40,7 +41,9 @@ def score_join(moves: DataFrame, scores: DataFrame) -> DataFrame:
 
     A ply whose position has no score is kept with NULLs. The right side is
     unique, so a position that most games share makes the left side of the join
-    lopsided but never multiplies rows; adaptive execution splits such a side.
+    lopsided but never multiplies rows. Adaptive execution splits such a side, given
+    that the scores come from a written table: over an aggregate on `position` it
+    would find no shuffle to split.
     """
     flat = scores.selectExpr(
         "position",
@@ -51,7 +54,12 @@ def score_join(moves: DataFrame, scores: DataFrame) -> DataFrame:
 
 
 def score_positions(moves: DataFrame, scorer: Scorer, partitions: int | None = None) -> DataFrame:
-    return score_join(moves, score_table(moves, scorer, partitions))
+    """Scores each distinct position once and joins the scores back.
+
+    The scores, the dearest data there are, are written down first: no lost executor
+    and no second pass makes the scorer work on a position again.
+    """
+    return score_join(moves, land(score_table(moves, scorer, partitions), "scores"))
 
 
 def normalise_scores(

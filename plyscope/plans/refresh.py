@@ -52,6 +52,7 @@ def refresh(
     snapshot_date: dt.date | str,
     scorer: Scorer,
     player: str | None = None,
+    one_per_file: bool = True,
 ) -> Refreshed:
     """Runs every stage and writes moves, analysis and quarantine under `root`.
 
@@ -59,7 +60,7 @@ def refresh(
     stage at most. The raw snapshot goes once the moves are written.
     """
     staging = f"{root}/raw"
-    docs, seen_docs = audited(ar.read_archive(spark, landing), "months", ("games",))
+    docs, seen_docs = audited(ar.read_archive(spark, landing, one_per_file), "months", ("games",))
     raw, seen_raw = audited(ar.flatten_archive(docs), "raw_games", ("pgn",))
     tb.write_snapshot(raw, staging, snapshot_date)
 

@@ -23,20 +23,24 @@ def month_keys(players: DataFrame, as_of: dt.date | str, days_back: int = 760, p
     )
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
+def archive_options(one_per_file: bool = True) -> dict[str, str]:
+    """How documents are read, as a batch or as a stream."""
+    return {
+        "multiLine": str(one_per_file).lower(),
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": "_corrupt_record",
+    }
+
+
+def read_archive(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
     """Landed documents, laid out as `player=<p>/month=<yyyy-MM>/*.json`.
 
     A document that is not JSON keeps its text in `_corrupt_record` and has no
-    games; the others are read all the same. One document is one month of one
-    player, so a file is a small unit of work and files spread over the cluster.
+    games; the others are read all the same. With one document per file, a file is
+    the unit of work. A landing of very many documents should hold one per line
+    instead (`one_per_file=False`): such files can be large and are split.
     """
-    return (
-        spark.read.schema(ARCHIVE)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .json(path)
-    )
+    return spark.read.schema(ARCHIVE).options(**archive_options(one_per_file)).json(path)
 
 
 def corrupt_documents(games: DataFrame) -> DataFrame:
@@ -53,8 +57,7 @@ def archive_gaps(expected: DataFrame, docs: DataFrame) -> DataFrame:
 
     Spark reads no corrupt column alone, so the test names `games` as well.
     """
-    readable = F.col("games").isNotNull() | F.col("_corrupt_record").isNull()
-    found = docs.where(readable).select("player", "month").distinct()
+    found = docs.where("games IS NOT NULL OR _corrupt_record IS NULL").select("player", "month").distinct()
     return expected.join(found, ["player", "month"], "left_anti")
 
 

@@ -70,19 +70,15 @@ def add_games(raw: DataFrame, target: str, batch: str, scorer: Scorer) -> None:
     _replace(good.select("game_key"), f"{target}/games", batch)
 
 
-def refresh_incremental(spark: SparkSession, landing: str, target: str, checkpoint: str, scorer: Scorer) -> DataFrame:
+def refresh_incremental(
+    spark: SparkSession, landing: str, target: str, checkpoint: str, scorer: Scorer, one_per_file: bool = True
+) -> DataFrame:
     """Takes in everything that has landed since the last call and returns the moves.
 
     Batch names carry the id of the stream's checkpoint, so a new checkpoint, which
     counts from 0 again, does not overwrite what an earlier one wrote.
     """
-    stream = (
-        spark.readStream.schema(ARCHIVE)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .json(landing)
-    )
+    stream = spark.readStream.schema(ARCHIVE).options(**ar.archive_options(one_per_file)).json(landing)
 
     def intake(docs: DataFrame, batch_id: int) -> None:
         session = docs.sparkSession

@@ -80,6 +80,38 @@ def test_numbering_sends_only_counts_to_one_task(spark, sf):
     assert "HashAggregate" in below and "Window" not in "\n".join(lines[single[0] + 1:])
 
 
+def test_a_position_that_most_plies_share_is_split(spark, tmp_path):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        moves = spark.range(0, 60000, 1, 6).selectExpr(
+            "id AS Game_Number",
+            "md5(CAST(-id AS STRING)) AS Move",
+            "CASE WHEN id % 3 = 0 THEN 'hot' ELSE md5(CAST(id % 6000 AS STRING)) END AS position",
+        )
+        path = str(tmp_path / "scores")
+        moves.select("position").distinct().selectExpr(
+            "position", "'cp' AS eval_type", "1L AS eval_value", "array(1L, 2L, 3L) AS wdl"
+        ).write.parquet(path)
+        scores = spark.read.parquet(path)
+        joined = ps.score_join(moves, scores)
+        assert "skew=true" in plan(joined)
+        assert joined.where("Evaluation IS NOT NULL").count() == 60000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_no_cartesian_product_anywhere(spark, sf):
     for name in ("opening_repertoire", "name_openings", "analysis_context", "score_join", "performance_summary"):
         df = queries.QUERIES[name](spark, sf)

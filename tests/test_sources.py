@@ -38,6 +38,14 @@ def test_archive_reads_around_a_corrupt_document(spark, landing):
     assert [(r.player, r.month, r["_corrupt_record"]) for r in aside] == [("ann", "2024-03", '{"games": [{"pgn": ')]
 
 
+def test_archive_with_one_document_per_line(spark, tmp_path):
+    lines = ['{"games": [{"pgn": "1. e4"}]}', '{"games": [{"pgn": ', '{"games": [{"pgn": "1. d4"}, {"url": "u"}]}']
+    put(tmp_path, "ann", "2024-01", "\n".join(lines))
+    games = ps.flatten_archive(ps.read_archive(spark, str(tmp_path), one_per_file=False))
+    assert sorted(r.pgn for r in ps.clean_games(games).collect()) == ["1. d4", "1. e4"]
+    assert [r["_corrupt_record"] for r in ps.corrupt_documents(games).collect()] == [lines[1]]
+
+
 def test_gaps_are_months_without_a_readable_document(spark, landing):
     players = spark.createDataFrame([("ann",), ("bob",)], "player string")
     keys = ps.month_keys(players, "2024-03-10", days_back=69)
