@@ -45,9 +45,14 @@ mv AS (
   FROM raw)"""
 
 # Plies of the games that have a text with moves in it, scored by position digest.
-TEXT_PLIES = """digests AS (
-  SELECT *, md5(string_agg(mo, ' ') OVER (PARTITION BY g ORDER BY n)) AS pos
-  FROM mv WHERE g % 11 <> 0 AND g % 13 <> 0),
+TEXT_PLIES = """played AS (SELECT *, (n - 1) // 16 AS b FROM mv WHERE g % 11 <> 0 AND g % 13 <> 0),
+blocks AS (SELECT g, b, string_agg(mo, ' ' ORDER BY n) AS t FROM played GROUP BY g, b),
+chain AS (
+  SELECT g, b, '' AS h FROM blocks WHERE b = 0
+  UNION ALL SELECT c.g, c.b + 1, md5(c.h || ' ' || k.t) FROM chain c JOIN blocks k ON k.g = c.g AND k.b = c.b),
+digests AS (
+  SELECT p.* EXCLUDE (b), md5(h || ' ' || string_agg(mo, ' ') OVER (PARTITION BY p.g, p.b ORDER BY n)) AS pos
+  FROM played p JOIN chain c ON c.g = p.g AND c.b = p.b),
 numbers AS (
   SELECT *, ('0x' || substr(pos, 1, 6))::BIGINT % 601 - 300 AS v1, ('0x' || substr(pos, 7, 6))::BIGINT % 801 AS v2,
     ('0x' || substr(pos, 13, 6))::BIGINT % 200 AS v3, ('0x' || substr(pos, 19, 2))::BIGINT % 32 = 0 AS none
@@ -120,7 +125,7 @@ MONTHS = f"""months AS (
 
 
 def query(*items: str, select: str) -> str:
-    return "WITH " + ",\n".join(items) + "\n" + select
+    return "WITH RECURSIVE " + ",\n".join(items) + "\n" + select
 
 
 def _r6(expr: str, name: str) -> str:

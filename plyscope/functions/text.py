@@ -18,6 +18,9 @@ TAG_LINE = r'(?m)^\s*\[([A-Za-z0-9][\w+#=:-]*)\s+"([^"\\\n]*(?:\\.[^"\\\n]*)*)"\
 COMMENT = r"(?m)\{[^}]*(?:\}|\z)|;[^\n]*|^%[^\n]*"
 COMMENT_MARK = "~"
 
+# Own choice: plies that share one digest of everything before them.
+POSITION_BLOCK = 16
+
 # Lines up to a blank one.
 PARAGRAPH = r"\A\s*((?:[^\n]+(?:\n(?![ \t\r]*(?:\n|\z)))?)*+)"
 
@@ -84,7 +87,17 @@ def move_tokens_sql(movetext: str) -> str:
     return _extract_all(mainline_sql(movetext), MOVE, 0)
 
 
-def plies_sql(tokens: str = "tokens") -> str:
-    """Each move with the key of the position after it, a digest of the moves so far."""
-    so_far = f"array_join(slice({tokens}, 1, i + 1), ' ')"
-    return f"transform({tokens}, (t, i) -> named_struct('Move', t, 'position', md5({so_far})))"
+def plies_sql(tokens: str = "tokens", block: int = POSITION_BLOCK) -> str:
+    """Each move with the key of the position after it: a digest of all moves so far.
+
+    Moves are cut into blocks. A block's plies hash the digest of the blocks before
+    it and the block's own moves up to them, so the work grows with the length of the
+    game and not with its square.
+    """
+    last = f"greatest(size({tokens}) - 1, 0) div {block}"
+    blocks = f"transform(sequence(0L, {last}), b -> slice({tokens}, CAST(b * {block} + 1 AS INT), {block}))"
+    link = "md5(concat(element_at(done, -1), ' ', array_join(x, ' ')))"
+    before = f"aggregate({blocks}, array(''), (done, x) -> concat(done, array({link})))"
+    key = "md5(concat(z.`1`, ' ', array_join(slice(z.`0`, 1, i + 1), ' ')))"
+    rows = f"transform(z.`0`, (t, i) -> named_struct('Move', t, 'position', {key}))"
+    return f"flatten(transform(slice(arrays_zip({blocks}, {before}), 1, CAST({last} + 1 AS INT)), z -> {rows}))"

@@ -130,11 +130,11 @@ def _several_chunks(cut: DataFrame, game: str, ply: str, chunk_plies: int, long_
         raise ValueError(f"unknown long_games {long_games!r}")
     # Written on the ply itself, not on the chunk, so that the scan can use it.
     elsewhere = f"{ply} IS NULL OR {ply} > {chunk_plies} OR {ply} <= {1 - chunk_plies}"
-    names = cut.where(elsewhere).select(game).distinct()
-    found = names.limit(BROADCAST_GAMES + 1).count()
-    if found == 0:
+    plies_elsewhere = cut.where(elsewhere).select(game)
+    if plies_elsewhere.isEmpty():
         return None
-    if found > BROADCAST_GAMES:
+    names = plies_elsewhere.distinct()
+    if names.limit(BROADCAST_GAMES + 1).count() > BROADCAST_GAMES:
         return cut
     return cut.join(F.broadcast(names), game, "left_semi")
 

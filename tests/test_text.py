@@ -91,6 +91,21 @@ def test_positions_name_prefixes(spark):
     assert len({k[0] for k in keys}) == 2 and len({k[1] for k in keys}) == 2 and len({k[2] for k in keys}) == 3
 
 
+def test_position_keys_of_long_games(spark):
+    """A key stands for all moves before it, whichever block they are in."""
+    base = ["e4", "Nf3", "O-O", "a3"] * 30
+    games = [base, base[:100], base[:40] + ["h4"] + base[41:], base + ["h4"]]
+    df = spark.createDataFrame([(i, " ".join(g)) for i, g in enumerate(games)], "n int, pgn string")
+    rows = sorted(ps.build_moves(ps.parse_games(df), ("n",)).collect(), key=lambda r: (r.n, r.Move_Number))
+    assert [[r.Move for r in rows if r.n == i] for i in range(4)] == games
+    assert [r.Move_Number for r in rows if r.n == 0] == list(range(1, 121))
+    prefix = {}
+    for r in rows:
+        prefix.setdefault(r.position, set()).add(tuple(games[r.n][: r.Move_Number]))
+    assert all(len(p) == 1 for p in prefix.values())
+    assert len(prefix) == len({p for ps_ in prefix.values() for p in ps_}) == 120 + 80 + 1
+
+
 def test_distinct_games_keeps_the_latest_copy(spark):
     link = '[Link "g/1"]\n\n1. e4'
     df = spark.createDataFrame([(1, link), (5, link + " e5"), (3, link), (2, "1. d4"), (2, "1. d4")], "end_time long, pgn string")
