@@ -24,6 +24,7 @@ POSITION_BLOCK = 16
 # Lines up to a blank one.
 PARAGRAPH = r"\A\s*((?:[^\n]+(?:\n(?![ \t\r]*(?:\n|\z)))?)*+)"
 
+INNERMOST = r"\([^()]*+\)"
 PARENTHESIS_OR_RUN = r"[()]|[^()]+"
 
 # One written move: castling, piece or pawn move, drop, or null move.
@@ -67,24 +68,33 @@ def movetext_sql(pgn: str = "pgn") -> str:
     return f"regexp_extract({bare}, r'{PARAGRAPH}', 1)"
 
 
-def mainline_sql(text: str) -> str:
-    """Text outside all parentheses, at any depth of nesting.
+def fold_parentheses_sql(text: str, passes: int = 4) -> str:
+    """Text without the parentheses that hold no others, several times over. Each pass
+    is one scan; texts without parentheses are not scanned."""
+    folded = text
+    for _ in range(passes):
+        folded = f"regexp_replace({folded}, r'{INNERMOST}', ' ')"
+    return f"CASE WHEN contains({text}, '(') THEN {folded} ELSE {text} END"
 
-    Only texts with a parenthesis take the walk, and it steps over whole runs
-    between parentheses, not over characters.
+
+def mainline_sql(folded: str) -> str:
+    """Folded text outside all parentheses that are left, at any depth of nesting.
+
+    Those are deeper ones and ones without a partner. Only such texts take the walk,
+    and it steps over whole runs between parentheses, not over characters.
     """
     depth = "CASE x WHEN '(' THEN s.depth + 1 WHEN ')' THEN greatest(s.depth - 1, 0) ELSE s.depth END"
     kept = "CASE WHEN s.depth = 0 AND x NOT IN ('(', ')') THEN concat(s.kept, ' ', x) ELSE s.kept END"
     walked = (
-        f"aggregate({_extract_all(text, PARENTHESIS_OR_RUN, 0)}, named_struct('depth', 0, 'kept', ''), "
+        f"aggregate({_extract_all(folded, PARENTHESIS_OR_RUN, 0)}, named_struct('depth', 0, 'kept', ''), "
         f"(s, x) -> named_struct('depth', {depth}, 'kept', {kept}), s -> s.kept)"
     )
-    return f"CASE WHEN contains({text}, '(') OR contains({text}, ')') THEN {walked} ELSE {text} END"
+    return f"CASE WHEN contains({folded}, '(') OR contains({folded}, ')') THEN {walked} ELSE {folded} END"
 
 
-def move_tokens_sql(movetext: str) -> str:
+def move_tokens_sql(folded: str) -> str:
     """Ordered mainline moves as written, empty for text that is no game."""
-    return _extract_all(mainline_sql(movetext), MOVE, 0)
+    return _extract_all(mainline_sql(folded), MOVE, 0)
 
 
 def plies_sql(tokens: str = "tokens", block: int = POSITION_BLOCK) -> str:

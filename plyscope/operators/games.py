@@ -74,7 +74,8 @@ def parse_games(games: DataFrame) -> DataFrame:
     return (
         with_headers(games)
         .selectExpr(*own, "headers", f"{tx.movetext_sql('pgn')} AS _movetext")
-        .selectExpr(*own, "headers", f"{GAME_KEY} AS game_key", f"{tx.move_tokens_sql('_movetext')} AS tokens")
+        .selectExpr(*own, "headers", f"{tx.fold_parentheses_sql('_movetext')} AS _folded")
+        .selectExpr(*own, "headers", f"{GAME_KEY} AS game_key", f"{tx.move_tokens_sql('_folded')} AS tokens")
         .withColumn("ply_count", ply_count())
     )
 
