@@ -125,7 +125,7 @@ MONTHS = f"""months AS (
 
 
 def query(*items: str, select: str) -> str:
-    return "WITH RECURSIVE " + ",\n".join(items) + "\n" + select
+    return ("WITH RECURSIVE " if TEXT_PLIES in items else "WITH ") + ",\n".join(items) + "\n" + select
 
 
 def _r6(expr: str, name: str) -> str:
