@@ -156,13 +156,12 @@ def train(
     return Model(languages, kernel, coefficients.astype(np.float32), (offset - mean @ w).astype(np.float32), sharpness)
 
 
-def identify(rows: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """All rows with `lang_pred` and `score` added (columns of those names are replaced).
+def identify(rows: DataFrame, model: Model | None, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """All rows with the language and its score added (columns of those names are replaced).
 
     The prediction is `und` with score 0 for a null text, one without a letter, or without
     a model. Texts are read whole; nothing else of a row is looked at.
     """
-    rows = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c not in ("lang_pred", "score")])
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
 
@@ -180,8 +179,16 @@ def identify(rows: DataFrame, model: Model | None, text: str = "text") -> DataFr
                 [pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["name", "score"]
             )
 
-    found = rows.withColumn("_lang", predict(F.col(text).cast("string")))
-    return found.withColumns({"lang_pred": F.col("_lang.name"), "score": F.col("_lang.score")}).drop("_lang")
+    found = rows.withColumn("_found_language", predict(F.col(text).cast("string")))
+    added = {n: F.col(f"_found_language.{c}") for n, c in zip(names, ("name", "score"), strict=True)}
+    return found.withColumns(added).drop("_found_language")
+
+
+def keep_identified(rows: DataFrame, model: Model | None, text: str = "text", least: float = 0.35) -> DataFrame:
+    """The rows, all columns, whose language is told with a score of `least` or more."""
+    names = ("_language", "_language_score")
+    found = identify(rows, model, text, names).where(F.col(names[0]) != UNKNOWN).where(F.col(names[1]) >= least)
+    return found.drop(*names)
 
 
 def learnt_rows(docs: DataFrame) -> DataFrame:
