@@ -81,34 +81,31 @@ def find_hits(
     rows = rows.withColumn("copy", F.xxhash64("text"))
     every = spans(rows, ["doc_id", "copy"], "text", f"concat({', '.join(keys)})", shared, k)
     small = sum(lengths.values()) <= broadcast_spans
-    marks = leaks.groupBy("m", "len").agg(F.collect_list(F.struct("span", "item_id")).alias("found"))
+    small_side = F.broadcast if small else (lambda df: df)
+    marks = leaks.select("m", "len").distinct().withColumn("marked", F.lit(True))
     if small:
-        every = every.join(F.broadcast(marks.select("m", "len", "found")), ["m", "len"], "left")
-        every = every.where("at = 0 OR found IS NOT NULL")
-        hits = every.withColumn("here", F.expr("concat_ws(' ', slice(w, at, len))"))
+        # One stage of generated code, so that the words are referred to and never copied.
+        every = every.join(small_side(marks), ["m", "len"], "left").where("at = 0 OR marked")
+        hits = every.withColumn("span", F.expr("concat_ws(' ', slice(w, greatest(at, 1), len))"))
     else:
         narrow = every.select("doc_id", "copy", "n_words", "at", "len", "m")
-        heads = narrow.where("at = 0")
-        narrow = narrow.where("at > 0").join(marks.select("m", "len"), ["m", "len"], "left_semi")
+        heads = narrow.where("at = 0").withColumn("span", F.lit(None).cast("string"))
+        narrow = narrow.where("at > 0").join(marks, ["m", "len"], "left_semi")
         # the words of documents that have such a key, read once more
         of = narrow.groupBy("doc_id", "copy").agg(F.collect_set(F.struct("at", "len", "m")).alias("keys"))
         same = rows.dropDuplicates(["doc_id", "copy"]).alias("r").join(
             of.alias("o"), F.expr("r.doc_id <=> o.doc_id AND r.copy = o.copy")
         )
         words = f"regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{WORD}', 0)"
-        again = same.selectExpr("r.doc_id AS doc_id", "r.copy AS copy", f"inline(transform(array({words}), w -> named_struct('w', w, 'n_words', CAST(size(w) AS bigint), 'keys', keys)))")
-        again = again.selectExpr("doc_id", "copy", "n_words", "w", "inline(keys)")
-        again = again.selectExpr("doc_id", "copy", "n_words", "at", "len", "m", "concat_ws(' ', slice(w, at, len)) AS here")
-        again = again.join(marks, ["m", "len"])
-        hits = heads.select("doc_id", "copy", "n_words", "at", "len", F.lit("").alias("here"), F.lit(None).cast(marks.schema["found"].dataType).alias("found")).unionByName(
-            again.select("doc_id", "copy", "n_words", "at", "len", "here", "found")
-        )
-    hits = hits.withColumn("items", F.expr("transform(filter(found, f -> f.span = here), f -> f.item_id)"))
-    hits = hits.where("at = 0 OR size(items) > 0").select("doc_id", "copy", "n_words", "at", "len", "items")
+        again = same.selectExpr("r.doc_id AS doc_id", "r.copy AS copy", "keys", f"{words} AS w")
+        again = again.selectExpr("doc_id", "copy", "CAST(size(w) AS bigint) AS n_words", "w", "inline(keys)")
+        again = again.selectExpr("doc_id", "copy", "n_words", "at", "len", "m", "concat_ws(' ', slice(w, at, len)) AS span")
+        hits = heads.unionByName(again)
+    hits = hits.join(small_side(leaks), ["m", "len", "span"], "left").where("at = 0 OR item_id IS NOT NULL")
     per_row = hits.groupBy("doc_id", "copy", "n_words").agg(
         F.count(F.when(F.col("at") == 0, 1)).alias("rows"),
         F.collect_set(F.when(F.col("at") > 0, F.struct("at", "len"))).alias("at"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("at") > 0, F.col("items")))))).alias("items"),
+        F.array_sort(F.collect_set(F.when(F.col("at") > 0, F.col("item_id")))).alias("items"),
     )
     hit_words = "CAST(size(array_distinct(flatten(transform(at, a -> sequence(a.at, a.at + a.len - 1))))) AS bigint)"
     return per_row.selectExpr("doc_id", "copy", "n_words", "rows", f"{hit_words} AS n_hit", "items")
