@@ -12,6 +12,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -42,7 +43,7 @@ HEADLINE = (
     "latest_snapshot",
     "ndjson_roundtrip",
 )
-WHOLE_JOBS = ("refresh", "incremental_refresh")
+WHOLE_JOBS = ("refresh", "incremental_refresh", "incremental_analysis")
 
 
 def main() -> None:
@@ -52,7 +53,7 @@ def main() -> None:
     spark = build_session(
         "bench",
         f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g"},
+        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g", "spark.checkpoint.dir": tempfile.mkdtemp()},
     )
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -54,7 +55,9 @@ def differences(spark_df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -
 
 def main(argv: list[str]) -> int:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    spark: SparkSession = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
+    spark: SparkSession = build_session(
+        "compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.checkpoint.dir": tempfile.mkdtemp()}
+    )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     bad = 0

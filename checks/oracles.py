@@ -139,6 +139,7 @@ def analysis(game: str) -> str:
 
 
 GAME = 'g AS "Game_Number"'
+NULL_GAME = 'nullif(g, 1) AS "Game_Number"'
 PLY = 'n AS "Move_Number"'
 FLAT = f"""{GAME}, {PLY}, mo AS "Move", et AS eval_type, ev AS eval_value, array_to_string(wdl, '/') AS wdl,
   wh AS "White", bl AS "Black", dd AS "End_Date\""""
@@ -177,11 +178,32 @@ def per_snapshot(where: str) -> str:
     )
 
 
+def triggers(*items: str) -> str:
+    return query(
+        *items,
+        """tr AS (
+  SELECT lower(mover) AS player, g, n, ph,
+    CASE WHEN round(del, 6) >= 0.3 THEN 'blunder' WHEN round(del, 6) >= 0.2 THEN 'mistake' ELSE 'inaccuracy' END AS kind,
+    CASE WHEN wp0 IS NULL THEN 'unknown' WHEN wp0 < 0.35 THEN 'losing' WHEN wp0 > 0.65 THEN 'winning' ELSE 'even' END AS state
+  FROM sp WHERE round(del, 6) >= 0.1)""",
+        """ag AS (
+  SELECT t.player, kind, state, t.ph AS game_phase, CASE WHEN b.mo IS NULL THEN 'none' WHEN b.mo LIKE 'O-O%' THEN 'castling'
+    WHEN contains(b.mo, '=') THEN 'promotion' WHEN contains(b.mo, 'x') THEN 'capture'
+    WHEN contains(b.mo, '+') OR contains(b.mo, '#') THEN 'check' ELSE 'quiet' END AS after_move
+  FROM tr t LEFT JOIN sp b ON b.g = t.g AND b.n = t.n - 1)""",
+        "ct AS (SELECT player, kind, after_move, state, game_phase, count(*) AS n FROM ag GROUP BY ALL)",
+        select="""SELECT *, round(n / sum(n) OVER (PARTITION BY player), 4) AS share,
+  row_number() OVER (PARTITION BY player ORDER BY n DESC, kind, after_move, state, game_phase) AS rank FROM ct""",
+    )
+
+
 REFRESHED = query(*TEXT, scored("tx"), select=f"SELECT {analysis(LINKED)} FROM sp")
 
 ORACLES: dict[str, str] = {
     "move_analysis": query(*SCORED, select=f"SELECT {analysis(GAME)} FROM sp ORDER BY g, n"),
     "move_analysis_long_games": query(CUT_LONG, MV, scored(), select=f"SELECT {analysis(GAME)} FROM sp"),
+    "move_analysis_null_game": query(CUT_LONG, MV, scored(), select=f"SELECT {analysis(NULL_GAME)} FROM sp"),
+    "move_analysis_long_ordered": query(CUT_LONG, MV, scored(), select=f"SELECT {analysis(GAME)} FROM sp"),
     "eval_fields": query(
         *BASE, select=f'SELECT {GAME}, {PLY}, et AS "Evaluation_Type", ev AS "Evaluation_Value" FROM mv'
     ),
@@ -230,6 +252,8 @@ ORACLES: dict[str, str] = {
     ),
     "performance_summary": performance("true"),
     "performance_as_of": performance(f"m = date_trunc('month', DATE '{AS_OF}')"),
+    "performance_of_one": performance("player = 'customer#000000001'"),
+    "blunder_triggers": triggers(*SCORED),
     "blunder_habits": query(
         *SCORED,
         MISTAKES,
@@ -366,6 +390,10 @@ ORACLES: dict[str, str] = {
     ),
     "latest_snapshot": query(*BASE, select=f"SELECT {FLAT} FROM mv WHERE n > 10"),
     "snapshot_overwrite": per_snapshot("true"),
+    "snapshot_empty_rerun": per_snapshot("snapshot <> '2024-01-15'"),
+    "moves_scan": query(*BASE, select=f"SELECT {FLAT} FROM mv"),
+    "ndjson_inferred": query(*BASE, select=f"SELECT {FLAT} FROM mv"),
+    "analysis_ndjson": query(*SCORED, select=f"SELECT {analysis(GAME)} FROM sp"),
     "staging_cleanup": per_snapshot("snapshot <> '2024-01-08'"),
     "ndjson_roundtrip": query(*BASE, select=f"SELECT {FLAT} FROM mv"),
     "run_audit": query(
@@ -377,5 +405,10 @@ ORACLES: dict[str, str] = {
   UNION ALL SELECT 'moves', 'null_WDL Stats', count(*) - count(wdl) FROM mv""",
     ),
     "refresh": REFRESHED,
+    "refresh_backfill": REFRESHED,
+    "refresh_reports": triggers(*TEXT, scored("tx")),
     "incremental_refresh": REFRESHED,
+    "incremental_analysis": REFRESHED,
+    "incremental_relanded": REFRESHED,
 }
+ORACLES["name_openings_shuffle"] = ORACLES["name_openings"]

@@ -106,6 +106,16 @@ def move_analysis_long_games(spark, sf):
     return analysis_out(ps.move_analysis(views.long_games(spark, sf), ordered=False))
 
 
+def move_analysis_null_game(spark, sf):
+    """A game without a number, over several chunks."""
+    long = views.long_games(spark, sf).withColumn("Game_Number", F.expr("nullif(Game_Number, 1L)"))
+    return analysis_out(ps.move_analysis(long, ordered=False, chunk_plies=256))
+
+
+def move_analysis_long_ordered(spark, sf):
+    return analysis_out(ps.move_analysis(views.long_games(spark, sf), chunk_plies=256))
+
+
 def eval_fields(spark, sf):
     return views.moves(spark, sf).select(
         "Game_Number",
@@ -185,6 +195,10 @@ def blunder_plies(spark, sf):
     return ps.blunder_plies(scored(spark, sf))
 
 
+def blunder_triggers(spark, sf):
+    return ps.blunder_triggers(scored(spark, sf))
+
+
 def opening_repertoire(spark, sf):
     plies = scored(spark, sf)
     sides = ps.opening_results(ps.game_sheet(plies), ps.first_moves(views.moves(spark, sf), plies=2))
@@ -196,10 +210,19 @@ def name_openings(spark, sf):
     return ps.name_openings(openings, views.opening_names(spark, sf))
 
 
+def name_openings_shuffle(spark, sf):
+    openings = ps.first_moves(views.moves(spark, sf), plies=6)
+    return ps.name_openings(openings, views.opening_names(spark, sf), broadcast_rows=0)
+
+
 def games_to_review(spark, sf):
     return ps.games_to_review(scored(spark, sf))
 
 
+def performance_of_one(spark, sf):
+    return ps.performance_summary(ps.game_sheet(scored(spark, sf)), PLAYER)
+
+
 def analysis_context(spark, sf):
     mv = views.moves(spark, sf)
     joined = ps.with_game_context(ps.move_analysis(mv, ordered=False), mv)
@@ -336,6 +359,31 @@ def ndjson_roundtrip(spark, sf):
     return moves_flat(ps.read_ndjson(spark, path, mv.schema))
 
 
+def snapshot_empty_rerun(spark, sf):
+    """The newest date run again without rows."""
+    root = _snapshots(spark, sf)
+    ps.write_snapshot(views.moves(spark, sf).where("false"), root, "2024-01-15")
+    return _per_snapshot(spark, root)
+
+
+def moves_scan(spark, sf):
+    path, mv = shared_dir(spark, "moves"), views.moves(spark, sf)
+    mv.write.parquet(path)
+    return moves_flat(ps.read_moves(spark, path, mv.schema))
+
+
+def analysis_ndjson(spark, sf):
+    path, done = shared_dir(spark, "analysis"), ps.move_analysis(views.moves(spark, sf), ordered=False)
+    ps.write_ndjson(done, path)
+    return analysis_out(ps.read_ndjson(spark, path, done.schema))
+
+
+def ndjson_inferred(spark, sf):
+    path = shared_dir(spark, "ndjson")
+    ps.write_ndjson(views.moves(spark, sf), path)
+    return moves_flat(ps.read_ndjson(spark, path))
+
+
 def run_audit(spark, sf):
     texts_seen = ps.audited(views.game_texts(spark, sf), "games", ("pgn",))
     moves_seen = ps.audited(views.moves(spark, sf), "moves", ("Evaluation", "WDL Stats"))
@@ -356,24 +404,64 @@ def refresh(spark, sf):
     return analysis_out(_named(done.analysis), "Game_Link")
 
 
-def incremental_refresh(spark, sf):
+def refresh_backfill(spark, sf):
+    """An older date run after a newer one that held other games."""
+    root = shared_dir(spark, "backfill")
+    third = views.game_texts(spark, sf).where("Game_Number % 3 = 0")
+    ps.refresh(spark, views.write_archive(third, shared_dir(spark, "archive")), root, AS_OF, demo_scorer)
+    done = ps.refresh(spark, views.archive(spark, sf), root, "2024-05-08", demo_scorer)
+    return analysis_out(_named(done.analysis), "Game_Link")
+
+
+def refresh_reports(spark, sf):
+    done = ps.refresh(spark, views.archive(spark, sf), shared_dir(spark, "reports"), AS_OF, demo_scorer)
+    return done.reports["blunder_triggers"]
+
+
+def _two_drops(spark, sf):
     """Two drops that share games, then a run with nothing new."""
     text = views.game_texts(spark, sf)
-    landing, target, checkpoint = (shared_dir(spark, n) for n in ("landing", "target", "stream"))
+    landing, target = shared_dir(spark, "landing"), shared_dir(spark, "target")
     views.write_archive(text.where("Game_Number % 3 <> 2"), landing)
-    ps.refresh_incremental(spark, landing, target, checkpoint, demo_scorer)
+    ps.refresh_incremental(spark, landing, target, demo_scorer)
     views.write_archive(text.where("Game_Number % 3 <> 0"), landing, marks=False)
-    ps.refresh_incremental(spark, landing, target, checkpoint, demo_scorer)
-    moves = ps.refresh_incremental(spark, landing, target, checkpoint, demo_scorer)
+    ps.refresh_incremental(spark, landing, target, demo_scorer)
+    return ps.refresh_incremental(spark, landing, target, demo_scorer)
+
+
+def incremental_refresh(spark, sf):
+    moves = _two_drops(spark, sf).moves
     done = ps.move_analysis(moves, game="game_key", ordered=False, keep=("Game_Link",))
     return analysis_out(_named(done), "Game_Link")
 
 
+def incremental_analysis(spark, sf):
+    return analysis_out(_named(_two_drops(spark, sf).analysis), "Game_Link")
+
+
+def incremental_relanded(spark, sf):
+    """A first run with nothing landed; documents that lack games, hold games cut short,
+    and hold one that is gone later; then the same documents again as they should be."""
+    text = views.game_texts(spark, sf)
+    landing, target = shared_dir(spark, "landing"), shared_dir(spark, "target")
+    ps.refresh_incremental(spark, landing, target, demo_scorer)
+    short = text.where("Game_Number % 4 <> 1").withColumn(
+        "pgn", F.expr("CASE WHEN Game_Number % 4 = 2 THEN concat(substring_index(pgn, '1. ', 1), '1. a4 a5 2. h4') ELSE pgn END")
+    )
+    gone = text.where("Game_Number % 4 = 3").withColumn("pgn", F.lit("1. a4 a5"))
+    views.land_documents(short.unionByName(gone), landing)
+    ps.refresh_incremental(spark, landing, target, demo_scorer)
+    views.land_documents(text, landing)
+    return analysis_out(_named(ps.refresh_incremental(spark, landing, target, demo_scorer).analysis), "Game_Link")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         move_analysis,
         move_analysis_long_games,
+        move_analysis_null_game,
+        move_analysis_long_ordered,
         eval_fields,
         wdl_from_end,
         player_to_move,
@@ -387,10 +475,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         phase_drop,
         performance_summary,
         performance_as_of,
+        performance_of_one,
         blunder_habits,
         blunder_plies,
+        blunder_triggers,
         opening_repertoire,
         name_openings,
+        name_openings_shuffle,
         games_to_review,
         analysis_context,
         game_headers,
@@ -407,10 +498,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         clean_games,
         latest_snapshot,
         snapshot_overwrite,
+        snapshot_empty_rerun,
         staging_cleanup,
         ndjson_roundtrip,
+        moves_scan,
+        analysis_ndjson,
+        ndjson_inferred,
         run_audit,
         refresh,
+        refresh_backfill,
+        refresh_reports,
         incremental_refresh,
+        incremental_analysis,
+        incremental_relanded,
     )
 }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plyscope.session import shared_dir
+from plyscope.sources.tables import filesystem
 
 # Which written move stands for which event type.
 MOVE_OF_EVENT = {
@@ -168,5 +169,22 @@ def write_archive(texts: DataFrame, path: str, marks: bool = True) -> str:
     return path
 
 
+def land_documents(texts: DataFrame, path: str) -> str:
+    """Lands each document under a name of its own; one that is there is replaced."""
+    spark = texts.sparkSession
+    fresh = write_archive(texts, shared_dir(spark, "documents"), marks=False)
+    fs, root = filesystem(spark, fresh)
+    found = fs.listFiles(root, True)
+    while found.hasNext():
+        file = found.next().getPath()
+        if file.getName().startswith("part-"):
+            place = file.getParent()
+            _, to = filesystem(spark, f"{path}/{place.getParent().getName()}/{place.getName()}/doc.json")
+            fs.mkdirs(to.getParent())
+            fs.delete(to, False)
+            fs.rename(file, to)
+    return path
+
+
 def archive(spark: SparkSession, sf_dir: str) -> str:
     return write_archive(game_texts(spark, sf_dir), shared_dir(spark, "archive"))

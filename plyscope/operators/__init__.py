@@ -11,6 +11,7 @@ from .games import (  # noqa: F401
 from .report import (  # noqa: F401
     blunder_habits,
     blunder_plies,
+    blunder_triggers,
     first_moves,
     for_player,
     game_sheet,
@@ -25,7 +26,6 @@ from .report import (  # noqa: F401
 )
 from .scores import normalise_scores, score_join, score_positions, score_table  # noqa: F401
 from .sequence import (  # noqa: F401
-    game_window,
     number_games,
     ordered,
     score_plies,

@@ -48,21 +48,27 @@ def with_headers(games: DataFrame) -> DataFrame:
     )
 
 
+# Orders the copies of a game: the latest end, then the larger digest of the text. One
+# number of fixed width, so that a maximum over it folds in a hash table.
+LATEST = (
+    "CAST(coalesce(end_time, -100000000000000000L) AS DECIMAL(38, 0)) * CAST('18446744073709551616' AS DECIMAL(20, 0))"
+    " + CAST(digest AS DECIMAL(20, 0))"
+)
+
+
 def distinct_games(games: DataFrame, latest: str = "end_time") -> DataFrame:
     """One row per game key, as two players' archives hold the same game.
 
-    The latest copy stays. Copies fold before the shuffle, so a game that was
-    delivered very often reaches the last task as one row per earlier task.
+    The copy with the latest `end_time` stays; of several, that of the larger text digest.
+    What is compared has fixed width and folds before the shuffle; the texts are then sent
+    once, and only those of the copies that stay. Equal copies are left to the last step.
     """
-    rest = [c for c in games.columns if c not in (latest, "pgn")]
-    copy = ", ".join(f"`{c}`" for c in (latest, "pgn", *rest))
-    return (
-        with_headers(games)
-        .selectExpr(f"{GAME_KEY} AS game_key", f"struct({copy}) AS g")
-        .groupBy("game_key")
-        .agg({"g": "max"})
-        .selectExpr("game_key", "`max(g)`.*")
-    )
+    own = [f"`{c}`" for c in games.columns]
+    keyed = with_headers(games).selectExpr(*own, f"{GAME_KEY} AS game_key", "xxhash64(pgn) AS digest", f"{latest} AS _end")
+    order = LATEST.replace("end_time", "_end")
+    stay = keyed.groupBy("game_key").agg(F.expr(f"max_by(digest, {order})").alias("digest"), F.expr(f"max({order})").alias("_order"))
+    copies = keyed.withColumn("_order", F.expr(order)).join(stay, ["game_key", "digest", "_order"], "left_semi")
+    return copies.select("game_key", *own).dropDuplicates(["game_key"])
 
 
 def parse_games(games: DataFrame) -> DataFrame:

@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plyscope.functions import scoring as sc
+from plyscope.session import land
 
 PHASES = ("opening", "middlegame", "endgame")
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 DATE_FORMAT = "yyyy.MM.dd"
 STEPS = "CAST(round(delta * 2000) AS BIGINT)"
 
@@ -166,6 +168,35 @@ def blunder_plies(
     )
 
 
+MOVE_KINDS = (
+    "CASE WHEN {0} IS NULL THEN 'none' WHEN {0} LIKE 'O-O%' THEN 'castling' WHEN {0} LIKE '%=%' THEN 'promotion' "
+    "WHEN {0} LIKE '%x%' THEN 'capture' WHEN {0} LIKE '%+%' OR {0} LIKE '%#%' THEN 'check' ELSE 'quiet' END"
+)
+STATES = "CASE WHEN wp_before IS NULL THEN 'unknown' WHEN wp_before < 0.35 THEN 'losing' WHEN wp_before > 0.65 THEN 'winning' ELSE 'even' END"
+
+
+def blunder_triggers(
+    scored: DataFrame, player: str | None = None, bands=sc.LOSS_BANDS, game: str = "Game_Number"
+) -> DataFrame:
+    """What comes before a player's mistakes: the kind of the move just made, how the game
+    stood, and the phase; commonest first, with the share of all the player's mistakes.
+
+    The move before is met by a join on game and ply, which spreads a long game evenly.
+    """
+    mistakes = _mistakes(scored, player, bands).selectExpr(
+        f"{game} AS _g", "Move_Number AS _ply", "player", "kind", f"{STATES} AS state", "game_phase"
+    )
+    moves = scored.selectExpr(f"{game} AS _g", "Move_Number + 1 AS _ply", f"{MOVE_KINDS.format('Move')} AS _kind")
+    met = mistakes.join(moves, ["_g", "_ply"], "left").selectExpr("*", "coalesce(_kind, 'none') AS after_move")
+    counted = _agg(met, ("player", "kind", "after_move", "state", "game_phase"), n="count(*)")
+    # As many rows per player as there are combinations.
+    return counted.selectExpr(
+        "*",
+        "round(n / sum(n) OVER (PARTITION BY player), 4) AS share",
+        "CAST(row_number() OVER (PARTITION BY player ORDER BY n DESC, kind, after_move, state, game_phase) AS BIGINT) AS rank",
+    )
+
+
 def first_moves(moves: DataFrame, plies: int = 6, keys: tuple[str, ...] = ("Game_Number",)) -> DataFrame:
     """Opening key of each game: its first moves, joined. The filter reaches the scan,
     and each ply folds into a slot of its own, so nothing is gathered per game."""
@@ -223,20 +254,29 @@ def opening_repertoire(
     )
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Hints a broadcast only after a look shows that `df` is small enough."""
-    small = df.limit(max_rows + 1).count() <= max_rows
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Hints a broadcast only after a look shows that `df` is small enough, in rows and in
+    the bytes of its text columns."""
+    texts = [f"coalesce(octet_length(`{n}`), 0)" for n, t in df.dtypes if t == "string"]
+    look = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(F.expr(" + ".join(["0", *texts])))).first()
+    small = look[0] <= max_rows and (look[1] or 0) <= max_bytes
     return (F.broadcast(df) if small else df), small
 
 
-def name_openings(openings: DataFrame, names: DataFrame, salts: int = 64) -> DataFrame:
+def name_openings(
+    openings: DataFrame, names: DataFrame, salts: int = 64, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Adds the name of the longest known sequence that begins each opening.
 
-    `names` has `moves` (unique) and `name`. When a look shows that it fits a
-    broadcast, each length of sequence that occurs in it is one broadcast join, and
-    nothing is shuffled.
+    `names` has `moves` and `name`; a sequence listed several times goes by the least of
+    its names, and one without a name is not known. When a look shows that the list fits
+    a broadcast, each length of sequence that occurs in it is one broadcast join, and
+    nothing is shuffled; the answer is the same either way.
     """
-    table, small = bounded_broadcast(names.selectExpr("moves", "name", "size(split(moves, ' ')) AS _len"))
+    known = names.where("moves IS NOT NULL AND name IS NOT NULL").groupBy("moves").agg(F.min("name").alias("name"))
+    table, small = bounded_broadcast(
+        land(known, "names").selectExpr("moves", "name", "size(split(moves, ' ')) AS _len"), broadcast_rows
+    )
     if not small:
         return _name_openings_by_shuffle(openings, table, salts)
     lengths = sorted((r[0] for r in table.select("_len").distinct().collect()), reverse=True)

@@ -7,7 +7,7 @@ over the cluster like any other data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plyscope.functions import scoring as sc
@@ -15,16 +15,13 @@ from plyscope.session import land
 
 CHUNK_PLIES = 4096
 MAX_PLY = 2**63 - 1
+GAME_KEY = "struct({game} IS NULL AS none, {game} AS name)"
+BROKEN_PROMISE = "CAST(raise_error('a ply beyond the first chunk, although long_games=none') AS BIGINT)"
 BROADCAST_GAMES = 100_000
 
 MEANS = ("ACPL_White", "ACPL_Black", "Game_Accuracy_White", "Game_Accuracy_Black")
 
 
-def game_window(game: str = "Game_Number", ply: str = "Move_Number"):
-    """The plain window of a game: right for games known to be short."""
-    return Window.partitionBy(game).orderBy(F.col(ply).asc_nulls_last())
-
-
 def _scored(ply: str, ev: str, w: str, d: str, pev: str, pw: str, pd: str) -> dict[str, str]:
     before, after = sc.win_probability_sql(pw, pd, w, d)
     delta = sc.win_delta_sql(before, after)
@@ -74,8 +71,9 @@ def score_plies(
     `long_games` says how that relation comes about. `check` first looks for games
     of more than one chunk, a scan of two columns whose filter reaches the parquet
     statistics: with none there is no relation, and with some only their rows are
-    read again. `none` asserts there are none, `all` builds it over all rows; both
-    run nothing ahead.
+    read again. `none` promises there are none, and a ply beyond the first chunk
+    fails the query; `all` builds the relation over all rows; both run nothing ahead.
+    A NULL game is one game like any other.
 
     With `ordered` the shuffle is by range, so that it serves the total order by
     game and ply as well.
@@ -90,16 +88,22 @@ def score_plies(
         f"{sc.from_end_sql('`WDL Stats`', 2)} AS _d",
         f"coalesce(CAST({ply} AS BIGINT), {MAX_PLY}L) AS _ord",
     ).selectExpr("*", f"(_ord - 1) div {int(chunk_plies)} AS _chunk")
+    if long_games == "none":
+        cut = cut.withColumn("_chunk", F.expr(f"CASE WHEN {_elsewhere(ply, chunk_plies)} THEN {BROKEN_PROMISE} ELSE _chunk END"))
 
     several = _several_chunks(cut, game, ply, chunk_plies, long_games)
-    by_game = F.col(game).asc_nulls_last()
+    key, by_game = game, F.col(game).asc_nulls_last()
+    if several is not None:
+        # Never NULL, so that rows meet their bridge; it sorts as the game does, NULL last.
+        cut, several = (df.withColumn("_game", F.expr(GAME_KEY.format(game=game))) for df in (cut, several))
+        key, by_game = "_game", F.col("_game")
     placed = cut.repartitionByRange(by_game, "_chunk") if ordered else cut
-    rows, measures = _within_chunks(placed, game, ply, skip_first)
+    rows, measures = _within_chunks(placed, key, ply, skip_first)
     means = {m: f"_m_{m}" for m in MEANS}
     before = {"pev": "_pev", "pw": "_pw", "pd": "_pd"}
     if several is not None:
-        bridge = _chunk_bridge(several, measures, game, ply, skip_first)
-        rows = rows.join(bridge, [game, "_chunk"], "left")
+        bridge = _chunk_bridge(several, measures, key, ply, skip_first)
+        rows = rows.join(bridge, [key, "_chunk"], "left")
         before = {c: f"_x{c}" for c in before}
         rows = rows.selectExpr("*", *[f"CASE WHEN _head THEN _b{c} ELSE _{c} END AS {x}" for c, x in before.items()])
         means = {m: f"coalesce(_b_{m}, _m_{m})" for m in MEANS}
@@ -110,10 +114,15 @@ def score_plies(
         "game_phase": sc.game_phase_sql(ply),
     }
     own = [f"`{c}`" for c in moves.columns if c not in derived]
-    out = rows.selectExpr(*own, *_named(derived), "_chunk", "_ord")
+    out = rows.selectExpr(*own, *_named(derived), *(["_game"] if key != game else []), "_chunk", "_ord")
     if ordered:
         out = out.orderBy(by_game, "_chunk", "_ord")
-    return out.drop("_chunk", "_ord")
+    return out.drop("_game", "_chunk", "_ord")
+
+
+def _elsewhere(ply: str, chunk_plies: int) -> str:
+    """A ply beyond the first chunk; on the ply itself, so that a scan can use it."""
+    return f"{ply} IS NULL OR {ply} > {chunk_plies} OR {ply} <= {1 - chunk_plies}"
 
 
 def _several_chunks(cut: DataFrame, game: str, ply: str, chunk_plies: int, long_games: str) -> DataFrame | None:
@@ -128,15 +137,13 @@ def _several_chunks(cut: DataFrame, game: str, ply: str, chunk_plies: int, long_
         return cut
     if long_games != "check":
         raise ValueError(f"unknown long_games {long_games!r}")
-    # Written on the ply itself, not on the chunk, so that the scan can use it.
-    elsewhere = f"{ply} IS NULL OR {ply} > {chunk_plies} OR {ply} <= {1 - chunk_plies}"
-    plies_elsewhere = cut.where(elsewhere).select(game)
+    plies_elsewhere = cut.where(_elsewhere(ply, chunk_plies)).select(F.col(game).alias("_name"))
     if plies_elsewhere.isEmpty():
         return None
     names = plies_elsewhere.distinct()
     if names.limit(BROADCAST_GAMES + 1).count() > BROADCAST_GAMES:
         return cut
-    return cut.join(F.broadcast(names), game, "left_semi")
+    return cut.join(F.broadcast(names), F.col(game).eqNullSafe(F.col("_name")), "left_semi")
 
 
 def _within_chunks(cut: DataFrame, game: str, ply: str, skip_first: bool) -> tuple[DataFrame, dict[str, str]]:

@@ -52,14 +52,6 @@ MOVES = T.StructType(
     ]
 )
 
-# What this package adds to the moves table: a key that stays the same from run
-# to run, and the result, without which no win rate can be computed.
-KEYED_MOVES = T.StructType(
-    [T.StructField("game_key", T.StringType())]
-    + MOVES.fields
-    + [T.StructField("Result", T.StringType())]
-)
-
 ANALYSIS = T.StructType(
     [
         T.StructField("Game_Number", T.LongType()),

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_SHARED: dict[str, str] = {}
+_LANDED: dict[str, list[str]] = {}
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -37,17 +36,16 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder under the one that all executors share.
 
-    The cluster names it in `spark.checkpoint.dir`. Only a local session, where
-    driver and executors are one process, may fall back to a temporary folder.
+    The cluster names it in `spark.checkpoint.dir`; where that is unset it is the
+    warehouse folder, which a cluster shares as well. Never a temporary folder of
+    one machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        if not warehouse:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _LOCAL_SHARED:
-            _LOCAL_SHARED[app] = tempfile.mkdtemp(prefix="plyscope-")
-        base = _LOCAL_SHARED[app]
+        base = f"{warehouse.rstrip('/')}/_landed"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -55,8 +53,24 @@ def land(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
     This cuts lineage in a way that survives the loss of executors: later stages
-    read files, and values such as row positions are fixed for good.
+    read files, and values such as row positions are fixed for good. The table
+    stays until `clear_landed`, or the cluster's own clean-up, takes it.
     """
-    path = shared_dir(df.sparkSession, label)
+    spark = df.sparkSession
+    path = shared_dir(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _LANDED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_landed(spark: SparkSession) -> int:
+    """Delete the tables this session has landed; the number deleted.
+
+    Only for when no frame built on them is needed any more.
+    """
+    paths = _LANDED.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        location.getFileSystem(hadoop).delete(location, True)
+    return len(paths)

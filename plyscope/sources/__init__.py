@@ -12,6 +12,7 @@ from .tables import (  # noqa: F401
     latest_snapshot,
     read_moves,
     read_ndjson,
+    read_snapshot,
     snapshot_dates,
     write_bucketed,
     write_ndjson,

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plyscope.schemas import ARCHIVE
+from plyscope.session import shared_dir
+from plyscope.sources.tables import exists, filesystem
 
 
 def month_keys(players: DataFrame, as_of: dt.date | str, days_back: int = 760, player: str = "player") -> DataFrame:
@@ -38,8 +40,13 @@ def read_archive(spark: SparkSession, path: str, one_per_file: bool = True) -> D
     A document that is not JSON keeps its text in `_corrupt_record` and has no
     games; the others are read all the same. With one document per file, a file is
     the unit of work. A landing of very many documents should hold one per line
-    instead (`one_per_file=False`): such files can be large and are split.
+    instead (`one_per_file=False`): such files can be large and are split. A landing
+    that does not exist holds no documents.
     """
+    if not exists(spark, path):
+        path = shared_dir(spark, "nothing-landed")
+        fs, location = filesystem(spark, path)
+        fs.mkdirs(location)
     return spark.read.schema(ARCHIVE).options(**archive_options(one_per_file)).json(path)
 
 
@@ -61,15 +68,14 @@ def archive_gaps(expected: DataFrame, docs: DataFrame) -> DataFrame:
     return expected.join(found, ["player", "month"], "left_anti")
 
 
-def flatten_archive(docs: DataFrame) -> DataFrame:
-    """One row per game with the game's fields as columns.
+def flatten_archive(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per game with the game's fields as columns, and `keep` of its document.
 
     A month without games stays as one row of NULLs; `clean_games` drops it. A
     document that could not be read is such a row too, with its text.
     """
-    return docs.select("player", "month", "_corrupt_record", F.explode_outer("games").alias("g")).select(
-        "player", "month", "g.*", "_corrupt_record"
-    )
+    own = ("player", "month", *keep, "_corrupt_record")
+    return docs.select(*own, F.explode_outer("games").alias("g")).select(*own[:-1], "g.*", "_corrupt_record")
 
 
 def clean_games(games: DataFrame, keep: tuple[str, ...] = ("player", "month", "url", "end_time")) -> DataFrame:

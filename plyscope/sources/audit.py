@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,17 +14,29 @@ def audited(df: DataFrame, stage: str, nulls: Iterable[str] = ()) -> tuple[DataF
 
     The counts come from the action that runs anyway; there is no extra pass.
     """
-    seen = Observation(stage)
+    seen, nulls = Observation(stage), list(nulls)
     counters = [F.count(F.lit(1)).alias("rows")]
     counters += [F.count(F.when(F.col(f"`{c}`").isNull(), 1)).alias(f"null_{c}") for c in nulls]
+    seen.names = ["rows", *[f"null_{c}" for c in nulls]]
     return df.observe(seen, *counters), seen
 
 
+def _values(seen: Observation) -> dict[str, int]:
+    """The counters of a finished stage. A stage without rows may have been planned away,
+    and its counters with it."""
+    try:
+        return seen.get
+    except Py4JJavaError as e:
+        if "AssertionError" not in str(e.java_exception):
+            raise
+        return dict.fromkeys(seen.names, 0)
+
+
 def audit_table(spark: SparkSession, seen: Iterable[tuple[str, Observation]]) -> DataFrame:
     """One row per counter of each finished stage."""
     rows = [
         (stage, counter, int(value))
         for stage, observation in seen
-        for counter, value in observation.get.items()
+        for counter, value in _values(observation).items()
     ]
     return spark.createDataFrame(rows, "stage string, counter string, value bigint")

@@ -31,21 +31,27 @@ def write_ndjson(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def snapshot_dir(root: str, snapshot_date: dt.date | str) -> str:
+    return f"{root.rstrip('/')}/{SNAPSHOT}={snapshot_date}"
+
+
 def write_snapshot(df: DataFrame, root: str, snapshot_date: dt.date | str, sort_by: tuple[str, ...] = ()) -> str:
     """Write one dated snapshot and return its folder.
 
-    A second run for the same date replaces that date and no other.
+    A second run for the same date replaces that date and no other, also when it has
+    no rows.
     """
-    dated = df.withColumn(SNAPSHOT, F.lit(str(snapshot_date)).cast("date"))
+    dated = df.drop(SNAPSHOT)
     if sort_by:
         dated = dated.sortWithinPartitions(*sort_by)
-    (
-        dated.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(SNAPSHOT)
-        .parquet(root)
-    )
-    return f"{root.rstrip('/')}/{SNAPSHOT}={snapshot_date}"
+    folder = snapshot_dir(root, snapshot_date)
+    dated.write.mode("overwrite").parquet(folder)
+    return folder
+
+
+def read_snapshot(spark: SparkSession, root: str, snapshot_date: dt.date | str, schema: T.StructType) -> DataFrame:
+    """The snapshot of one date, whatever other dates there are; without the date column."""
+    return spark.read.schema(schema).parquet(snapshot_dir(root, snapshot_date))
 
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "game_key", ply: str = "Move_Number") -> None:
@@ -59,6 +65,11 @@ def filesystem(spark: SparkSession, path: str):
     return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, location = filesystem(spark, path)
+    return bool(fs.globStatus(location))
+
+
 def snapshot_dates(spark: SparkSession, root: str) -> list[str]:
     """Dates present, from the folder listing alone: no file is opened."""
     fs, location = filesystem(spark, root)
@@ -82,5 +93,5 @@ def latest_snapshot(spark: SparkSession, root: str, schema: T.StructType | None
 
 def drop_staging(spark: SparkSession, root: str, snapshot_date: dt.date | str) -> bool:
     """Remove one staged snapshot; False if it was not there."""
-    fs, location = filesystem(spark, f"{root.rstrip('/')}/{SNAPSHOT}={snapshot_date}")
+    fs, location = filesystem(spark, snapshot_dir(root, snapshot_date))
     return bool(fs.delete(location, True))

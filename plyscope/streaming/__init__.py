@@ -1 +1 @@
-from .intake import add_games, refresh_incremental  # noqa: F401
+from .intake import Incremental, add_games, current_tables, refresh_incremental, stream_games  # noqa: F401

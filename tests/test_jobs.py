@@ -1,10 +1,17 @@
+import json
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 import plyscope as ps
 from checks import views
 from checks.queries import demo_scorer
+from plyscope.schemas import ARCHIVE
 from plyscope.session import shared_dir
+from plyscope.sources.archive import archive_options
+from plyscope.sources.tables import filesystem
 from plyscope.streaming import intake
 
 COLUMNS = ("game_key", "Move_Number", "Move", "Evaluation", "WDL Stats", "White", "Black", "End_Date", "Result")
@@ -36,7 +43,7 @@ def test_refresh_writes_every_stage(spark, sf, whole):
     numbers = [r[0] for r in whole.moves.select("Game_Number").distinct().collect()]
     assert len(numbers) == readable
     for name, table in whole.reports.items():
-        assert table.count() > 0 or name == "opening_repertoire", name
+        assert table.count() > 0 or name in ("opening_repertoire", "this_month"), name
 
 
 def test_refresh_drops_its_staging(spark, sf):
@@ -48,18 +55,123 @@ def test_refresh_drops_its_staging(spark, sf):
 
 def test_incremental_equals_batch(spark, sf, whole):
     texts = views.game_texts(spark, sf)
-    landing, target, checkpoint = (shared_dir(spark, n) for n in ("landing", "target", "stream"))
+    landing, target = (shared_dir(spark, n) for n in ("landing", "target"))
+    nothing = ps.refresh_incremental(spark, landing, target, demo_scorer)
+    assert nothing.moves.count() == nothing.analysis.count() == nothing.audit.count() == 0
     for drop, marks in (("Game_Number % 3 <> 2", True), ("Game_Number % 3 <> 0", False)):
         views.write_archive(texts.where(drop), landing, marks=marks)
-        ps.refresh_incremental(spark, landing, target, checkpoint, demo_scorer)
-    assert rows(ps.refresh_incremental(spark, landing, target, checkpoint, demo_scorer)) == rows(whole.moves)
+        done = ps.refresh_incremental(spark, landing, target, demo_scorer)
+        assert {r.stage for r in done.audit.collect()} == {"documents", "games", "moves", "analysis"}
+    before = sorted(os.listdir(f"{target}/analysis"))
+    done = ps.refresh_incremental(spark, landing, target, demo_scorer)
+    assert rows(done.moves) == rows(whole.moves) and sorted(os.listdir(f"{target}/analysis")) == before
+    assert done.analysis.count() == whole.analysis.count()
     aside = spark.read.parquet(f"{target}/quarantine")
     assert {r.reason for r in aside.collect()} == {"no_moves", "corrupt_document"}
+    assert spark.read.parquet(f"{target}/missing_tags").select("missing_headers").distinct().count() > 0
     scores = spark.read.parquet(f"{target}/scores")
     assert scores.count() == scores.select("position").distinct().count()
-    # A lost checkpoint delivers every file again under new batch names.
-    again = ps.refresh_incremental(spark, landing, target, shared_dir(spark, "stream"), demo_scorer)
-    assert rows(again) == rows(whole.moves)
+    # A lost manifest delivers every file again under new batch names.
+    filesystem(spark, target)[0].delete(filesystem(spark, f"{target}/documents")[1], True)
+    again = ps.refresh_incremental(spark, landing, target, demo_scorer)
+    assert rows(again.moves) == rows(whole.moves) and again.analysis.count() == whole.analysis.count()
+
+
+def document(folder, games, month="2024-01", age=0):
+    path = folder / "player=a" / f"month={month}"
+    path.mkdir(parents=True, exist_ok=True)
+    (path / "doc.json").write_text(json.dumps({"games": games}))
+    then = time.time() - age
+    os.utime(path / "doc.json", (then, then))
+
+
+def game(link, moves, end):
+    return {"pgn": f'[Link "{link}"]\n\n{moves}', "url": link, "end_time": end}
+
+
+def test_late_and_changed_documents_equal_the_batch(spark, tmp_path):
+    landing, target = tmp_path / "landing", str(tmp_path / "target")
+    steps = [
+        dict(games=[game("g1", "1. e4 e5", 1), game("g2", "1. d4", 5)]),
+        dict(games=[game("g3", "1. c4", 1)], month="2023-01", age=40 * 86400),  # old when it lands
+        dict(games=[game("g1", "1. e4 e5 2. Nf3", 2), game("g4", "1. f4", 3)], age=-60),  # again: g1 corrected, g2 gone
+        dict(games=[game("g1", "1. a4", 1), game("g2", "1. d4 d5", 4)], month="2024-02"),  # an older copy of g1
+        dict(games=[], month="2024-02", age=-60),
+    ]
+    for i, step in enumerate(steps):
+        document(landing, **step)
+        done = ps.refresh_incremental(spark, str(landing), target, demo_scorer)
+        if i < 2:
+            continue
+        batch = ps.refresh(spark, str(landing), str(tmp_path / f"batch{i}"), "2024-05-15", demo_scorer)
+        assert rows(done.moves) == rows(batch.moves), i
+        key = ("game_key", "Move_Number", "move_accuracy", "ACPL_White", "CentiPawnLoss")
+        assert sorted(map(str, done.analysis.select(*key).collect())) == sorted(map(str, batch.analysis.select(*key).collect()))
+
+
+def test_a_run_that_crashed_is_repeated(spark, tmp_path, monkeypatch):
+    landing, target = tmp_path / "landing", str(tmp_path / "target")
+    document(landing, [game("g1", "1. e4 e5", 1)])
+    real = intake._replace
+
+    def crash(df, path, batch):
+        if path.endswith("documents"):
+            raise RuntimeError("lost")
+        real(df, path, batch)
+
+    monkeypatch.setattr(intake, "_replace", crash)
+    with pytest.raises(RuntimeError):
+        ps.refresh_incremental(spark, str(landing), target, demo_scorer)
+    monkeypatch.setattr(intake, "_replace", real)
+    document(landing, [game("g2", "1. d4", 1)], month="2024-02")
+    done = ps.refresh_incremental(spark, str(landing), target, demo_scorer)
+    assert sorted((r.game_key, r.Move_Number) for r in done.moves.collect()) == [("g1", 1), ("g1", 2), ("g2", 1)]
+
+
+def test_history_is_not_shuffled_for_few_games(spark, tmp_path):
+    history = str(tmp_path / "history")
+    spark.range(1000).selectExpr("CAST(id AS STRING) AS position").write.parquet(history)
+    keys = spark.createDataFrame([("5",), ("7",)], "position string")
+    met = intake._met(spark.read.parquet(history), keys, ["position"])
+    assert met.count() == 2
+    shown = met._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in shown and "Exchange hashpartitioning" not in shown
+
+
+def test_a_stream_adds_games(spark, tmp_path):
+    landing, target = tmp_path / "landing", str(tmp_path / "target")
+    for i, moves in enumerate(("1. e4", "1. d4 d5")):
+        document(landing, [game(f"g{i}", moves, 1)], month=f"2024-0{i + 1}")
+        docs = spark.readStream.schema(ARCHIVE).options(**archive_options()).json(str(landing))
+        ps.stream_games(ps.flatten_archive(docs), target, str(tmp_path / "stream"), demo_scorer).awaitTermination()
+    moves, analysis = ps.current_tables(spark, target)
+    assert sorted((r.game_key, r.Move_Number) for r in moves.collect()) == [("g0", 1), ("g1", 1), ("g1", 2)]
+    assert analysis.count() == 3
+
+
+def test_refresh_of_nothing(spark, tmp_path):
+    done = ps.refresh(spark, str(tmp_path / "none"), str(tmp_path / "root"), "2024-05-15", demo_scorer)
+    assert [t.count() for t in (done.moves, done.analysis, done.quarantine, done.missing_tags)] == [0, 0, 0, 0]
+    assert all(t.count() == 0 for t in done.reports.values())
+    assert {r.value for r in done.audit.collect()} <= {0}
+
+
+def test_refresh_with_nothing_set_aside_and_names(spark, tmp_path):
+    document(tmp_path / "landing", [game("g1", "1. e4 e5 2. Nf3", 1)])
+    names = spark.createDataFrame([("e4 e5", "Open")], "moves string, name string")
+    done = ps.refresh(spark, str(tmp_path / "landing"), str(tmp_path / "root"), "2024-05-15", demo_scorer, names=names)
+    assert done.quarantine.count() == 0 and done.moves.count() == 3
+    assert done.missing_tags.count() == 1
+    assert "opening_name" in done.reports["opening_repertoire"].columns
+
+
+def test_a_rerun_without_rows_empties_the_date(spark, tmp_path):
+    root = str(tmp_path / "root")
+    document(tmp_path / "one", [game("g1", "1. e4", 1), game("g2", "no moves at all", 2)])
+    first = ps.refresh(spark, str(tmp_path / "one"), root, "2024-05-15", demo_scorer)
+    assert first.quarantine.count() == 1
+    again = ps.refresh(spark, str(tmp_path / "none"), root, "2024-05-15", demo_scorer)
+    assert again.quarantine.count() == again.moves.count() == 0
 
 
 @pytest.mark.parametrize("crash_after", ["scores", "moves"])

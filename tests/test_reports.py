@@ -181,19 +181,44 @@ def test_opening_repertoire(played):
 
 
 @pytest.mark.parametrize("limit", [0, 1000])
-def test_name_openings_with_and_without_broadcast(spark, monkeypatch, limit):
-    monkeypatch.setattr(rp, "bounded_broadcast", lambda df: (df, False) if limit == 0 else (df, True))
+def test_name_openings_with_and_without_broadcast(spark, limit):
     openings = spark.createDataFrame(
         [(1, "e4 e5 Nf3"), (2, "e4 c5"), (3, "d4 d5"), (4, "e4 e5 f4"), (5, "e4")], "Game_Number long, opening string"
     )
-    names = spark.createDataFrame([("e4", "King's"), ("e4 e5 Nf3", "Open"), ("e4 e5", "Double")], "moves string, name string")
-    got = {r.Game_Number: (r.opening_name, r.named_plies) for r in ps.name_openings(openings, names).collect()}
+    names = [("e4", "King's"), ("e4 e5 Nf3", "Open"), ("e4 e5", "Twin"), ("e4 e5", "Double"), ("e4 c5", None), (None, "x")]
+    names = spark.createDataFrame(names, "moves string, name string")
+    found = ps.name_openings(openings, names, broadcast_rows=limit).collect()
+    got = {r.Game_Number: (r.opening_name, r.named_plies) for r in found}
+    assert len(found) == 5
     assert got == {1: ("Open", 3), 2: ("King's", 1), 3: (None, None), 4: ("Double", 2), 5: ("King's", 1)}
 
 
 def test_bounded_broadcast_checks_the_size(spark):
     df = spark.range(50)
     assert rp.bounded_broadcast(df, 50)[1] and not rp.bounded_broadcast(df, 49)[1]
+    texts = df.selectExpr("repeat('x', 100) AS t")
+    assert rp.bounded_broadcast(texts, 50, 5000)[1] and not rp.bounded_broadcast(texts, 50, 4999)[1]
+
+
+def test_blunder_triggers(played):
+    _, scored, rows = played
+    by_ply = {(r.Game_Number, r.Move_Number): r for r in rows}
+    kinds = {}
+    for r in rows:
+        if r.delta is None or round(r.delta, 6) < 0.1:
+            continue
+        kind = "blunder" if round(r.delta, 6) >= 0.3 else "mistake" if round(r.delta, 6) >= 0.2 else "inaccuracy"
+        before = by_ply.get((r.Game_Number, r.Move_Number - 1))
+        move = before.Move if before else None
+        after = "none" if move is None else "castling" if move.startswith("O-O") else "promotion" if "=" in move else \
+            "capture" if "x" in move else "check" if "+" in move or "#" in move else "quiet"
+        state = "losing" if r.wp_before < 0.35 else "winning" if r.wp_before > 0.65 else "even"
+        key = (r.Player_To_Move.lower(), kind, after, state, r.game_phase)
+        kinds[key] = kinds.get(key, 0) + 1
+    got = ps.blunder_triggers(scored).collect()
+    assert {(r.player, r.kind, r.after_move, r.state, r.game_phase): r.n for r in got} == kinds
+    one = ps.blunder_triggers(scored, "ann").collect()
+    assert {tuple(r) for r in one} == {tuple(r) for r in got if r.player == "ann"}
 
 
 def test_games_to_review(played):

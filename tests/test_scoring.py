@@ -94,6 +94,23 @@ def test_short_games_may_be_asserted(spark):
     check_scored(ps.score_plies(moves(spark, rows), long_games="none"), rows)
 
 
+def test_a_broken_promise_of_short_games_fails(spark):
+    rows = random_rows(3)
+    with pytest.raises(Exception, match="beyond the first chunk"):
+        ps.score_plies(moves(spark, rows), long_games="none", chunk_plies=3).collect()
+
+
+@pytest.mark.parametrize("ordered", [False, True])
+@pytest.mark.parametrize("mode", ["check", "all"])
+def test_a_null_game_over_several_chunks(spark, mode, ordered):
+    rows = [(g, n, n * 37 % 601 - 300, [n * 13 % 700, n % 300, 0]) for g in (None, 1, 2) for n in range(1, 30)]
+    df = ps.score_plies(moves(spark, rows), chunk_plies=4, long_games=mode, ordered=ordered)
+    check_scored(df, rows)
+    if ordered:
+        got = [(r.Game_Number, r.Move_Number) for r in df.collect()]
+        assert got == sorted(got, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+
+
 def test_result_does_not_depend_on_partitions(spark):
     df = moves(spark, random_rows(5))
     one = sorted(map(str, ps.score_plies(df.coalesce(1), chunk_plies=8).collect()))

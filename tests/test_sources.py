@@ -81,6 +81,9 @@ def test_snapshots(spark, tmp_path):
     assert ps.drop_staging(spark, root, "2024-01-08")
     assert not ps.drop_staging(spark, root, "2024-01-08")
     assert ps.latest_snapshot(spark, root).count() == 3
+    assert ps.read_snapshot(spark, root, "2024-01-01", MOVES).count() == 3
+    ps.write_snapshot(sample(spark, 1).where("false"), root, "2024-01-01")
+    assert ps.read_snapshot(spark, root, "2024-01-01", MOVES).count() == 0
 
 
 def test_read_moves_as_view(spark, tmp_path):
@@ -125,6 +128,26 @@ def test_shared_folder_comes_from_the_session(spark):
     assert landed.count() == 5 and os.listdir(base)
 
 
+def test_landed_tables_can_be_cleared(spark, tmp_path, monkeypatch):
+    from plyscope import session
+
+    monkeypatch.setattr(session, "_LANDED", {})
+    monkeypatch.setattr(session, "shared_dir", lambda spark, label: str(tmp_path / label))
+    land(spark.range(5), "a"), land(spark.range(5), "b")
+    assert sorted(p for p in os.listdir(tmp_path) if p in "ab") == ["a", "b"]
+    assert ps.clear_landed(spark) == 2 and ps.clear_landed(spark) == 0
+    assert not os.path.exists(tmp_path / "a")
+
+
+def test_without_a_checkpoint_folder_the_warehouse_serves(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.unset("spark.checkpoint.dir")
+    try:
+        assert shared_dir(spark, "x").startswith(spark.conf.get("spark.sql.warehouse.dir"))
+    finally:
+        spark.conf.set("spark.checkpoint.dir", base)
+
+
 @pytest.mark.parametrize("partitions", [1, 3, 8])
 def test_numbering(spark, partitions):
     df = spark.range(1000).select(
