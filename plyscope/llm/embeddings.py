@@ -21,8 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plyscope.llm.common import components, slices, table
-from plyscope.llm.neardup import runs
+from plyscope.llm.common import components, deal_blocks, groups_of, meet, runs, slices, table
 from plyscope.session import land
 
 BLOCK = 1024
@@ -66,48 +65,6 @@ def plan(x: np.ndarray, n: int, limit: float, recall: float) -> Index:
     return Index(rotations, bits, tables, int(total * differ + 6 * math.sqrt(total * differ * (1 - differ))))
 
 
-def groups_of(near: np.ndarray) -> np.ndarray:
-    """For each row of a symmetric boolean matrix, the first row of its connected group."""
-    label = np.full(len(near), -1)
-    for i in range(len(near)):
-        if label[i] >= 0:
-            continue
-        label[i], front = i, np.array([i])
-        while len(front):
-            front = np.flatnonzero(near[front].any(axis=0) & (label < 0))
-            label[front] = i
-    return label
-
-
-def close_groups(codes: np.ndarray, differing: int) -> np.ndarray:
-    """Labels of the groups of close codes. Rows close to the first are settled by one look
-    at it; only the rest are held against all."""
-    far = lambda i: np.bitwise_count(codes ^ codes[i]).sum(axis=1) > differing
-    rest = np.flatnonzero(far(0))
-    nodes = np.r_[0, rest]
-    place = np.zeros(len(codes), dtype=np.int64)
-    place[rest] = np.arange(1, len(nodes))
-    near = np.zeros((len(nodes), len(nodes)), dtype=bool)
-    for k, i in enumerate(rest, 1):
-        near[k, place[~far(i)]] = True
-    near |= near.T
-    return nodes[groups_of(near)][place]
-
-
-def _blocks(rows: DataFrame, keys: list[str], block: int, columns: list[str]) -> DataFrame:
-    """Rows dealt to the pairs of blocks of their group, sorted so that a pair is a run of rows."""
-    size = rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.expr(f"ceil(n / {block})"))
-    own = rows.join(size, keys).withColumn("block", F.expr("pmod(xxhash64(nid), blocks)"))
-    own = own.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-    own = own.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-    by = [*keys, "lo", "hi"]
-    return own.select(*by, "block", "nid", *columns).repartition(*by).sortWithinPartitions(*by)
-
-
-def _matrix(column: pa.ChunkedArray, dtype: type) -> np.ndarray:
-    return np.stack([np.frombuffer(v, dtype=dtype) for v in column.to_pylist()])
-
-
 def near_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", limit: float = 0.9, recall: float = 0.999, sample: int = 8192) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row: links are pairs of cosine >= `limit`.
 
@@ -137,33 +94,28 @@ def near_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embeddi
             for part in slices(batch, 512):
                 v = np.array(part["v"].to_pylist(), dtype=np.float64)
                 codes = own.codes(v / np.abs(v).max(axis=1, keepdims=True))
-                packed = [r.tobytes() for r in np.packbits(np.pad(codes, ((0, 0), (0, -codes.shape[1] % 64))), axis=1)]
+                packed = np.packbits(np.pad(codes, ((0, 0), (0, -codes.shape[1] % 64))), axis=1).view(np.int64)
+                many = np.repeat(packed, own.tables, axis=0)
                 keys = own.keys(codes)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "at": np.tile(np.arange(own.tables), len(v)),
                         "bucket": keys.ravel(),
                         "nid": np.repeat(part["nid"].to_numpy(), own.tables),
-                        "code": pa.array(packed, pa.binary()).take(pa.array(np.repeat(np.arange(len(v)), own.tables))),
+                        "code": pa.ListArray.from_arrays(np.arange(0, many.size + 1, many.shape[1], dtype=np.int32), many.ravel()),
                     }
                 )
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, t in runs(batches, ["at", "bucket", "lo", "hi"]):
-            nid = t["nid"].to_numpy()
-            hub = nid[close_groups(_matrix(t["code"], np.uint64), index.value.differing)]
-            apart = hub != nid
-            yield pa.RecordBatch.from_pydict({"a": np.minimum(hub, nid)[apart], "b": np.maximum(hub, nid)[apart]})
-
-    coded = nodes.select("nid", "v").mapInArrow(code, "at long, bucket long, nid long, code binary")
-    met = _blocks(land(coded, "codes"), ["at", "bucket"], BLOCK, ["code"]).mapInArrow(meet, "a long, b long")
+    coded = nodes.select("nid", "v").mapInArrow(code, "at long, bucket long, nid long, code array<long>")
+    keys = ["at", "bucket"]
+    dealt = deal_blocks(land(coded, "codes"), keys, BLOCK, ["code"])
+    met = dealt.mapInArrow(lambda batches: meet(batches, keys, index.value.differing), "a long, b long")
     candidates = land(components(met).withColumnsRenamed({"node": "nid", "component": "grp"}), "candidates")
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, lo, hi), t in runs(batches, ["grp", "lo", "hi"]):
-            nid, block, copies = (t[c].to_numpy() for c in ("nid", "block", "copies"))
-            v = np.array(t["v"].to_pylist(), dtype=np.float64)
-            v /= np.abs(v).max(axis=1, keepdims=True)
+            nid, block, copies = (t[c] for c in ("nid", "block", "copies"))
+            v = t["v"] / np.abs(t["v"]).max(axis=1, keepdims=True)
             v /= np.linalg.norm(v, axis=1, keepdims=True)
             near = v @ v.T >= limit
             np.fill_diagonal(near, False)
@@ -172,7 +124,7 @@ def near_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embeddi
             label = nid[groups_of(near)]
             yield pa.RecordBatch.from_pydict({"nid": nid, "hub": label, "n": (near @ copies).astype(np.int64)})
 
-    dealt = _blocks(candidates.join(nodes.select("nid", "copies", "v"), "nid"), ["grp"], BLOCK, ["copies", "v"])
+    dealt = deal_blocks(candidates.join(nodes.select("nid", "copies", "v"), "nid"), ["grp"], BLOCK, ["copies", "v"])
     links = land(dealt.mapInArrow(rerank, "nid long, hub long, n long"), "links")
     joined = components(links, "nid", "hub")
     counts = links.groupBy("nid").agg(F.sum("n").alias("n"))

@@ -5,10 +5,11 @@ collect candidates, and fold into odd sketches: parity bitmaps whose XOR counts
 high similarity closely enough to drop pairs far below the limit. What is left is confirmed
 on the full sets. Equal sets are one node from the start, so copies cost nothing further.
 
-Within a band bucket no list of all pairs is made. Every member is first held against one
-member of its bucket; the links found join most of a bucket into one component. Then only
-members of different components that share a bucket are compared, first the closest by
-sketch, then all that are left, so that no link between candidates is lost.
+No list of all pairs is made. Within a band bucket, members whose sketches are close are
+joined into one candidate group, by fewer edges than members. The sets of a group then come
+together once: all are held against its first member, and only members that are not in one
+component yet are compared further, as far as sketch, size and the triangle inequality of the
+Jaccard distance leave the pair a chance. No link between candidates is lost.
 """
 
 from __future__ import annotations
@@ -21,13 +22,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from plyscope.llm.common import U64, byte_texts, components, mixed, slices, table
+from plyscope.llm.common import U64, byte_texts, components, deal_blocks, meet, mixed, runs, slices, table
 from plyscope.session import land
 
 BANDS, ROWS = 32, 4
 SAMPLES = BANDS * ROWS
 BITS = 512
-BLOCK = 2048
+BLOCK, SET_BLOCK = 2048, 1024
 _rng = np.random.default_rng(20240229)
 MULTIPLY = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint32) | np.uint32(1)
 ADD = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint32)
@@ -110,136 +111,71 @@ def sketch(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select("doc_id", "row", "text").mapInArrow(run, schema)
 
 
-def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
-    """The groups of sorted input, one at a time; only the group at hand is held."""
-    held: list[pa.RecordBatch] = []
-    current: tuple | None = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        cols = [batch[k].to_numpy(zero_copy_only=False) for k in keys]
-        change = np.zeros(batch.num_rows, dtype=bool)
-        for c in cols:
-            change[1:] |= c[1:] != c[:-1]
-        starts = np.r_[0, np.flatnonzero(change), batch.num_rows]
-        for a, b in zip(starts[:-1], starts[1:], strict=True):
-            key = tuple(c[a].item() for c in cols)
-            if held and key != current:
-                yield current, pa.Table.from_batches(held)
-                held = []
-            current = key
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield current, pa.Table.from_batches(held)
-
-
-def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets meet 100 * intersection >= percent * union.
-
-    Sets are made again from the texts of the nodes concerned. A node in very many pairs is
-    sent once per 64 partners, not once per pair.
-    """
-    needed = pairs.selectExpr("explode(array(a, b)) AS nid").distinct().join(nodes.select("nid", "doc_id", "node"), "nid")
-    texts = docs.select("doc_id", "text").join(needed, docs.doc_id.eqNullSafe(needed.doc_id)).select("nid", "node", "text")
+def candidate_groups(nodes: DataFrame, differing: int) -> DataFrame:
+    """(nid, grp): nodes that share a band bucket with a node of close sketch, by group."""
+    keyed = nodes.select("nid", F.explode("bands").alias("key"))
+    shared = keyed.groupBy("key").agg(F.min("nid").alias("least"), F.max("nid").alias("most")).where("least < most")
+    members = keyed.join(shared.select("key"), "key").join(nodes.selectExpr("nid", "odd AS code"), "nid")
+    dealt = deal_blocks(land(members, "members"), ["key"], BLOCK, ["code"])
+    edges = dealt.mapInArrow(lambda batches: meet(batches, ["key"], differing), "a long, b long")
+    return components(edges).withColumnsRenamed({"node": "nid", "component": "grp"})
+
+
+def group_sets(groups: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """(nid, grp, odd, items): the full sets of the grouped nodes, made again from their texts."""
+    needed = groups.join(nodes.select("nid", "doc_id", "node", "odd"), "nid")
+    texts = docs.select(F.col("doc_id").alias("own_id"), "text").join(needed, F.col("own_id").eqNullSafe(F.col("doc_id")))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 512):
                 sets = [shingle_set(t, shingle).tobytes() for t in byte_texts(part["text"])]
                 own = np.array([xxh3_128_digest(s) == n for s, n in zip(sets, part["node"].to_pylist(), strict=True)], dtype=bool)
-                yield pa.RecordBatch.from_pydict({"nid": part["nid"], "items": pa.array(sets, pa.binary())}).filter(pa.array(own))
-
-    sets = land(texts.mapInArrow(make, "nid long, items binary").dropDuplicates(["nid"]), "sets")
-    many = pairs.groupBy("a").agg(F.expr("ceil(count(*) / 64)").alias("parts"))
-    dealt = pairs.join(many, "a").selectExpr("a", "b", "parts", "pmod(xxhash64(b), parts) AS part")
-    hubs = sets.join(many.withColumnRenamed("a", "nid"), "nid")
-    hubs = hubs.selectExpr("nid AS a", "explode(sequence(0L, parts - 1)) AS part", "0 AS role", "nid AS b", "items")
-    others = dealt.join(sets, dealt.b == sets.nid).selectExpr("a", "part", "1 AS role", "b", "items")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, own = None, np.empty(0, np.uint64)
-        for batch in batches:
-            found = []
-            a, role, b = (batch[c].to_pylist() for c in ("a", "role", "b"))
-            for x, r, y, items in zip(a, role, b, batch["items"], strict=True):
-                s = np.frombuffer(items.as_buffer(), dtype=np.uint64)
-                if r == 0:
-                    hub, own = x, s.copy()
-                    continue
-                if x != hub:
-                    raise ValueError("a set is missing")
-                at = np.searchsorted(own, s)
-                same = int((own[np.minimum(at, len(own) - 1)] == s).sum())
-                if 100 * same >= percent * (len(own) + len(s) - same):
-                    found.append((x, y))
-            yield pa.RecordBatch.from_pydict(
-                {"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())}
-            )
-
-    both = hubs.unionByName(others).repartition("a", "part").sortWithinPartitions("a", "part", "role")
-    return both.mapInArrow(compare, "a long, b long")
-
-
-def cross_pairs(members: DataFrame, differing: int, percent: int, closest: bool) -> DataFrame:
-    """Pairs of one bucket and different components that the sketches let through.
-
-    `members`: key, nid, component, n, odd. A bucket of more than BLOCK members is compared
-    in blocks, each pair of blocks by itself. `closest`: of each node, only the nearest
-    member of each other component.
-    """
-    size = members.groupBy("key").agg(F.expr(f"ceil(count(*) / {BLOCK})").alias("blocks"))
-    own = members.join(size, "key").withColumn("block", F.expr("pmod(xxhash64(nid), blocks)"))
-    own = own.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-    own = own.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-    keys = ["key", "lo", "hi"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, lo, hi), t in runs(batches, keys):
-            nid, comp, n, block = (t[c].to_numpy() for c in ("nid", "component", "n", "block"))
-            odd = np.array(t["odd"].combine_chunks().flatten()).reshape(len(nid), -1)
-            left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-            a, b, far = [], [], []
-            for i in left:
-                x = np.bitwise_count(odd[right] ^ odd[i]).sum(axis=1)
-                near = np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * percent
-                ok = np.flatnonzero((comp[right] != comp[i]) & near & (x <= differing) & ((lo != hi) | (nid[right] > nid[i])))
-                if closest and len(ok):
-                    ok = ok[np.lexsort((x[ok], comp[right][ok]))]
-                    ok = ok[np.r_[True, comp[right][ok][1:] != comp[right][ok][:-1]]]
-                a.append(np.full(len(ok), nid[i]))
-                b.append(nid[right][ok])
-                far.append(x[ok])
-            a, b = (np.concatenate(v) if v else np.empty(0, np.int64) for v in (a, b))
-            yield pa.RecordBatch.from_pydict({"a": np.minimum(a, b).astype(np.int64), "b": np.maximum(a, b).astype(np.int64)})
-
-    dealt = own.select(*keys, "block", "nid", "component", "n", "odd").repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+                columns = {c: part[c] for c in ("nid", "grp", "odd")} | {"items": pa.array(sets, pa.binary())}
+                yield pa.RecordBatch.from_pydict(columns).filter(pa.array(own))
+
+    made = texts.select("nid", "grp", "odd", "node", "text").mapInArrow(make, "nid long, grp long, odd array<long>, items binary")
+    return made.dropDuplicates(["nid"])
+
+
+def join_by_links(sets: list[np.ndarray], odd: np.ndarray, differing: int, percent: int) -> np.ndarray:
+    """For each set the first of its component; links are exact, pairs already joined are left out."""
+    n, odd = np.array([len(s) for s in sets]), odd.view(np.uint64)
+    same = lambda i, j: int((sets[i][np.minimum(np.searchsorted(sets[i], sets[j]), n[i] - 1)] == sets[j]).sum())
+    shared = np.array([same(0, j) for j in range(len(sets))])
+    apart = 1 - shared / (n[0] + n - shared)  # Jaccard distance from the first
+    label = np.arange(len(sets))
+    label[100 * shared >= percent * (n[0] + n - shared)] = 0
+    reach = 1 - percent / 100 + 1e-9
+    for i in np.flatnonzero(label != 0):
+        x = np.bitwise_count(odd ^ odd[i]).sum(axis=1)
+        chance = (x <= differing) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])) & (np.abs(apart - apart[i]) <= reach)
+        chance &= (label == 0) | (np.arange(len(sets)) < i)  # of two such sets, the later looks at the earlier
+        found = np.flatnonzero(chance & (label != label[i]))
+        for j in found[np.argsort(x[found], kind="stable")]:
+            if label[j] != label[i]:
+                both = same(i, j)
+                if 100 * both >= percent * (n[i] + n[j] - both):
+                    low, high = sorted((label[i], label[j]))
+                    label[label == high] = low
+    return label
 
 
 def link_nodes(nodes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(nid, component) of all nodes that have a link; component is a nid."""
+    """(node, component) of all nids that have a link; component is a nid."""
     differing = most_differing(percent / 100 - MARGIN)
-    keyed = nodes.select("nid", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("nid").alias("hub"), F.max("nid").alias("last")).where("hub < last")
-    members = land(keyed.join(shared, "key").select("key", "nid", "hub"), "members")
-    facts = nodes.selectExpr("nid", "n_shingles AS n", "odd")
-    stars = members.where("nid <> hub").selectExpr("hub AS a", "nid AS b").distinct()
-    stars = stars.join(facts.selectExpr("nid AS a", "n AS na", "odd AS oa"), "a").join(facts.selectExpr("nid AS b", "n AS nb", "odd AS ob"), "b")
-    apart = "aggregate(zip_with(oa, ob, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
-    stars = stars.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb) AND {apart} <= {differing}").select("a", "b")
-    seen = land(stars, "pairs")
-    links = land(confirm(seen, nodes, docs, shingle, percent), "links")
-    for closest in (True, False):
-        known = components(links)
-        owned = members.join(known.withColumnRenamed("node", "nid"), "nid", "left").selectExpr("key", "nid", "coalesce(component, nid) AS component")
-        mixed_keys = owned.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-        open_members = owned.join(mixed_keys, "key").join(facts, "nid")
-        more = land(cross_pairs(open_members, differing, percent, closest).join(seen, ["a", "b"], "left_anti"), "pairs")
-        if more.isEmpty():
-            return known
-        seen = seen.unionByName(more)
-        links = links.unionByName(land(confirm(more, nodes, docs, shingle, percent), "links"))
-    return components(links)
+    groups = candidate_groups(nodes, differing)
+    sets = land(group_sets(groups, nodes, docs, shingle), "sets")
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, t in runs(batches, ["grp", "lo", "hi"]):
+            own = [np.frombuffer(s, dtype=np.uint64) for s in t["items"]]
+            nid = t["nid"]
+            hub = nid[join_by_links(own, t["odd"], differing, percent)]
+            apart = hub != nid
+            yield pa.RecordBatch.from_pydict({"a": np.minimum(hub, nid)[apart], "b": np.maximum(hub, nid)[apart]})
+
+    return components(deal_blocks(sets, ["grp"], SET_BLOCK, ["odd", "items"]).mapInArrow(link, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", row: str | None = None, shingle: int = 5, percent: int = 80) -> DataFrame:
