@@ -31,7 +31,7 @@ ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 MARKS = re.compile(r"[\\<\[]")
 ROLE_MARKS = re.compile(r"[\\<\[|]")
 TURN = re.compile(r"<\|([^\\|]*(?:\\.[^\\|]*)*)\|>([^\\<]*(?:(?:\\.|<@[^>]*>)[^\\<]*)*)</\|>", re.DOTALL)
-PLACEHOLDER = re.compile(r"<@(\w+):(\d+):(\d+)>")
+ESCAPED_OR_PLACEHOLDER = re.compile(r"\\(.)|<@\w+:\d+:\d+>", re.DOTALL)
 WORDS = re.compile(r"\w+|[^\w\s]")
 
 
@@ -43,6 +43,11 @@ def unescape(text: str) -> str:
     return ESCAPED.sub(r"\1", text)
 
 
+def plain(body: str) -> str:
+    """The text of a body: unescaped, and without placeholders, which no escape goes before."""
+    return ESCAPED_OR_PLACEHOLDER.sub(r"\1", body)
+
+
 @dataclass
 class PartVisitor:
     """Flattens the parts of one turn, in order. Sizes that are missing count as one unit."""
@@ -105,7 +110,7 @@ def parse_turns(formatted: str) -> Iterator[tuple[str, str]]:
         found = TURN.match(formatted, at)
         if not found:
             raise ValueError(f"no turn at {at}")
-        yield unescape(found[1]), unescape(PLACEHOLDER.sub("", found[2]))
+        yield unescape(found[1]), plain(found[2])
         at = found.end()
 
 
@@ -139,7 +144,7 @@ class Digest:
         for role, text in parse_turns(segment):
             self.turns.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
             self.n += 1
-        learnt = unescape(PLACEHOLDER.sub("", segment[start:end]))
+        learnt = plain(segment[start:end])
         self.loss.update(learnt.encode("utf-8", "surrogatepass"))
         self.loss_chars += len(learnt)
         self.chars += len(segment)
