@@ -62,6 +62,7 @@ def links(rows, limit=0.9):
 
     width = max((len(rows[i][1]) for i in ok), default=0)
     m = np.array([list(rows[i][1]) + [0.0] * (width - len(rows[i][1])) for i in ok])
+    m = m / np.abs(m).max(axis=1, keepdims=True)
     m = m / np.linalg.norm(m, axis=1, keepdims=True)
     near = m @ m.T >= limit
     for a, i in enumerate(ok):
