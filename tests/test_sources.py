@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,13 +140,15 @@ def test_landed_tables_can_be_cleared(spark, tmp_path, monkeypatch):
     assert not os.path.exists(tmp_path / "a")
 
 
-def test_without_a_checkpoint_folder_the_warehouse_serves(spark):
-    base = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.unset("spark.checkpoint.dir")
-    try:
-        assert shared_dir(spark, "x").startswith(spark.conf.get("spark.sql.warehouse.dir"))
-    finally:
-        spark.conf.set("spark.checkpoint.dir", base)
+def test_without_a_checkpoint_folder_the_warehouse_serves():
+    def session(**conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)))
+
+    warehouse = {"spark.sql.warehouse.dir": "hdfs://shared/warehouse"}
+    assert shared_dir(session(**warehouse), "x").startswith("hdfs://shared/warehouse/")
+    assert shared_dir(session(**warehouse, **{"spark.checkpoint.dir": "/cp"}), "x").startswith("/cp/x-")
+    with pytest.raises(RuntimeError):
+        shared_dir(session(), "x")
 
 
 @pytest.mark.parametrize("partitions", [1, 3, 8])
