@@ -49,16 +49,17 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def land(df: DataFrame, label: str) -> DataFrame:
+def land(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
     This cuts lineage in a way that survives the loss of executors: later stages
     read files, and values such as row positions are fixed for good. The table
-    stays until `clear_landed`, or the cluster's own clean-up, takes it.
+    stays until `clear_landed`, or the cluster's own clean-up, takes it. `options` are
+    those of the parquet writer.
     """
     spark = df.sparkSession
     path = shared_dir(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     _LANDED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
