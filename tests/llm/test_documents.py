@@ -228,7 +228,6 @@ def test_bit_probabilities_sum_to_one():
     for k in range(len(lm.CONTEXTS)):
         np.add.at(counts[k], (lm.slots(b, k, np.zeros(4, int)), b.bit), 1)
     model = lm.Mixer(code, counts, np.full((lm.GATES, len(lm.CONTEXTS)), 0.4, np.float32), np.ones(1))
-    model.prepare()
     one = [bytes([i]) for i in range(256)]
     # P(first symbol s) = P(word s) / P(end after s); two-symbol words give the latter's complement
     ends = 10 ** model.log_probabilities([b""])[0, 0]
