@@ -236,6 +236,18 @@ def test_bit_probabilities_sum_to_one():
     assert two.sum() < 1 and b.starts[0] == 0
 
 
+def test_counts_keep_their_ratio_beyond_16_bits(spark):
+    """The first node of a word's first symbol is passed once by every word."""
+    words = spark.range(240_000).selectExpr("CAST(concat(IF(id % 3 = 0, 'a', 'z'), id) AS binary) AS word", "1L AS c0")
+    (code, counts), _ = (t.value if hasattr(t, "value") else t for t in lm.train(words))
+    b = lm.expand([b"a", b"z"], code)
+    whole = len(lm.CONTEXTS) - 1
+    slot = lm.slots(b, whole, 0)[b.starts]
+    assert slot[0] == slot[1] and counts[whole][slot[0]].sum() >= 240_000
+    less, more = sorted(counts[whole][slot[0]])
+    assert abs(less / more - 0.5) < 0.01
+
+
 def test_language_model_of_nothing(spark, docs, none):
     assert lm.score_texts(none.withColumn("held_out", F.lit(True))).count() == 0
     blind = lm.score_texts(docs.withColumn("held_out", F.lit(True))).collect()
