@@ -25,8 +25,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Samples documents so that sources, languages and topics meet their target weights."""
-    return mixing.sample_mix(docs)
+    """Samples documents so that sources, languages and topics meet their target weights; where
+    these ask for more than there is, documents are repeated."""
+    return mixing.sample_mix(docs, repeats=True)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

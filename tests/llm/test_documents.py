@@ -424,6 +424,36 @@ def test_mix_samples_near_its_share(docs, rows, none):
     assert mixing.mix(none).count() == 0
 
 
+@pytest.mark.parametrize("driver_cells", [100_000, 0])
+def test_sampled_tokens_meet_the_targets(spark, driver_cells):
+    """A small source beside a hot one asks for more tokens than it has."""
+    rows = [(i, "word " * 20, "en" if i % 4 else "es", "hot" if i % 50 else "small", 100) for i in range(400)]
+    made = mixing.mix(frame(spark, rows), topics=1, driver_cells=driver_cells)
+    out = made.collect()
+    kept = sum(r._tokens * r._probability for r in out)
+    assert math.isclose(kept, 0.8 * sum(r._tokens for r in out), rel_tol=1e-6)
+    for c in ("source", "lang"):
+        labels = sorted({r[c] for r in out})
+        at = np.array([labels.index(r[c]) for r in out])
+        aims = mixing.targets_by_power(np.array([r._tokens for r in out], dtype=float), at, 0.7)
+        got = np.bincount(at, [r._tokens * r._probability for r in out]) / kept
+        assert np.allclose(got, aims, atol=1e-6)
+    small = [r for r in out if r.source == "small"]
+    assert max(r._miss for r in out) < 1e-6 and max(r._probability for r in small) > 1
+    copies = Counter(r.doc_id for r in mixing.sample_mix(frame(spark, rows), repeats=True, topics=1, driver_cells=driver_cells).collect())
+    assert copies == {r.doc_id: r._copies for r in out if r._copies}
+
+
+@pytest.mark.parametrize("driver_cells", [100_000, 0])
+def test_contradicting_targets_are_reported(spark, driver_cells, monkeypatch):
+    """A source with one language of its own: its share and the language's cannot both be met."""
+    monkeypatch.setattr(mixing, "SWEEPS", 8)
+    rows = [(i, "word " * 20, "en", "a", 100) for i in range(90)] + [(100, "word " * 20, "es", "a", 100), (101, "word " * 20, "es", "b", 100)]
+    rows += [(200 + i, "word " * 20, "fr", "b", 100) for i in range(5)] + [(300, "word " * 20, "fr", "c", 100)]
+    with pytest.warns(UserWarning, match="target"):
+        assert min(r._miss for r in mixing.mix(frame(spark, rows), topics=1, driver_cells=driver_cells).collect()) > 1e-6
+
+
 # --- chat ---------------------------------------------------------------------
 
 
