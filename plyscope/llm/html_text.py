@@ -43,13 +43,20 @@ IMPLIED = {
     "option": frozenset({"option"}),
     "head": frozenset({"body", "main", "article", "div", "p", "h1", "nav", "section"}),
 }
-HINTS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|banner|sponsor(?:ed)?|promo(?:tion)?s?|nav|navbar|"
+_WORDS = (
+    r"(?:ads?|adverts?|advertisement|advertising|adsense|banner|sponsor(?:ed)?|promo(?:tion)?s?|nav|navbar|"
     r"navigation|menu|breadcrumbs?|toolbar|sidebar|side|widget|footer|foot|header|masthead|cookies?|consent|gdpr|notice|"
-    r"alert|popup|modal|overlay|newsletter|subscribe|signup|login|comments?|comment-list|disqus|replies|reply|respond|"
-    r"related|recommend(?:ed|ations)?|share|sharing|social|pagination|pager|copyright|legal|skip-link)(?:$|[\s_-])",
-    re.IGNORECASE,
+    r"alert|popup|modal|overlay|newsletter|subscribe|signup|login|comments?|disqus|replies|reply|respond|"
+    r"related|recommend(?:ed|ations)?|share|sharing|social|pagination|pager|copyright|legal|skip-link)"
 )
+_NEUTRAL = r"(?:site|page|main|global|top|bottom|left|right|primary|secondary|mobile|list|links?|area|box|bar|block|items?)"
+#: A class or id, whole, that is made of hint words and words that say nothing of their own.
+HINTS = re.compile(rf"(?:{_NEUTRAL}[_-])*{_WORDS}(?:[_-](?:{_WORDS}|{_NEUTRAL}))*", re.IGNORECASE)
+THREADS = re.compile(r"comments?|disqus|replies|reply|respond", re.IGNORECASE)
+UNHINTED = frozenset("html body main article".split())
+#: A hint does not hold for an element with more than this share of the page's unlinked text; for a thread of comments, nearly all.
+MOST, NEARLY_ALL = 0.5, 0.9
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar note".split())
 SPACES = re.compile(r"\s+")
 
@@ -60,32 +67,49 @@ class Line:
     tags: int
     linked: int
     inside: tuple[int, ...]
+    heading: bool = False
+
+
+@dataclass
+class Open:
+    """An open element: container id or 0, skipped from here on, skipped for more than a hint,
+    number of the hinted element or 0."""
+
+    tag: str
+    held: int
+    out: bool
+    hard: bool
+    hint: int
 
 
 class PageLines(HTMLParser):
-    """Collects the lines of one page."""
+    """Collects the lines of one page; the hints of `spared` elements do not count."""
 
-    def __init__(self) -> None:
+    def __init__(self, spared: frozenset[int] = frozenset()) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, int, bool]] = []  # tag, container id or 0, skipped from here on
+        self.open: list[Open] = []
+        self.spared = spared
+        self.loose = 0
+        self.hinted: dict[int, list] = {}  # unlinked characters by hinted element, and whether it is a thread
+        self._started = 0
         self.kind: dict[int, str] = {}
         self._text: list[str] = []
         self._tags = self._linked = self._links = 0
 
     def _skipping(self) -> bool:
-        return bool(self.open) and self.open[-1][2]
+        return bool(self.open) and self.open[-1].out
 
     def _end_line(self) -> None:
         text = SPACES.sub(" ", "".join(self._text)).strip()
         if text:
-            inside = tuple(c for _, c, _ in self.open if c)
-            self.lines.append(Line(text, self._tags, self._linked, inside))
+            inside = tuple(o.held for o in self.open if o.held)
+            self.lines.append(Line(text, self._tags, self._linked, inside, any(o.tag in HEADINGS for o in self.open)))
             self._tags = 0
         self._text, self._linked = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        while self.open and tag in IMPLIED.get(self.open[-1][0], ()):
+        while self.open and tag in IMPLIED.get(self.open[-1].tag, ()):
             self._close(len(self.open) - 1)
         if tag in BLOCKS:
             self._unwind_inline(tag)
@@ -93,17 +117,22 @@ class PageLines(HTMLParser):
         self._tags += 1
         if tag in VOID:
             return
+        self._started += 1
         a = dict(attrs)
-        said = f"{a.get('class') or ''} {a.get('id') or ''}"
-        out = (
-            self._skipping()
+        said = f"{a.get('class') or ''} {a.get('id') or ''}".split()
+        names = [] if tag in UNHINTED else [x for x in said if HINTS.fullmatch(x)]
+        hint = self._started if names else 0
+        if hint:
+            self.hinted[hint] = [0, any(THREADS.search(x) for x in names)]
+        hard = (
+            (bool(self.open) and self.open[-1].hard)
             or tag in SKIPPED
-            or (tag not in ("html", "body") and bool(HINTS.search(said)))
             or (a.get("role") or "").lower() in ROLES
             or "hidden" in a
             or (a.get("aria-hidden") or "").lower() == "true"
             or "display:none" in (a.get("style") or "").replace(" ", "").lower()
         )
+        out = self._skipping() or hard or (hint > 0 and hint not in self.spared)
         held = 0
         if tag in CONTAINERS:
             held = len(self.kind) + 1
@@ -112,14 +141,14 @@ class PageLines(HTMLParser):
             self._links += 1
         if out and not self._skipping() and tag in BLOCKS:
             self._end_line()
-        self.open.append((tag, held, out))
+        self.open.append(Open(tag, held, out, hard, hint))
 
     def _unwind_inline(self, tag: str) -> None:
         """A block inside an unclosed paragraph ends the paragraph, past any open inline tags."""
         if tag == "br":
             return
         for i in range(len(self.open) - 1, -1, -1):
-            name = self.open[i][0]
+            name = self.open[i].tag
             if name == "p":
                 self._close(i)
                 return
@@ -131,23 +160,36 @@ class PageLines(HTMLParser):
             self._end_line()
         self._tags += 1
         for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
+            if self.open[i].tag == tag:
                 self._close(i)
                 return
 
     def _close(self, i: int) -> None:
-        if any(t in BLOCKS for t, _, _ in self.open[i:]):
+        if any(o.tag in BLOCKS for o in self.open[i:]):
             self._end_line()
-        self._links -= sum(t == "a" for t, _, _ in self.open[i:])
+        self._links -= sum(o.tag == "a" for o in self.open[i:])
         del self.open[i:]
 
     def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1].hard:
+            return
+        if not self._links:
+            n = len(data.strip())
+            self.loose += n
+            if self.hinted:
+                for o in self.open:
+                    if o.hint:
+                        self.hinted[o.hint][0] += n
         if self._skipping():
             return
         self._text.append(data)
         if self._links > 0:
             self._linked += len(data.strip())
 
+    def overruled(self) -> frozenset[int]:
+        """Hinted elements that hold so much of the page's text that they are no mere frame."""
+        return frozenset(i for i, (n, thread) in self.hinted.items() if n > (NEARLY_ALL if thread else MOST) * self.loose)
+
     def finish(self) -> list[Line]:
         self.close()
         self._end_line()
@@ -180,6 +222,10 @@ def main_text(html: str | None, sigma: float = 2.0, cover: float = 0.9) -> str:
     parser = PageLines()
     parser.feed(html or "")
     lines = parser.finish()
+    if spared := parser.overruled():
+        parser = PageLines(spared)
+        parser.feed(html or "")
+        lines = parser.finish()
     if not lines:
         return ""
     size = np.array([len(l.text) for l in lines], dtype=np.float64)

@@ -32,6 +32,24 @@ def test_main_text(html, want):
     assert html_text.main_text(html) == want
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body class=has-sidebar><div class=content-sidebar-wrap>{}</div></body>",
+        "<body><article class='post category-legal tag-social'>{}</article></body>",
+        "<body><div class=widget>{}</div><p>x</p></body>",
+        "<body><main id=main class=social>{}</main><div class=sidebar>Buy</div></body>",
+    ],
+)
+def test_hints_do_not_cut_the_main_text(page):
+    got = html_text.main_text(page.format(BODY))
+    assert WANT in got and "Buy" not in got
+
+
+def test_a_long_thread_beside_an_article_goes():
+    assert html_text.main_text(f"<body><div id=text>{BODY}</div><div class=comments>{BODY * 3}</div></body>") == WANT
+
+
 def test_extract_keeps_all_rows(spark):
     rows = [(1, "u", "<p>a</p>"), (1, "u", "<p>a</p>"), (None, None, None), (2, "u", f"<article>{BODY * 300}</article>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("old"))
