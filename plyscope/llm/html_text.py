@@ -2,9 +2,11 @@
 
 The standard library's streaming parser turns a page into lines, one per block, each with its
 characters, its tags and the containers it lies in. The text-to-tag ratios are smoothed by a
-Gaussian along the page and split by a two-means threshold; the innermost container that
-holds nearly all text above the threshold is the content region, and its lines are the text.
-What elements say of themselves (navigation, forms, notices, comments) is left out first.
+Gaussian along the page and split by a two-means threshold; articles that hold nearly all text
+above the threshold, or else the innermost container that does, with the containers around it
+that add headings or more such text, are the content region, and its lines are the text.
+What elements say of themselves (navigation, forms, notices, comments) is left out first, where
+a class or id says so only if the element does not hold most of the page's text.
 """
 
 from __future__ import annotations
@@ -240,16 +242,32 @@ def main_text(html: str | None, sigma: float = 2.0, cover: float = 0.9) -> str:
     for line, w in zip(lines, weight, strict=True):
         for c in line.inside:
             held[c] = held.get(c, 0.0) + w
-    marked = [c for c, w in held.items() if parser.kind[c] in ("article", "main") and w > 0]
-    # articles side by side are one region; otherwise the innermost container that covers the core
-    region = set(marked)
-    if not region:
-        whole = [c for c, w in held.items() if w >= cover * weight.sum()]
-        region = {max(whole)} if whole else set()
-    kept = [l for l in lines if not region or region.intersection(l.inside)]
+    # articles side by side are one region if they cover the core, otherwise a container that does
+    marked = {c for c in held if parser.kind[c] in ("article", "main")}
+    covered = sum(w for line, w in zip(lines, weight, strict=True) if marked.intersection(line.inside))
+    if marked and covered >= cover * weight.sum():
+        return " ".join(l.text for l in lines if marked.intersection(l.inside))
+    whole = [c for c, w in held.items() if w >= cover * weight.sum()]
+    region = _climbed(max(whole), lines, core, loose, size) if whole else 0
+    kept = [l for l in lines if not region or region in l.inside]
+    # inside a region of its own nothing is left out; of a whole page, plain menus are
+    if region and parser.kind[region] not in ("html", "body"):
+        return " ".join(l.text for l in kept)
     return " ".join(_without_menus(kept))
 
 
+def _climbed(region: int, lines: list[Line], core: np.ndarray, loose: np.ndarray, size: np.ndarray) -> int:
+    """The region, or the container around it while that adds headings or core lines and is not
+    mostly links."""
+    around = next(l.inside for l in lines if region in l.inside)
+    for outer in reversed(around[: around.index(region)]):
+        added = np.array([outer in l.inside and region not in l.inside for l in lines])
+        told = added & (core | [l.heading for l in lines])
+        if told.any() and loose[added].sum() >= 0.5 * size[added].sum():
+            region = outer
+    return region
+
+
 def _without_menus(lines: list[Line], run: int = 3) -> list[str]:
     """The texts, without runs of `run` lines or more that are nothing but links."""
     out: list[str] = []

@@ -32,6 +32,20 @@ def test_main_text(html, want):
     assert html_text.main_text(html) == want
 
 
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (f"<body>{NAV}<div id=story><h1>Head</h1><p>A lead of some words, all of them told.</p><div class=body>{BODY * 4}</div></div></body>",
+         f"Head A lead of some words, all of them told. {' '.join([WANT] * 4)}"),
+        (f"<body><article><h3>Teaser</h3><p>See this one too.</p></article><div id=text>{BODY * 2}</div></body>", f"{WANT} {WANT}"),
+        (f"<body>{NAV}<article><h1>Head</h1>{BODY}<ul><li><a href=1>Ref one</a><li><a href=2>Ref two</a><li><a href=3>Ref three</a></ul></article></body>",
+         f"Head {WANT} Ref one Ref two Ref three"),
+    ],
+)
+def test_the_region_holds_the_whole_text(html, want):
+    assert want in html_text.main_text(html)
+
+
 @pytest.mark.parametrize(
     "page",
     [
