@@ -248,6 +248,25 @@ def test_counts_keep_their_ratio_beyond_16_bits(spark):
     assert abs(less / more - 0.5) < 0.01
 
 
+def test_every_language_is_a_regime(spark):
+    """Six languages and none, alike but for their letters, are scored alike."""
+    rnd, rows = random.Random(3), []
+    letters = {l: "abcdefghijklmnopqrstuvwxyz0123456789"[5 * i : 5 * i + 5] for i, l in enumerate(["l0", "l1", "l2", "l3", "l4", "l5", None])}
+    for lang, own in letters.items():
+        words = ["".join(rnd.choice(own) for _ in range(5)) for _ in range(20)]
+        for _ in range(60 + len(lang or "")):
+            rows.append((len(rows), " ".join(rnd.choice(words) for _ in range(40)), lang, "s", 200))
+    docs = frame(spark, rows).withColumn("held_out", F.col("doc_id") % 5 == 1)
+    assert sorted(lm.languages(docs), key=str) == [None, "l0", "l1", "l2", "l3", "l4", "l5"]
+    lang = {r[0]: r[2] for r in rows}
+    per_token = {l: [] for l in letters}
+    for r in lm.score_texts(docs).collect():
+        if r.held_out:
+            per_token[lang[r.doc_id]].append(r.score / r.n_tokens)
+    means = [np.mean(v) for v in per_token.values()]
+    assert max(means) - min(means) < 0.15
+
+
 def test_language_model_of_nothing(spark, docs, none):
     assert lm.score_texts(none.withColumn("held_out", F.lit(True))).count() == 0
     blind = lm.score_texts(docs.withColumn("held_out", F.lit(True))).collect()
