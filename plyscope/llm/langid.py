@@ -26,7 +26,7 @@ SPACE = 32
 
 
 def _letter_table() -> np.ndarray:
-    return np.array([c if chr(c).isalpha() else SPACE for c in range(1 << 16)], dtype=np.uint32)
+    return np.array([c if chr(c).isalpha() else SPACE for c in range(0x110000)], dtype=np.uint32)
 
 
 LETTERS = _letter_table()
@@ -35,8 +35,7 @@ LETTERS = _letter_table()
 def points(text: str) -> np.ndarray:
     """Code points in lower case with a space at either end; a run of non-letters is one space."""
     x = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    x = np.where(x < 1 << 16, LETTERS[np.minimum(x, 0xFFFF)], x)
-    x = np.concatenate([[SPACE], x, [SPACE]]).astype(np.uint32)
+    x = np.concatenate([[SPACE], LETTERS[x], [SPACE]]).astype(np.uint32)
     gap = x == SPACE
     return x[np.r_[True, ~(gap[1:] & gap[:-1])]]
 

@@ -150,6 +150,14 @@ def test_language_on_held_out_rows(spark, docs, rows):
     assert of[907].lang_pred != "und"
 
 
+def test_symbols_beyond_the_first_plane_are_no_letters(spark, docs):
+    texts = ["\U0001f600\U0001f680 \U0001f4a9", "\U0001d7d8", "a\U0001f600b", "\U00020000"]
+    assert [bool((langid.points(t) != langid.SPACE).any()) for t in texts] == [False, False, True, True]
+    assert (langid.points("a\U0001f600b") == langid.points("a b")).all()
+    odd = frame(spark, [(i, t, None, "s", 3) for i, t in enumerate(texts[:2])])
+    assert {r.lang_pred for r in langid.identify(odd, langid.train(docs, landmarks_per_language=6)).collect()} == {"und"}
+
+
 def test_kernel_counts_shared_grams():
     kernel = langid.make_kernel(["aba", "zz"], (1, 2))
     k, lettered = kernel.rows(["Aba!", "", "zz zz"])
