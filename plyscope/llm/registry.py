@@ -12,6 +12,8 @@ from plyscope.llm.mixing import op9_proportional_fitting
 from plyscope.llm.neardup import OP6_SQL, op6_odd_sketch_near_dup
 from plyscope.llm.quality import op1_factorisation_quality
 from plyscope.llm.sharding import op3_histogram_sort
+from plyscope.llm.spelling import OP12_SQL, op12_kd_tree_spelling
+from plyscope.llm.vector_codes import OP13_SQL, op13_cover_tree_codes
 
 QUERIES = {
     f.__name__: f
@@ -26,6 +28,8 @@ QUERIES = {
         op8_iterative_quantisation,
         op9_proportional_fitting,
         op10_winnowing_decontamination,
+        op12_kd_tree_spelling,
+        op13_cover_tree_codes,
     )
 }
 
@@ -34,4 +38,6 @@ ORACLES = {
     "op6_odd_sketch_near_dup": OP6_SQL,
     "op8_iterative_quantisation": OP8_SQL,
     "op10_winnowing_decontamination": OP10_SQL,
+    "op12_kd_tree_spelling": OP12_SQL,
+    "op13_cover_tree_codes": OP13_SQL,
 }
