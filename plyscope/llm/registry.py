@@ -11,6 +11,7 @@ from plyscope.llm.lm import op4_context_mixing_scores
 from plyscope.llm.mixing import op9_proportional_fitting
 from plyscope.llm.neardup import OP6_SQL, op6_odd_sketch_near_dup
 from plyscope.llm.quality import op1_factorisation_quality
+from plyscope.llm.search import op11_balanced_posting_lists
 from plyscope.llm.sharding import op3_histogram_sort
 from plyscope.llm.spelling import OP12_SQL, op12_kd_tree_spelling
 from plyscope.llm.vector_codes import OP13_SQL, op13_cover_tree_codes
@@ -28,6 +29,7 @@ QUERIES = {
         op8_iterative_quantisation,
         op9_proportional_fitting,
         op10_winnowing_decontamination,
+        op11_balanced_posting_lists,
         op12_kd_tree_spelling,
         op13_cover_tree_codes,
     )
