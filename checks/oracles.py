@@ -391,6 +391,7 @@ ORACLES: dict[str, str] = {
     "latest_snapshot": query(*BASE, select=f"SELECT {FLAT} FROM mv WHERE n > 10"),
     "snapshot_overwrite": per_snapshot("true"),
     "snapshot_empty_rerun": per_snapshot("snapshot <> '2024-01-15'"),
+    "snapshot_crash": query(*BASE, select=f"SELECT {FLAT} FROM mv WHERE n > 10"),
     "moves_scan": query(*BASE, select=f"SELECT {FLAT} FROM mv"),
     "ndjson_inferred": query(*BASE, select=f"SELECT {FLAT} FROM mv"),
     "analysis_ndjson": query(*SCORED, select=f"SELECT {analysis(GAME)} FROM sp"),

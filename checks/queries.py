@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from checks import views
 from plyscope.functions import scoring as sc
 from plyscope.functions.text import HEADER_TAGS
 from plyscope.session import shared_dir
-from plyscope.sources.tables import SNAPSHOT
+from plyscope.sources.tables import NO_SUCCESS_FILE, SNAPSHOT, snapshot_dir
 
 AS_OF = "2024-05-15"
 PLAYER = "CUSTOMER#000000001"
@@ -366,6 +368,21 @@ def snapshot_empty_rerun(spark, sf):
     return _per_snapshot(spark, root)
 
 
+def snapshot_crash(spark, sf):
+    """A newer date that was left half written, and runs for it and for the newest
+    committed date that fail midway."""
+    root, mv = _snapshots(spark, sf), views.moves(spark, sf)
+    mv.where("Move_Number <= 3").write.option(NO_SUCCESS_FILE, "false").parquet(snapshot_dir(root, "2024-01-22"))
+    lost = mv.withColumn("Move", F.expr("CASE WHEN Game_Number % 5 = 4 THEN CAST(raise_error('lost') AS STRING) ELSE Move END"))
+    for date in ("2024-01-15", "2024-01-22"):
+        try:
+            ps.write_snapshot(lost, root, date)
+        except (PySparkException, Py4JJavaError):
+            continue
+        raise AssertionError("the run should have failed")
+    return moves_flat(ps.latest_snapshot(spark, root))
+
+
 def moves_scan(spark, sf):
     path, mv = shared_dir(spark, "moves"), views.moves(spark, sf)
     mv.write.parquet(path)
@@ -499,6 +516,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         latest_snapshot,
         snapshot_overwrite,
         snapshot_empty_rerun,
+        snapshot_crash,
         staging_cleanup,
         ndjson_roundtrip,
         moves_scan,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,12 +39,13 @@ def shared_dir(spark: SparkSession, label: str) -> str:
 
     The cluster names it in `spark.checkpoint.dir`; where that is unset it is the
     warehouse folder, which a cluster shares as well. Never a temporary folder of
-    one machine.
+    one machine: off a local master, a warehouse on the machine's own disk is refused.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
-        if not warehouse:
+        local = re.match(r"local(\[|$)", spark.conf.get("spark.master", None) or "local")
+        if not warehouse or warehouse.startswith("file:") and not local:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = f"{warehouse.rstrip('/')}/_landed"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

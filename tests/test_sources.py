@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import plyscope as ps
 from plyscope.schemas import MOVES
 from plyscope.session import land, shared_dir
+from plyscope.sources import tables
 
 
 def put(root, player, month, text):
@@ -87,6 +88,60 @@ def test_snapshots(spark, tmp_path):
     assert ps.read_snapshot(spark, root, "2024-01-01", MOVES).count() == 0
 
 
+def test_a_snapshot_counts_once_it_is_committed(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "moves")
+    ps.write_snapshot(sample(spark, 5), root, "2024-01-01")
+    half = f"{root}/snapshot_date=2024-01-08"
+    sample(spark, 2).write.option(tables.NO_SUCCESS_FILE, "false").parquet(half)
+    assert ps.snapshot_dates(spark, root) == ["2024-01-01"] and ps.latest_snapshot(spark, root).count() == 5
+    with pytest.raises(FileNotFoundError):
+        ps.read_snapshot(spark, root, "2024-01-08", MOVES)
+    ps.write_snapshot(sample(spark, 4), root, "2024-01-08")  # what lay there half written goes
+    assert ps.latest_snapshot(spark, root, MOVES).count() == 4 and spark.read.parquet(half).count() == 4
+
+    # A run that is lost before its marker, and one between the marker and the cleaning up.
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_put", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ps.write_snapshot(sample(spark, 9), root, "2024-01-08")
+    assert ps.read_snapshot(spark, root, "2024-01-08", MOVES).count() == 4
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_clear", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ps.write_snapshot(sample(spark, 6), root, "2024-01-08")
+    assert ps.read_snapshot(spark, root, "2024-01-08", MOVES).count() == 6
+    ps.write_snapshot(sample(spark, 7), root, "2024-01-08")
+    assert spark.read.parquet(half).count() == ps.latest_snapshot(spark, root).count() == 7
+    assert len(os.listdir(f"{root}/_commits/2024-01-08")) - 1 == 1  # one marker and its checksum file
+
+
+def test_a_commit_whose_files_are_gone_does_not_count(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "moves")
+    monkeypatch.setattr(tables, "_clear", lambda *a: None)
+    for n in (3, 8):
+        ps.write_snapshot(sample(spark, n), root, "2024-01-01")
+    fs, folder = tables.filesystem(spark, f"{root}/snapshot_date=2024-01-01")
+    newest = max(fs.listStatus(folder), key=lambda s: s.getModificationTime() if s.isFile() else 0)
+    for status in fs.listStatus(folder):
+        if status.getPath().getName()[:10] == newest.getPath().getName()[:10] and status.getPath().getName()[11:47] == newest.getPath().getName()[11:47]:
+            fs.delete(status.getPath(), False)
+    assert ps.read_snapshot(spark, root, "2024-01-01", MOVES).count() == 3
+
+
+def test_two_writers_of_one_date(spark, tmp_path):
+    folder = str(tmp_path / "marks")
+    tables._put(spark, folder, "000000000000", {"files": {}})
+    with pytest.raises(FileExistsError):
+        tables._put(spark, folder, "000000000000", {"files": {"other": 1}})
+    assert [n for n in os.listdir(folder) if not n.startswith(".")] == ["000000000000"]
+
+
+def test_snapshots_of_other_tools(spark, tmp_path):
+    root = str(tmp_path / "moves")
+    sample(spark, 5).write.parquet(f"{root}/snapshot_date=2024-01-01")
+    assert ps.snapshot_dates(spark, root) == ["2024-01-01"] and ps.latest_snapshot(spark, root, MOVES).count() == 5
+
+
 def test_read_moves_as_view(spark, tmp_path):
     path = str(tmp_path / "m")
     sample(spark, 4).write.parquet(path)
@@ -147,8 +202,11 @@ def test_without_a_checkpoint_folder_the_warehouse_serves():
     warehouse = {"spark.sql.warehouse.dir": "hdfs://shared/warehouse"}
     assert shared_dir(session(**warehouse), "x").startswith("hdfs://shared/warehouse/")
     assert shared_dir(session(**warehouse, **{"spark.checkpoint.dir": "/cp"}), "x").startswith("/cp/x-")
-    with pytest.raises(RuntimeError):
-        shared_dir(session(), "x")
+    own = {"spark.sql.warehouse.dir": "file:/home/me/spark-warehouse"}
+    assert shared_dir(session(**own, **{"spark.master": "local[4]"}), "x").startswith("file:/home/me/spark-warehouse/")
+    for conf in ({}, {**own, "spark.master": "yarn"}, {**own, "spark.master": "local-cluster[2,1,1024]"}):
+        with pytest.raises(RuntimeError):
+            shared_dir(session(**conf), "x")
 
 
 @pytest.mark.parametrize("partitions", [1, 3, 8])
