@@ -149,14 +149,14 @@ TEXT = (CUT, MV, TEXT_PLIES)
 LINKED = """coalesce(link, 'none') AS "Game_Link\""""
 
 
-def performance(where: str) -> str:
+def performance(where: str, *source: str) -> str:
     return query(
-        *SCORED,
+        *(source or SCORED),
         SIDES,
         MONTHLY,
         """spread AS (
-  SELECT player, colour, m, c, r, a, 0 AS c0, NULL AS r0, NULL AS a0 FROM monthly
-  UNION ALL SELECT player, colour, m + INTERVAL 1 MONTH, 0, NULL, NULL, c, r, a FROM monthly)""",
+  SELECT player, colour, m, c, r, a, 0 AS c0, CAST(NULL AS DOUBLE) AS r0, CAST(NULL AS DOUBLE) AS a0 FROM monthly
+  UNION ALL SELECT player, colour, m + INTERVAL 1 MONTH, 0, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), c, r, a FROM monthly)""",
         select=f"""SELECT player, colour, strftime(m, '%Y-%m') AS "month", CAST(sum(c) AS BIGINT) AS games,
   max(r) AS win_rate, max(a) AS avg_accuracy, CAST(sum(c0) AS BIGINT) AS prev_games, max(r0) AS prev_win_rate,
   max(a0) AS prev_accuracy FROM spread WHERE {where} GROUP BY player, colour, m""",
@@ -411,5 +411,16 @@ ORACLES: dict[str, str] = {
     "incremental_refresh": REFRESHED,
     "incremental_analysis": REFRESHED,
     "incremental_relanded": REFRESHED,
+    "incremental_numbering": query(
+        *BASE,
+        ARCHIVE,
+        """keyed AS (
+  SELECT CASE WHEN g % 13 = 0 THEN 'md5:' || md5('not a game record') WHEN g % 17 = 0 THEN 'md5:' ELSE 'g/' || g END AS k,
+    CASE WHEN g % 13 <> 0 THEN g END AS one, max(end_time) AS t FROM games WHERE has_text GROUP BY ALL)""",
+        select="""SELECT CASE WHEN k LIKE 'md5:%' THEN 'none' ELSE k END AS "Game_Link",
+  row_number() OVER (ORDER BY t, k) AS "Game_Number" FROM keyed""",
+    ),
+    "incremental_reports": triggers(*TEXT, scored("tx")),
+    "incremental_performance": performance("true", *TEXT, scored("tx")),
 }
 ORACLES["name_openings_shuffle"] = ORACLES["name_openings"]

@@ -4,4 +4,15 @@ from .operators import *  # noqa: F401,F403
 from .plans import Refreshed, move_analysis, refresh, report_tables  # noqa: F401
 from .session import clear_landed  # noqa: F401
 from .sources import *  # noqa: F401,F403
-from .streaming import Incremental, add_games, current_tables, refresh_incremental, stream_games  # noqa: F401
+from .streaming import (  # noqa: F401
+    Incremental,
+    add_games,
+    current_tables,
+    game_numbers,
+    kept_reports,
+    refresh_incremental,
+    stream_games,
+    update_numbers,
+    update_reports,
+    weekly_run,
+)

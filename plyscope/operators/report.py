@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plyscope.functions import scoring as sc
+from plyscope.operators import sequence
 from plyscope.session import land
 
 PHASES = ("opening", "middlegame", "endgame")
@@ -54,6 +55,11 @@ def phase_drop(scored: DataFrame, player: str | None = None) -> DataFrame:
         ("player",),
         **{p: sc.round2_sql(f"avg(CASE WHEN game_phase = '{p}' THEN move_accuracy END)") for p in PHASES},
     )
+    return worst_phases(means)
+
+
+def worst_phases(means: DataFrame) -> DataFrame:
+    """Adds the phase that drops most to the mean accuracy of the three phases."""
     return means.selectExpr(
         "*",
         "CAST(round((opening - middlegame) * 100) AS BIGINT) AS _m",
@@ -107,7 +113,12 @@ def performance_summary(
     sides = _sides(sheet, ("_month",))
     if player is not None:
         sides = for_player(sides, player, ("player",))
-    monthly = _agg(sides, ("player", "colour", "_month"), n="count(*)", w="sum(won)", a=sc.mean2_sql("accuracy"))
+    return month_by_month(_agg(sides, ("player", "colour", "_month"), n="count(*)", w="sum(won)", a=sc.mean2_sql("accuracy")), as_of)
+
+
+def month_by_month(monthly: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
+    """Sets each month of (player, colour, _month, n, w, a) against the month before; with
+    `as_of`, only the month of that date."""
     spread = monthly.selectExpr(
         "player", "colour", "n", "round(w / n, 4) AS r", "a",
         "inline(array(named_struct('m', _month, 'own', true), named_struct('m', add_months(_month, 1), 'own', false)))",
@@ -123,7 +134,7 @@ def performance_summary(
         prev_accuracy="max(CASE WHEN NOT own THEN a END)",
     )
     if as_of is not None:
-        out = out.where(f"m = {this}")
+        out = out.where(f"m = trunc(DATE '{dt.date.fromisoformat(str(as_of))}', 'MM')")
     return out.selectExpr(
         "player", "colour", "date_format(m, 'yyyy-MM') AS month", "games", "win_rate", "avg_accuracy",
         "prev_games", "prev_win_rate", "prev_accuracy",
@@ -147,6 +158,11 @@ def blunder_habits(scored: DataFrame, player: str | None = None, bands=sc.LOSS_B
         avg_loss=f"round(sum({STEPS}) * 5 / count(*)) / 10000",
         **{f"in_{p}": f"count(CASE WHEN game_phase = '{p}' THEN 1 END)" for p in PHASES},
     )
+    return habit_shares(per_kind)
+
+
+def habit_shares(per_kind: DataFrame) -> DataFrame:
+    """Adds share and rank to the counts by player and kind."""
     # As many rows per player as there are bands.
     return per_kind.selectExpr(
         "*",
@@ -160,9 +176,13 @@ def blunder_plies(
 ) -> DataFrame:
     """The k stretches of plies in which each kind of mistake happens most."""
     mistakes = _mistakes(scored, player, bands).selectExpr("player", "kind", f"(Move_Number - 1) div {int(width)} AS _s")
+    return top_stretches(_agg(mistakes, ("player", "kind", "_s"), n="count(*)"), k, width)
+
+
+def top_stretches(counts: DataFrame, k: int, width: int) -> DataFrame:
+    """The k stretches with the highest counts of each player and kind."""
     return (
-        _agg(mistakes, ("player", "kind", "_s"), n="count(*)")
-        .selectExpr("*", "CAST(row_number() OVER (PARTITION BY player, kind ORDER BY n DESC, _s) AS BIGINT) AS rank")
+        counts.selectExpr("*", "CAST(row_number() OVER (PARTITION BY player, kind ORDER BY n DESC, _s) AS BIGINT) AS rank")
         .where(f"rank <= {int(k)}")
         .selectExpr("player", "kind", f"_s * {width} + 1 AS from_ply", f"(_s + 1) * {width} AS to_ply", "n", "rank")
     )
@@ -175,20 +195,34 @@ MOVE_KINDS = (
 STATES = "CASE WHEN wp_before IS NULL THEN 'unknown' WHEN wp_before < 0.35 THEN 'losing' WHEN wp_before > 0.65 THEN 'winning' ELSE 'even' END"
 
 
-def blunder_triggers(
-    scored: DataFrame, player: str | None = None, bands=sc.LOSS_BANDS, game: str = "Game_Number"
+def mistakes_in_context(
+    scored: DataFrame, player: str | None = None, bands=sc.LOSS_BANDS, game: str = "Game_Number", keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """What comes before a player's mistakes: the kind of the move just made, how the game
-    stood, and the phase; commonest first, with the share of all the player's mistakes.
+    """A player's mistakes, each with the kind of the move just made and how the game stood.
 
-    The move before is met by a join on game and ply, which spreads a long game evenly.
+    The move before is met by a join on game and ply, which spreads a long game evenly. A NULL
+    game is a game like any other; of several moves at one ply the first kind by name counts.
     """
+    by = sequence.GAME_KEY.format(game=game)  # never NULL, so that its rows meet
     mistakes = _mistakes(scored, player, bands).selectExpr(
-        f"{game} AS _g", "Move_Number AS _ply", "player", "kind", f"{STATES} AS state", "game_phase"
+        f"{by} AS _g", "Move_Number AS _ply", "player", "kind", f"{STATES} AS state", "game_phase", f"{STEPS} AS steps", *keep
     )
-    moves = scored.selectExpr(f"{game} AS _g", "Move_Number + 1 AS _ply", f"{MOVE_KINDS.format('Move')} AS _kind")
-    met = mistakes.join(moves, ["_g", "_ply"], "left").selectExpr("*", "coalesce(_kind, 'none') AS after_move")
-    counted = _agg(met, ("player", "kind", "after_move", "state", "game_phase"), n="count(*)")
+    moves = scored.selectExpr(f"{by} AS _g", "Move_Number + 1 AS _ply", f"{MOVE_KINDS.format('Move')} AS _kind")
+    moves = _agg(moves, ("_g", "_ply"), _kind="min(_kind)")
+    return mistakes.join(moves, ["_g", "_ply"], "left").selectExpr("*", "coalesce(_kind, 'none') AS after_move")
+
+
+def blunder_triggers(
+    scored: DataFrame, player: str | None = None, bands=sc.LOSS_BANDS, game: str = "Game_Number"
+) -> DataFrame:
+    """What comes before a player's mistakes: the kind of the move just made, how the game
+    stood, and the phase; commonest first, with the share of all the player's mistakes."""
+    met = mistakes_in_context(scored, player, bands, game)
+    return trigger_shares(_agg(met, ("player", "kind", "after_move", "state", "game_phase"), n="count(*)"))
+
+
+def trigger_shares(counted: DataFrame) -> DataFrame:
+    """Adds share and rank to the counts of each combination."""
     # As many rows per player as there are combinations.
     return counted.selectExpr(
         "*",
@@ -228,28 +262,42 @@ def opening_repertoire(
         games="count(*)",
         win_rate="round(avg(won), 4)",
         avg_accuracy=sc.mean2_sql("accuracy"),
-    ).where(f"games >= {int(min_games)}")
+    )
+    numbered = weak_games(sides, review, key).selectExpr("player", "opening", "_n", f"CAST({key} AS STRING) AS _g")
+    return with_weak_games(best_and_worst(per_opening.where(f"games >= {int(min_games)}"), k), numbered)
+
+
+def best_and_worst(per_opening: DataFrame, k: int) -> DataFrame:
+    """The k best and the k worst openings of each player."""
 
     # Both lists come from one pass: each opening stands once in either direction.
     def direction(name: str, sign: str) -> str:
         return f"named_struct('side', '{name}', '_rate', {sign}win_rate, '_accuracy', {sign}avg_accuracy)"
 
     place = "OVER (PARTITION BY player, side ORDER BY _rate, _accuracy ASC NULLS LAST, opening)"
-    listed = (
+    return (
         per_opening.selectExpr("*", f"inline(array({direction('best', '-')}, {direction('worst', '')}))")
         .selectExpr("*", f"CAST(row_number() {place} AS BIGINT) AS rank")
         .where(f"rank <= {int(k)}")
     )
+
+
+def weak_games(sides: DataFrame, review: int, key: str) -> DataFrame:
+    """The `review` games of each player and opening to look at, numbered by `_n`."""
     worst_first = f"lost DESC, accuracy ASC NULLS LAST, {key}, colour DESC"
-    weak_games = _agg(
-        sides.selectExpr(
-            "player", "opening", f"CAST({key} AS STRING) AS _g",
-            f"row_number() OVER (PARTITION BY player, opening ORDER BY {worst_first}) AS _n",
-        ).where(f"_n <= {int(review)}"),
+    return sides.selectExpr(
+        "*", f"row_number() OVER (PARTITION BY player, opening ORDER BY {worst_first}) AS _n"
+    ).where(f"_n <= {int(review)}")
+
+
+def with_weak_games(listed: DataFrame, numbered: DataFrame) -> DataFrame:
+    """Adds the games of the worst openings, as a list of their numbers (`_g`) in order."""
+    weak = _agg(
+        numbered,
         ("player", "opening"),
         review_games="array_join(transform(sort_array(collect_list(named_struct('n', _n, 'g', _g))), x -> x.g), ',')",
     ).selectExpr("*", "'worst' AS side")
-    return listed.join(weak_games, ["player", "opening", "side"], "left").select(
+    return listed.join(weak, ["player", "opening", "side"], "left").select(
         "player", "side", "rank", "opening", "games", "win_rate", "avg_accuracy", "review_games"
     )
 
@@ -331,27 +379,34 @@ def games_to_review(
     link_prefix: str = "",
 ) -> DataFrame:
     """The k games of each player with the costliest single ply, and that ply."""
-    ply = f"named_struct('steps', {STEPS}, 'neg_ply', -Move_Number, 'move', Move, 'phase', game_phase)"
-    percent = "CAST(CAST(round(x.steps / 20D) AS BIGINT) AS STRING)"
-    per_game = (
-        _agg(_movers(scored, player).where("delta > 0"), ("player", *keys, "Game_Link"), x=f"max({ply})")
-        .withColumn("link", F.concat(F.lit(link_prefix), "Game_Link"))
-        .selectExpr(
-            "player",
-            *keys,
-            "link",
-            "CAST(-x.neg_ply AS BIGINT) AS ply",
-            "x.move AS move",
-            "x.steps / 2000D AS loss",
-            f"concat('lost ', {percent}, '% with ', x.move, ' in the ', x.phase) AS summary",
-        )
+    per_game = _agg(
+        _movers(scored, player).where("delta > 0"), ("player", *keys, "Game_Link"), x=f"max({COSTLIEST})"
     )
+    per_game = costliest_plies(per_game, keys, link_prefix)
     if player is not None:
         return per_game.orderBy(F.col("loss").desc(), *keys).limit(k)
     place = f"row_number() OVER (PARTITION BY player ORDER BY loss DESC, {', '.join(keys)})"
     return per_game.selectExpr("*", f"{place} AS _n").where(f"_n <= {int(k)}").drop("_n")
 
 
+#: The largest of these is a game's costliest ply, the first of equals.
+COSTLIEST = f"named_struct('steps', {STEPS}, 'neg_ply', -Move_Number, 'move', Move, 'phase', game_phase)"
+
+
+def costliest_plies(per_game: DataFrame, keys: tuple[str, ...], link_prefix: str = "") -> DataFrame:
+    """Games with their costliest ply `x` spelled out."""
+    percent = "CAST(CAST(round(x.steps / 20D) AS BIGINT) AS STRING)"
+    return per_game.withColumn("link", F.concat(F.lit(link_prefix), "Game_Link")).selectExpr(
+        "player",
+        *keys,
+        "link",
+        "CAST(-x.neg_ply AS BIGINT) AS ply",
+        "x.move AS move",
+        "x.steps / 2000D AS loss",
+        f"concat('lost ', {percent}, '% with ', x.move, ' in the ', x.phase) AS summary",
+    )
+
+
 def with_game_context(
     analysis: DataFrame, moves: DataFrame, game: str = "Game_Number", ply: str = "Move_Number"
 ) -> DataFrame:

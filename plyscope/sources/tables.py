@@ -58,7 +58,7 @@ def write_snapshot(df: DataFrame, root: str, snapshot_date: dt.date | str, sort_
     before = _files(spark, folder)
     dated.write.mode("append").option(NO_SUCCESS_FILE, "false").parquet(folder)
     files = {name: size for name, size in _files(spark, folder).items() if name not in before}
-    _put(spark, f"{root.rstrip('/')}/{COMMITS}/{snapshot_date}", f"{commit:012d}", {"files": files, "schema": dated.schema.jsonValue()})
+    put_mark(spark, f"{root.rstrip('/')}/{COMMITS}/{snapshot_date}", f"{commit:012d}", {"files": files, "schema": dated.schema.jsonValue()})
     _clear(spark, root, snapshot_date, commit, before)
     return folder
 
@@ -77,7 +77,7 @@ def _files(spark: SparkSession, folder: str) -> dict[str, int]:
     return {s.getPath().getName(): s.getLen() for s in found if not s.getPath().getName().startswith(("_", "."))}
 
 
-def _put(spark: SparkSession, folder: str, name: str, content: dict) -> None:
+def put_mark(spark: SparkSession, folder: str, name: str, content: dict) -> None:
     """A small file that appears whole or not at all, and never replaces another."""
     fs, aside = filesystem(spark, f"{folder}/_{uuid.uuid4().hex}")
     fs.mkdirs(aside.getParent())
@@ -90,6 +90,14 @@ def _put(spark: SparkSession, folder: str, name: str, content: dict) -> None:
         raise FileExistsError(f"another writer has committed {folder}/{name}")
 
 
+def get_mark(spark: SparkSession, path: str) -> dict:
+    fs, place = filesystem(spark, path)
+    stream = fs.open(place)
+    content = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return json.loads(content)
+
+
 def _clear(spark: SparkSession, root: str, snapshot_date: dt.date | str, commit: int, names) -> None:
     """Drop what the commit has replaced: `names` in the date's folder, and older markers."""
     folder = snapshot_dir(root, snapshot_date)
@@ -107,10 +115,7 @@ def _committed(spark: SparkSession, root: str, snapshot_date: dt.date | str) ->
     """
     folder, there = snapshot_dir(root, snapshot_date), _files(spark, snapshot_dir(root, snapshot_date))
     for commit in sorted(_commits(spark, root, snapshot_date), reverse=True):
-        fs, marker = filesystem(spark, f"{root.rstrip('/')}/{COMMITS}/{snapshot_date}/{commit:012d}")
-        stream = fs.open(marker)
-        said = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        stream.close()
+        said = get_mark(spark, f"{root.rstrip('/')}/{COMMITS}/{snapshot_date}/{commit:012d}")
         if all(there.get(name) == size for name, size in said["files"].items()):
             return [f"{folder}/{name}" for name in sorted(said["files"])], T.StructType.fromJson(said["schema"])
     if exists(spark, f"{folder}/_SUCCESS"):

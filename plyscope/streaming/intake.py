@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,11 +47,14 @@ SMALL_KEYS = 200_000
 
 @dataclass
 class Incremental:
-    """What holds after a run: the tables of the games that count, and the run's counters."""
+    """What holds after a run: the tables of the games that count, and the run's counters.
+    `numbers` and `reports` come from a run that keeps them."""
 
     moves: DataFrame
     analysis: DataFrame
     audit: DataFrame
+    numbers: DataFrame | None = None
+    reports: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def _table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -221,6 +221,15 @@ def test_blunder_triggers(played):
     assert {tuple(r) for r in one} == {tuple(r) for r in got if r.player == "ann"}
 
 
+def test_triggers_of_a_null_game_and_of_repeated_plies(spark):
+    plies = [(g, n, "Ann", m, 0.4, 0.5, "opening") for g in (1, None) for n, m in enumerate(("Bxc6", "Nxd4", "Rxe5", "Qxf6"), 1)]
+    columns = "Game_Number long, Move_Number int, Player_To_Move string, Move string, delta double, wp_before double, game_phase string"
+    got = {r.after_move: r.n for r in ps.blunder_triggers(spark.createDataFrame(plies, columns)).collect()}
+    assert got == {"capture": 6, "none": 2}  # the NULL game is a game like any other
+    twice = spark.createDataFrame([*plies[:4], (1, 1, "Bob", "O-O", 0.0, 0.5, "opening")], columns)
+    assert {r.after_move: r.n for r in ps.blunder_triggers(twice).collect()} == {"capture": 3, "none": 1}
+
+
 def test_games_to_review(played):
     _, scored, rows = played
     worst = {}

@@ -101,7 +101,7 @@ def test_a_snapshot_counts_once_it_is_committed(spark, tmp_path, monkeypatch):
 
     # A run that is lost before its marker, and one between the marker and the cleaning up.
     with monkeypatch.context() as m:
-        m.setattr(tables, "_put", lambda *a: 1 / 0)
+        m.setattr(tables, "put_mark", lambda *a: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             ps.write_snapshot(sample(spark, 9), root, "2024-01-08")
     assert ps.read_snapshot(spark, root, "2024-01-08", MOVES).count() == 4
@@ -130,9 +130,9 @@ def test_a_commit_whose_files_are_gone_does_not_count(spark, tmp_path, monkeypat
 
 def test_two_writers_of_one_date(spark, tmp_path):
     folder = str(tmp_path / "marks")
-    tables._put(spark, folder, "000000000000", {"files": {}})
+    tables.put_mark(spark, folder, "000000000000", {"files": {}})
     with pytest.raises(FileExistsError):
-        tables._put(spark, folder, "000000000000", {"files": {"other": 1}})
+        tables.put_mark(spark, folder, "000000000000", {"files": {"other": 1}})
     assert [n for n in os.listdir(folder) if not n.startswith(".")] == ["000000000000"]
 
 
