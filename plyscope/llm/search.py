@@ -175,6 +175,7 @@ def packed(query: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pa.RecordB
 def answers(batches: Iterator[pa.RecordBatch], kind: str, k: int) -> Iterator[pa.RecordBatch]:
     """Every cell holds rows of one list and queries that visit it; a task keeps the k best of each query."""
     held: list[tuple[np.ndarray, ...]] = []
+    best = (np.zeros(0, np.int64), np.zeros(0))  # queries and their k-th score so far
     for _, t in runs(batches, ["list", "pb", "qb"]):
         asks = t["role"] == 1
         if asks.all() or not asks.any():
@@ -183,29 +184,50 @@ def answers(batches: Iterator[pa.RecordBatch], kind: str, k: int) -> Iterator[pa
         ids, names = t["ids"][~asks], t["nid"][asks]
         many = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 8
         ids, first = np.frombuffer(b"".join(ids), dtype=np.int64), np.cumsum(many) - many
+        widest = np.linalg.norm(rows, axis=1).max()
         for at in range(0, len(queries), ROWS):
-            own = queries[at : at + ROWS]
+            own, name = queries[at : at + ROWS], names[at : at + ROWS]
+            edge = known(best, name)
             with np.errstate(over="ignore", invalid="ignore"):
                 s = own @ rows.T
-                if len(rows) > k:
-                    # Products differ in their last bits by how they are summed; what is that near the k-th is looked at.
-                    edge = np.partition(s, len(rows) - k, axis=1)[:, len(rows) - k]
-                    slack = 1e-9 * np.linalg.norm(own, axis=1) * np.linalg.norm(rows, axis=1).max()
-                    q, r = np.nonzero(~(s < (edge - slack)[:, None]))
-                else:
-                    q, r = (x.ravel() for x in np.indices(s.shape))
+                new = np.flatnonzero(np.isneginf(edge))
+                if len(rows) > k and len(new):
+                    edge[new] = np.partition(s[new], len(rows) - k, axis=1)[:, len(rows) - k]
+                # Products differ in their last bits by how they are summed; what is that near the k-th is looked at.
+                slack = 1e-9 * np.linalg.norm(own, axis=1) * widest
+                q, r = np.nonzero(~(s < (edge - slack)[:, None]))
                 score = (own[q] * rows[r]).sum(axis=1)
             each = many[r]
             spread = np.repeat(first[r] - np.cumsum(each) + each, each) + np.arange(each.sum())
-            held.append((np.repeat(names[at : at + ROWS][q], each), ids[spread], np.repeat(score, each)))
-            if sum(len(h[0]) for h in held) > HELD:
+            held.append((np.repeat(name[q], each), ids[spread], np.repeat(score, each)))
+            if sum(len(h[0]) for h in held[1:]) > max(HELD // 8, len(held[0][0])):
                 held = [merged(*map(np.concatenate, zip(*held, strict=True)), k)]
-                if len(held[0][0]) > HELD // 2:
+                if len(held[0][0]) > HELD:
                     yield packed(*held.pop())
+                    best = (best[0][:0], best[1][:0])
+                else:
+                    best = last_scores(held[0][0], held[0][2], k)
     if held:
         yield packed(*merged(*map(np.concatenate, zip(*held, strict=True)), k))
 
 
+def last_scores(query: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of merged answers: the queries that have k, and their k-th score."""
+    names, counts = np.unique(query, return_counts=True)
+    full = counts == k
+    return names[full], scores[np.cumsum(counts)[full] - 1]
+
+
+def known(best: tuple[np.ndarray, np.ndarray], names: np.ndarray) -> np.ndarray:
+    """The score each query has to reach, minus infinity where it has no k answers yet."""
+    out = np.full(len(names), -np.inf)
+    if len(best[0]):
+        at = np.minimum(np.searchsorted(best[0], names), len(best[0]) - 1)
+        there = best[0][at] == names
+        out[there] = best[1][at[there]]
+    return out
+
+
 def nearest(
     rows: DataFrame, queries: str, vec_id: str = "vec_id", vector: str = "embedding", k: int = 20, recall: float = 0.96, sample: int = SAMPLE, block: int = BLOCK
 ) -> DataFrame:
