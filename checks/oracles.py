@@ -384,6 +384,22 @@ ORACLES: dict[str, str] = {
         """want AS (SELECT DISTINCT player, strftime(m, '%Y-%m') AS "month" FROM games, months)""",
         select="""SELECT player, "month" FROM want
   EXCEPT SELECT player, "month" FROM games EXCEPT SELECT 'club0', '2022-12'""",
+    ),
+    "archive_source": query(
+        *BASE,
+        ARCHIVE,
+        select="""SELECT player, "month", url, has_text, end_time, NULL AS unread FROM games
+  UNION ALL SELECT 'club0', '2022-12', NULL, false, NULL, NULL
+  UNION ALL SELECT 'club0', '2022-11', NULL, false, NULL, '{"games": [{"pgn'""",
+    ),
+    "archive_outcomes": query(
+        *BASE,
+        ARCHIVE,
+        MONTHS,
+        """want AS (SELECT DISTINCT player, strftime(m, '%Y-%m') AS "month" FROM games, months)""",
+        select="""SELECT player, "month", CASE WHEN player = 'club0' AND "month" = '2022-11' THEN 'corrupt'
+    WHEN player = 'club0' AND "month" = '2022-12' OR (player, "month") IN (SELECT (player, "month") FROM games) THEN 'found'
+    ELSE 'absent' END AS status FROM want""",
     ),
     "clean_games": query(
         *BASE, ARCHIVE, select="""SELECT player, "month", url, end_time FROM games WHERE has_text"""
@@ -419,6 +435,14 @@ ORACLES: dict[str, str] = {
     CASE WHEN g % 13 <> 0 THEN g END AS one, max(end_time) AS t FROM games WHERE has_text GROUP BY ALL)""",
         select="""SELECT CASE WHEN k LIKE 'md5:%' THEN 'none' ELSE k END AS "Game_Link",
   row_number() OVER (ORDER BY t, k) AS "Game_Number" FROM keyed""",
+    ),
+    "stream_refresh": REFRESHED,
+    "stream_audit": query(
+        *BASE,
+        ARCHIVE,
+        "drops AS (SELECT 0 AS b, * FROM games WHERE g % 3 <> 2 UNION ALL SELECT 1, * FROM games WHERE g % 3 <> 0)",
+        select="""SELECT CAST(b AS BIGINT) AS batch, 'raw_games' AS stage, 'rows' AS counter, count(*) AS "value" FROM drops GROUP BY b
+  UNION ALL SELECT CAST(b AS BIGINT), 'raw_games', 'null_pgn', count(*) FILTER (WHERE NOT has_text) FROM drops GROUP BY b""",
     ),
     "incremental_reports": triggers(*TEXT, scored("tx")),
     "incremental_performance": performance("true", *TEXT, scored("tx")),

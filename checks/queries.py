@@ -317,6 +317,22 @@ def archive_gaps(spark, sf):
     return gaps.select("player", "month")
 
 
+def _months(spark, sf):
+    players = views.moves(spark, sf).selectExpr(f"{views.CLUB} AS player").distinct()
+    return ps.read_months(spark, views.archive(spark, sf), players, AS_OF)
+
+
+def archive_source(spark, sf):
+    there = _months(spark, sf).where("status IN ('found', 'corrupt')")
+    return ps.flatten_archive(there).selectExpr(
+        "player", "month", "url", "pgn IS NOT NULL AS has_text", "end_time", "rtrim('\n', _corrupt_record) AS unread"
+    )
+
+
+def archive_outcomes(spark, sf):
+    return ps.month_outcomes(_months(spark, sf)).select("player", "month", "status")
+
+
 def _snapshots(spark, sf):
     """Three snapshots, the middle one written twice."""
     mv = views.moves(spark, sf)
@@ -472,6 +488,28 @@ def incremental_relanded(spark, sf):
     return analysis_out(_named(ps.refresh_incremental(spark, landing, target, demo_scorer).analysis), "Game_Link")
 
 
+def _streamed(spark, sf):
+    """Two drops taken in by a stream over the archive source, of which the second puts other
+    games into the documents of the first."""
+    text = views.game_texts(spark, sf)
+    landing, target, plans, checkpoint, audit = (shared_dir(spark, n) for n in ("landing", "target", "plans", "stream", "audit"))
+    for drop in ("Game_Number % 3 <> 2", "Game_Number % 3 <> 0"):
+        views.land_documents(text.where(drop), landing)
+        months = ps.flatten_archive(ps.stream_months(spark, landing, plans))
+        ps.stream_games(months, target, checkpoint, demo_scorer, audit).awaitTermination()
+    return target, audit
+
+
+def stream_refresh(spark, sf):
+    target, _ = _streamed(spark, sf)
+    return analysis_out(_named(ps.current_tables(spark, target)[1]), "Game_Link")
+
+
+def stream_audit(spark, sf):
+    _, audit = _streamed(spark, sf)
+    return ps.stream_audit(spark, audit).select("batch", "stage", "counter", "value")
+
+
 def _three_drops(spark, sf):
     """Three runs that keep numbers and reports: documents that lack games, hold texts cut short
     and ends that are too late; the same documents put right; then late games in them."""
@@ -543,6 +581,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         month_keys,
         archive_flatten,
         archive_gaps,
+        archive_source,
+        archive_outcomes,
         clean_games,
         latest_snapshot,
         snapshot_overwrite,
@@ -563,5 +603,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         incremental_numbering,
         incremental_reports,
         incremental_performance,
+        stream_refresh,
+        stream_audit,
     )
 }

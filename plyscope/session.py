@@ -25,6 +25,7 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.python.filterPushdown.enabled": "true",
         # Call sites of column expressions cost several calls to the JVM for each.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,

@@ -6,7 +6,8 @@ from .archive import (  # noqa: F401
     month_keys,
     read_archive,
 )
-from .audit import audit_table, audited  # noqa: F401
+from .audit import audit_table, audited, stream_audit  # noqa: F401
+from .months import month_outcomes, read_months, stream_months  # noqa: F401
 from .tables import (  # noqa: F401
     drop_staging,
     latest_snapshot,

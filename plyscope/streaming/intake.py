@@ -18,6 +18,7 @@ from plyscope.plans.refresh import CONTEXT
 from plyscope.schemas import ANALYSIS, ARCHIVE, MOVES
 from plyscope.session import land
 from plyscope.sources import archive as ar
+from plyscope.sources.audit import BatchCounters
 from plyscope.sources.tables import exists
 
 def _fields(kind: T.DataType, *names: str) -> list[T.StructField]:
@@ -209,17 +210,24 @@ def _next_batch(spark: SparkSession, target: str) -> str:
     return f"{name}-{int(number) + 1:08d}"
 
 
-def stream_games(stream: DataFrame, target: str, checkpoint: str, scorer: Scorer):
+def stream_games(stream: DataFrame, target: str, checkpoint: str, scorer: Scorer, audit: str | None = None):
     """A streaming query that adds the games of every micro-batch of flattened documents.
 
     Batch names carry the id of the stream's checkpoint, so a new checkpoint, which
-    counts from 0 again, does not overwrite what an earlier one wrote.
+    counts from 0 again, does not overwrite what an earlier one wrote. With `audit`, a
+    folder, the rows of each micro-batch are counted as they are read (`stream_audit`).
     """
+    spark = stream.sparkSession
 
     def intake(raw: DataFrame, batch_id: int) -> None:
         session = raw.sparkSession
         stream_id = session.read.json(f"{checkpoint}/metadata").first()["id"]
         add_games(land(raw, "raw"), target, f"{stream_id}-{batch_id:08d}", scorer)
 
-    writer = stream.writeStream.foreachBatch(intake).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+    counters = None if audit is None else BatchCounters(spark, audit, "raw_games")
+    counted = stream if counters is None else counters.counted(stream, ("pgn",))
+    writer = counted.writeStream.foreachBatch(intake).option("checkpointLocation", checkpoint)
+    query = writer.trigger(availableNow=True).start()
+    if counters is not None:
+        counters.watch(query)
+    return query

@@ -1,14 +1,16 @@
 import datetime as dt
 import os
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 import plyscope as ps
+from checks.queries import demo_scorer
 from plyscope.schemas import MOVES
 from plyscope.session import land, shared_dir
-from plyscope.sources import tables
+from plyscope.sources import audit, months, tables
 
 
 def put(root, player, month, text):
@@ -223,3 +225,87 @@ def test_numbering(spark, partitions):
 
 def test_numbering_nothing(spark):
     assert ps.number_games(spark.createDataFrame([], "end_time long, game_key string")).count() == 0
+
+
+@pytest.fixture
+def awkward(landing):
+    """The landing with a name that is escaped in paths, and a document that cannot be opened."""
+    root = Path(landing)
+    put(root, "c%3Fd", "2024-01", '{"games": [{"pgn": "1. d4"}]}')
+    (root / "player=bob" / "month=2024-02").mkdir(parents=True)
+    os.symlink("/nowhere/at/all", root / "player=bob" / "month=2024-02" / "doc.json")
+    (root / "player=bob" / "month=2024-01" / "_SUCCESS").write_text("")
+    return landing
+
+
+def test_months_as_a_source(spark, awkward):
+    source = months.ArchiveMonths({"path": awkward, "players": '["ann", "bob", "c?d"]', "as_of": "2024-03-15", "days_back": "60"})
+    assert source.months == ["2024-01", "2024-02", "2024-03"] and len(source.partitions()) == 9
+    source.most = 2
+    assert sorted(x for p in source.partitions() for x in p.items) == [(p, m) for p in ("ann", "bob", "c?d") for m in source.months]
+    assert len(source.partitions()) == 2
+    got = ps.read_months(spark, awkward, ["ann", "bob", "c?d"], "2024-03-15", 60)
+    outcome = {(r.player, r.month): r.status for r in ps.month_outcomes(got).collect()}
+    assert outcome == {
+        ("ann", "2024-01"): "found", ("ann", "2024-02"): "found", ("ann", "2024-03"): "corrupt",
+        ("bob", "2024-01"): "found", ("bob", "2024-02"): outcome["bob", "2024-02"], ("bob", "2024-03"): "absent",
+        ("c?d", "2024-01"): "found", ("c?d", "2024-02"): "absent", ("c?d", "2024-03"): "absent",
+    }
+    assert outcome["bob", "2024-02"] in ("absent", "failed")  # a link to nothing
+    flat = ps.flatten_archive(got.where("status = 'found'"))
+    same = ps.flatten_archive(ps.read_archive(spark, awkward).where("_corrupt_record IS NULL"))
+    columns = ("player", "month", "url", "pgn", "white")
+    assert sorted(map(str, flat.select(*columns).collect())) == sorted(map(str, same.select(*columns).collect()))
+
+
+def test_a_month_that_fails_is_a_row(awkward, monkeypatch):
+    reader = months.ArchiveMonths({"path": awkward, "players": '["ann"]', "as_of": "2024-02-01", "days_back": "31"})
+    refused = lambda *a: (_ for _ in ()).throw(PermissionError("no"))
+    monkeypatch.setattr(months, "_found", refused)
+    rows = [r for p in reader.partitions() for r in reader.read(p)]
+    assert [(r[1], r[2], r[3]) for r in rows] == [("2024-01", "failed", "PermissionError: no"), ("2024-02", "failed", "PermissionError: no")]
+    store, root = months._store(awkward)
+    rows = list(months._documents(store, "ann", "2024-01", [f"{root}/nothing.json"]))
+    assert [(r[2], r[5]) for r in rows] == [("failed", None)] and "FileNotFoundError" in rows[0][3]
+
+
+def test_only_named_months_are_planned(spark, awkward):
+    got = ps.read_months(spark, awkward, ["ann", "bob"], "2024-03-15", 60)
+    assert got.where("player = 'ann' AND month IN ('2024-01', '2024-02')").rdd.getNumPartitions() == 2
+    assert got.where("player = 'ann' AND month IN ('2024-01', '2024-02') AND status = 'found'").count() == 2
+    assert ps.read_months(spark, awkward, [], "2024-03-15", 60).count() == 0
+
+
+def test_arrivals_are_planned_once(awkward, tmp_path):
+    source = months.ArchiveArrivals({"path": awkward, "plans": str(tmp_path / "plans")})
+    start = source.initialOffset()
+    assert start == {"plan": 0} and [x for p in source.partitions(start, start) for x in p.items] == []
+    first = source.latestOffset()
+    assert first == {"plan": 1} and source.latestOffset() == first
+    items = [x for p in source.partitions(start, first) for x in p.items]
+    assert ("c?d", "2024-01") in {x[:2] for x in items} and not any("_SUCCESS" in x[2] for x in items)
+    path = next(x[2] for x in items if x[:2] == ("ann", "2024-02"))
+    with open(path, "w") as f:
+        f.write('{"games": [{"pgn": "1. c4 c5"}]}')
+    os.utime(path, (1, 1))  # changed, and older than all that was seen
+    again = months.ArchiveArrivals({"path": awkward, "plans": str(tmp_path / "plans")})  # after a restart
+    second = again.latestOffset()
+    assert second == {"plan": 2}
+    assert [x for p in again.partitions(first, second) for x in p.items] == [("ann", "2024-02", path)]
+    both = [x for p in again.partitions(start, second) for x in p.items]
+    assert len(both) == len(items)  # a document that came twice is read once
+    assert [r[2] for p in again.partitions(first, second) for r in again.read(p)] == ["found"]
+
+
+def test_counters_of_a_stream(spark, tmp_path):
+    folder, plans, landing = (str(tmp_path / n) for n in ("audit", "plans", "landing"))
+    assert ps.stream_audit(spark, folder).count() == 0
+    for i in range(2):
+        put(tmp_path / "landing", "ann", f"2024-0{i + 1}", '{"games": [{"pgn": "1. e4"}, {"url": "u"}]}' if i else '{"games": [{"url": "u"}]}')
+        stream = ps.flatten_archive(ps.stream_months(spark, landing, plans))
+        ps.stream_games(stream, str(tmp_path / "target"), str(tmp_path / "stream"), demo_scorer, folder).awaitTermination()
+    got = {(r.batch, r.stage, r.counter): r.value for r in ps.stream_audit(spark, folder).collect()}
+    assert got == {
+        (0, "raw_games", "rows"): 1, (0, "raw_games", "null_pgn"): 1, (1, "raw_games", "rows"): 2, (1, "raw_games", "null_pgn"): 1,
+    }
+    assert audit._WATCHED[folder] == []
