@@ -38,7 +38,7 @@ def whole_parts(v: np.ndarray, scale: int, parts: int) -> np.ndarray:
     bound = 2.0 ** math.floor(math.log2(2.0**62 / max(v.shape[1], 1)) / 2 - 1)
     with np.errstate(over="ignore"):
         whole = np.clip(np.floor(v * scale), -bound, bound).astype(np.int64)
-    return np.ascontiguousarray(whole.reshape(len(v), parts, -1).swapaxes(0, 1))
+    return np.ascontiguousarray(whole.reshape(len(v), parts, v.shape[1] // parts).swapaxes(0, 1))
 
 
 def squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
