@@ -113,6 +113,7 @@ class PageLines(HTMLParser):
         self.told = 0  # unlinked characters of articles outside all frames
         self.kind: dict[int, str] = {0: ""}
         self.around: dict[int, int] = {0: 0}
+        self.cut_off = False
         self._started = 0
         self._count: Counter[str] = Counter()
         self._text: list[str] = []
@@ -125,6 +126,7 @@ class PageLines(HTMLParser):
     def parse_comment(self, i: int, report: bool = True) -> int:
         """A comment that never ends takes the rest of the page with it, as in browsers."""
         end = COMMENT_END.search(self.rawdata, i + 2)
+        self.cut_off = not end
         return end.end() if end else len(self.rawdata)
 
     def read(self, html: str) -> list[Line]:
@@ -133,7 +135,7 @@ class PageLines(HTMLParser):
         whole = html.rfind(">") + 1
         self.feed(html[:whole])
         self.close()
-        if not self.cdata_elem and (text := TAG_START.split(html[whole:], maxsplit=1)[0]):
+        if not (self.cdata_elem or self.cut_off) and (text := TAG_START.split(html[whole:], maxsplit=1)[0]):
             self.handle_data(unescape(text))
         self._end_line()
         return self.lines
@@ -295,7 +297,7 @@ def main_text(html: str | None, sigma: float = 2.0, cover: float = 0.9) -> str:
     kept = within([region], around)[inside]
     # inside a region of its own nothing is left out; of a whole page, what lies outside its flow is
     if parser.kind[region] in ("", "html", "body"):
-        kept &= _flow(lines, core, inside, len(around))
+        kept &= _flow(lines, weight, inside, len(around))
     return " ".join(l.text for l, k in zip(lines, kept, strict=True) if k)
 
 
@@ -336,15 +338,21 @@ def _title_before(kept: np.ndarray, lines: list[Line]) -> None:
         kept[first] = True
 
 
-def _flow(lines: list[Line], core: np.ndarray, inside: np.ndarray, containers: int, run: int = 3) -> np.ndarray:
+def _flow(lines: list[Line], weight: np.ndarray, inside: np.ndarray, containers: int, run: int = 3) -> np.ndarray:
     """Lines from the first to the last of the core, with headings right before, and those that
     share their innermost container with core lines; outside that stretch, runs of `run` lines
-    or more that are nothing but links are menus."""
-    places = np.flatnonzero(core)
+    or more that are nothing but links are menus.
+
+    Where some containers directly hold most of the core, a tenth of it each, a core line in
+    another one does not begin or end the stretch.
+    """
+    own = np.bincount(inside, weights=weight, minlength=containers)
+    told = own >= 0.1 * own.sum()
+    if own[told].sum() < 0.5 * own.sum():
+        told = own > 0
+    places = np.flatnonzero((weight > 0) & told[inside])
     if not len(places):
         return np.ones(len(lines), dtype=bool)
-    told = np.zeros(containers, dtype=bool)
-    told[inside[core]] = True
     kept = told[inside]
     links = np.array([l.linked > 0 and l.linked >= len(l.text.replace(" ", "")) for l in lines])
     for group in np.split(np.arange(len(lines)), np.flatnonzero(np.diff(links)) + 1):

@@ -1,4 +1,6 @@
 import math
+import random
+import time
 
 import numpy as np
 import pytest
@@ -46,6 +48,79 @@ def test_the_region_holds_the_whole_text(html, want):
     assert want in html_text.main_text(html)
 
 
+LINKS = "".join(f"<li><a href={i}>Ref {i}</a>" for i in range(5))
+REFS = " ".join(f"Ref {i}" for i in range(5))
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<p>a</p><![foo[x]]>", "a"),
+        ("<![ <p>", ""),
+        ("<p>a<![CDATA[x]]>b</p><!-->c<!--->d<!-- e --!>f", "ab cdf"),
+        ("<p>a &lt; b &amp; c <a href='x", "a < b & c"),
+        ("<p>x<!-- never closed <p>y", "x"),
+        (f"<form id=f><div id=main>{BODY}<label>Name <input></label></div></form>", WANT),
+        (f"<body><aside>{BODY}</aside></body>", WANT),
+        (f"<body><div role=banner>{BODY}</div></body>", WANT),
+        (f"<body><header>Site</header><article><header><h1>Head</h1></header>{BODY}</article></body>", f"Head {WANT}"),
+        (f"<body><div>{NAV}<h1>Head</h1><article>{BODY}</article></div></body>", f"Head {WANT}"),
+        (f"<body>{BODY}<label>Mail <input><p>After it some more text.</p>{BODY}</body>", f"{WANT} After it some more text. {WANT}"),
+        (f"<body>{BODY}<ul>{LINKS}</ul>{BODY}</body>", f"{WANT} {REFS} {WANT}"),
+        (f"<body><ul>{LINKS}</ul><h1>Head</h1>{BODY}<p>Short.</p><div><p>Copyright 2024 me</p></div></body>", f"Head {WANT} Short."),
+        (f"<body><article><p>Nd.</p></article><footer>{'A long footer here. ' * 9}</footer><header>{'Slogan. ' * 9}</header></body>", "Nd."),
+        (f"<body><article>{BODY}<footer>By line</footer></article></body>", WANT),
+    ],
+)
+def test_odd_pages(page, want):
+    assert html_text.main_text(page) == want
+
+
+def generated(rng):
+    """A page with one known main text, and the text."""
+    words = lambda n: " ".join(rng.choice(["lorem", "ipsum", "dolor", "amet", "sit"]) for _ in range(n))
+    paragraphs = [words(rng.randint(20, 60)) for _ in range(rng.randint(5, 15))]
+    told = "".join(f"<p>{p}</p>" if rng.random() < 0.8 else f"<p>{p}" for p in paragraphs)
+    title = words(4)
+    main = rng.choice(["<article><h1>{t}</h1>{p}</article>", "<main><h1>{t}</h1>{p}</main>", "<div class=body><h1>{t}</h1>{p}</div>", "<div><h1>{t}</h1><article>{p}</article></div>", "<article><header><h1>{t}</h1></header>{p}</article>"])
+    frames = ["<nav><ul><li><a href=/>Home</a><li><a href=/a>About</a></ul></nav>", "<div class=ad>Buy it now</div>", "<aside><h2>See also</h2><a href=x>Other</a></aside>", "<script>var a = '<p>';</script>", "<header><a href=/>Site</a></header>"]
+    before = "".join(rng.sample(frames, rng.randint(0, 4)))
+    wrap = rng.choice(["{}", "<form method=post>{}</form>", "<div id=page><div id=inner>{}</div></div>"])
+    page = wrap.format(before + main.format(t=title, p=told) + "<footer>All rights</footer>")
+    return f"<html><head><title>x</title></head><body>{page}</body></html>", " ".join([title, *paragraphs])
+
+
+def test_generated_pages():
+    rng = random.Random(2)
+    for _ in range(150):
+        page, want = generated(rng)
+        assert html_text.main_text(page) == want, page
+
+
+def test_no_page_raises():
+    rng = random.Random(3)
+    parts = ["<", ">", "<!", "<![", "]]>", "<!--", "-->", "</", "<p>", "</p>", "<a href='", '"', "'", "&", "&#x", ";", "<form>", "<label>", "</form>", "\x00", "text ", "<script>", "</script", "<?", "é", "<td>", "<header role=banner>", "<article>", "<textarea>", "</article>", "<svg/>"]
+    for _ in range(3000):
+        assert isinstance(html_text.main_text("".join(rng.choices(parts, k=rng.randint(1, 40)))), str)
+    whole, _ = generated(rng)
+    for i in range(0, len(whole), 7):
+        html_text.main_text(whole[:i])
+        html_text.main_text(whole[i:])
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 3000 + "<p>text of a paragraph</p>" * 3000, "<b>" * 20000 + "<p>x y z</p>" * 3000, "<a " * 40000, "<a " * 40000 + ">", "<!--" * 40000,
+        "<" * 100_000, "</p" * 30000 + ">", "</i>" * 50000, "<div class=ad>" * 3000 + "text " * 3000, "<![ " * 30000 + ">", "&" * 100_000,
+    ],
+)
+def test_time_is_in_proportion(page):
+    start = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - start < 10
+
+
 @pytest.mark.parametrize(
     "page",
     [
