@@ -69,14 +69,14 @@ class PartVisitor:
         self.text_tokens += len(WORDS.findall(text))
 
     def visit_image(self, part: dict) -> None:
-        across, down = (math.ceil((part.get(k) or 1) / self.pixels_per_tile) for k in ("width", "height"))
+        across, down = (math.ceil(measured(part, k) / self.pixels_per_tile) for k in ("width", "height"))
         self._attach("image", part, across * down)
 
     def visit_audio(self, part: dict) -> None:
-        self._attach("audio", part, math.ceil((part.get("seconds") or 1) * self.tokens_per_second))
+        self._attach("audio", part, math.ceil(measured(part, "seconds") * self.tokens_per_second))
 
     def visit_document(self, part: dict) -> None:
-        self._attach("document", part, (part.get("pages") or 1) * self.tokens_per_page)
+        self._attach("document", part, math.ceil(measured(part, "pages") * self.tokens_per_page))
 
     def _attach(self, kind: str, part: dict, tokens: int) -> None:
         index = len(self.attachments)
@@ -84,6 +84,12 @@ class PartVisitor:
         self.body.append(f"<@{kind}:{index}:{tokens}>")
 
 
+def measured(part: dict, name: str) -> float:
+    """A size of a part; one that is missing, not finite or not above 0 counts as 1."""
+    size = part.get(name)
+    return size if size is not None and math.isfinite(size) and size > 0 else 1
+
+
 def format_turn(role: str | None, parts: list[dict] | None) -> dict:
     """The written turn; the loss span, in code points of it, covers the body of an assistant's turn."""
     visitor = PartVisitor()

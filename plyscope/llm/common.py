@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,14 @@ def fold(doc_id: str | Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus
 
 
+def set_aside(rows: DataFrame, names: Iterable[str]) -> tuple[DataFrame, dict[str, str]]:
+    """The rows with columns called as one of `names`, in any case, under names of their own, and
+    how to call them again (`withColumnsRenamed`): a user's columns are never touched."""
+    taken = {n.lower() for n in names}
+    aside = {c: f"{c}_{uuid.uuid4().hex}" for c in rows.columns if c.lower() in taken}
+    return rows.withColumnsRenamed(aside), {new: c for c, new in aside.items()}
+
+
 def byte_texts(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of each text; null texts are empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plyscope.llm.common import fold, slices, table
+from plyscope.llm.common import fold, set_aside, slices, table
 
 BITS = 18
 UNKNOWN = "und"
@@ -186,8 +186,9 @@ def identify(rows: DataFrame, model: Model | None, text: str = "text", names: tu
 def keep_identified(rows: DataFrame, model: Model | None, text: str = "text", least: float = 0.35) -> DataFrame:
     """The rows, all columns, whose language is told with a score of `least` or more."""
     names = ("_language", "_language_score")
+    rows, again = set_aside(rows, [*names, "_found_language"])
     found = identify(rows, model, text, names).where(F.col(names[0]) != UNKNOWN).where(F.col(names[1]) >= least)
-    return found.drop(*names)
+    return found.drop(*names).withColumnsRenamed(again)
 
 
 def learnt_rows(docs: DataFrame) -> DataFrame:

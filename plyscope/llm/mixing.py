@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plyscope.llm.common import byte_texts, table
+from plyscope.llm.common import byte_texts, set_aside, table
 from plyscope.session import land
 
 SWEEPS, TOLERANCE = 200, 1e-9
@@ -173,6 +173,7 @@ def mix(
     of a marginal's share of the expected tokens from its target, above 0 where no weights
     meet all targets or repeats that they need are not allowed. The table
     of cells is fitted on the driver up to `driver_cells` cells, beyond that on the cluster.
+    Columns of the added names are replaced; no other column is touched, whatever its name.
     """
 
     @F.arrow_udf("struct<tokens: long, topic: int>")
@@ -184,6 +185,8 @@ def mix(
             )
 
     by = ["_source", "_lang", "_topic"]
+    docs, again = set_aside(docs, ["_source", "_lang", "_measured", *[f"_cell{c}" for c in by]])
+    text, doc_id, source, lang = ({c: new for new, c in again.items()}.get(x, x) for x in (text, doc_id, source, lang))
     rows = docs.withColumn("_measured", measure(F.col(text).cast("string")))
     rows = rows.withColumns({"_tokens": F.col("_measured.tokens"), "_topic": F.col("_measured.topic"), "_source": F.col(source), "_lang": F.col(lang)}).drop("_measured")
     u = F.pmod(F.xxhash64(F.col(doc_id), F.col(text), F.lit("mix")), F.lit(1 << 53)) / F.lit(float(1 << 53))
@@ -196,16 +199,22 @@ def mix(
     out = rows.join(fitted, same[0] & same[1] & same[2], "left")
     whole = F.floor("_probability")
     out = out.withColumn("_copies", whole + (u < F.col("_probability") - whole).cast("long")).withColumn("_kept", F.col("_copies") > 0)
-    return out.drop("_source", "_lang", *[f"_cell{c}" for c in by])
+    return out.drop("_source", "_lang", *[f"_cell{c}" for c in by]).withColumnsRenamed(again)
+
+
+#: What `mix` and `sample_mix` add.
+ADDED = ("_tokens", "_topic", "_weight", "_probability", "_miss", "_copies", "_kept", "_copy")
 
 
 def sample_mix(docs: DataFrame, repeats: bool = False, **options: object) -> DataFrame:
     """The rows of `docs`, all columns, that the mix keeps: with `repeats` each as often as its
     copies say, so that the targets are met, otherwise each once at most."""
+    columns = docs.columns
+    docs, again = set_aside(docs, ADDED)
     kept = mix(docs, repeats=repeats, **options).where("_kept")
     if repeats:
         kept = kept.withColumn("_copy", F.explode(F.expr("sequence(1L, _copies)")))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns]).withColumnsRenamed(again).select(*[F.col(f"`{c}`") for c in columns])
 
 
 def op9_proportional_fitting(spark: SparkSession, sf_dir: str) -> DataFrame:

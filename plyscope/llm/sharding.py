@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plyscope.llm.common import table
+from plyscope.llm.common import set_aside, table
 from plyscope.session import land
 
 KEY = ("_h", "_d", "_r")
@@ -147,9 +147,11 @@ def shard(
     tasks share a shard's exchange; `max_cells` bounds what the driver holds; `keep` names the
     columns to carry along (all). An empty table gives an empty result.
     """
-    own = ("size", "text_crc32", "shard", "slot", "_size", "_cell", *KEY)
+    own = ("size", "text_crc32", "shard", "slot")
+    rows, again = set_aside(rows, ["_size", "_cell", *KEY])
+    text, doc_id = ({c: new for new, c in again.items()}.get(x, x) for x in (text, doc_id))
     body = F.coalesce(F.col(text), F.lit(""))
-    carried = [c for c in rows.columns if c not in own and (keep is None or c in keep)]
+    carried = [c for c in rows.columns if c.lower() not in own and (keep is None or again.get(c, c) in keep)]
     rows = rows.withColumns(
         {
             "size": F.octet_length(body).cast("long") + 1,
@@ -179,7 +181,7 @@ def shard(
     out = rows.withColumn("_cell", cell_of(*KEY) if cuts else F.lit(0))
     out = out.withColumn("slot", start + F.row_number().over(place) - 1)
     out = out.withColumn("shard", F.floor(F.col("_cell") / per_shard).cast("int"))
-    return out.drop(*KEY, "_size", "_cell")
+    return out.drop(*KEY, "_size", "_cell").withColumnsRenamed(again)
 
 
 def op3_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
