@@ -354,6 +354,7 @@ ORACLES: dict[str, str] = {
   res AS "Result", pos AS position FROM tx""",
     ),
     "score_positions": query(*TEXT, select=f"SELECT {FLAT} FROM tx"),
+    "score_book": query(*TEXT, select=f"SELECT {FLAT} FROM tx"),
     "score_join": query(
         *BASE,
         f"sc AS (SELECT {_MOVE} AS mo, max(event_id) AS e FROM events WHERE event_type <> 'signup' GROUP BY 1)",

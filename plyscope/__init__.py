@@ -11,6 +11,7 @@ from .streaming import (  # noqa: F401
     game_numbers,
     kept_reports,
     refresh_incremental,
+    score_from_book,
     stream_games,
     update_numbers,
     update_reports,

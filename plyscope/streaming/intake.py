@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plyscope.operators import games as gm
-from plyscope.operators.scores import SCORES, Scorer, score_join, score_table
+from plyscope.operators.report import bounded_broadcast
+from plyscope.operators.scores import Scorer
 from plyscope.plans.analysis import move_analysis
 from plyscope.plans.refresh import CONTEXT
 from plyscope.schemas import ANALYSIS, ARCHIVE, MOVES
@@ -20,13 +21,14 @@ from plyscope.session import land
 from plyscope.sources import archive as ar
 from plyscope.sources.audit import BatchCounters
 from plyscope.sources.tables import exists
+from plyscope.streaming.scorebook import score_from_book
+
 
 def _fields(kind: T.DataType, *names: str) -> list[T.StructField]:
     return [T.StructField(n, kind) for n in names]
 
 
 BATCH = T.StructField("batch", T.StringType())
-SCORED = T.StructType([*SCORES.fields, BATCH])
 #: The documents read so far. `taken` orders the runs, so the newest version of a path is known.
 DOCUMENTS = T.StructType([*_fields(T.StringType(), "path"), *_fields(T.LongType(), "modified", "length", "taken"), BATCH])
 #: Every copy of a game that a document holds. `digest` tells copies of one game apart.
@@ -76,10 +78,9 @@ def _replace(df: DataFrame, path: str, batch: str) -> None:
 
 
 def _met(history: DataFrame, keys: DataFrame, by: list[str]) -> DataFrame:
-    """The rows of `history` with one of `keys`. Few keys go to the history, which is then
-    scanned but not shuffled; with more, both are shuffled."""
-    few = keys.limit(SMALL_KEYS + 1).count() <= SMALL_KEYS
-    return history.join(F.broadcast(keys) if few else keys, by, "left_semi")
+    """The rows of `history` with one of `keys`. Few keys, by rows and bytes, go to the history,
+    which is then scanned but not shuffled; with more, both are shuffled."""
+    return history.join(bounded_broadcast(keys, SMALL_KEYS)[0], by, "left_semi")
 
 
 def add_games(raw: DataFrame, target: str, batch: str, scorer: Scorer) -> None:
@@ -87,7 +88,7 @@ def add_games(raw: DataFrame, target: str, batch: str, scorer: Scorer) -> None:
 
     Every copy of a game is noted in `target/games`. Moves go to `target/moves` and their
     analysis to `target/analysis`, once per different copy of a game; the scores of
-    positions not met before go to `target/scores`, and what cannot be used to
+    positions not met before go to buckets of `target/scores`, and what cannot be used to
     `target/quarantine`. All are partitioned by batch, and a batch never reads its own
     partition: after a crash at any point the same batch runs again and gives the same
     rows, so nothing is lost or doubled. `raw` may name each game's document (`_path`,
@@ -110,13 +111,7 @@ def add_games(raw: DataFrame, target: str, batch: str, scorer: Scorer) -> None:
     good, aside = gm.split_quarantine(land(gm.tag_games(gm.parse_games(texts)), "intake"))
     moves = gm.build_moves(good, ("digest",))
 
-    scores_path = f"{target}/scores"
-    positions = land(moves.select("position").where("position IS NOT NULL").distinct(), "positions")
-    old_scores = land(_met(_others(spark, scores_path, SCORED, batch).drop("batch"), positions, ["position"]), "old-scores")
-    new_positions = positions.join(old_scores.select("position"), "position", "left_anti")
-    _replace(score_table(new_positions, scorer), scores_path, batch)
-    own = spark.read.schema(SCORES).parquet(f"{scores_path}/batch={batch}")
-    scored = score_join(moves, old_scores.unionByName(own)).drop("position")
+    scored = score_from_book(moves, f"{target}/scores", batch, scorer).drop("position")
     stored = [f.name for f in MOVE_ROWS.fields if f.name != "batch"]
     _replace(scored.select(*stored), f"{target}/moves", batch)
 

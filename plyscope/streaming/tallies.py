@@ -70,14 +70,13 @@ def _folded(rows: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
 def _plies_of(spark: SparkSession, target: str, change: Changes) -> DataFrame:
     """The analysed plies of the copies in `change`, with their sign; only partitions of the
     batches that hold such a copy are read."""
-    copies = change.rows.groupBy("game_key", "digest").agg(F.sum("sign").cast("int").alias("sign"), F.max("end_time").alias("end"))
+    copies = change.rows.groupBy("game_key", "digest").agg(F.sum("sign").cast("int").alias("sign"))
     copies = land(copies, "changed-copies")
     by = ["game_key", "digest"]
     noted = intake._table(spark, f"{target}/games", intake.COPIES)
     holding = [r.batch for r in intake._met(noted, copies.select(*by), by).select("batch").distinct().collect()]
     analysis = intake._table(spark, f"{target}/analysis", intake.ANALYSIS_ROWS).where(F.col("batch").isin(holding))
-    few = copies.limit(intake.SMALL_KEYS + 1).count() <= intake.SMALL_KEYS
-    return analysis.join(F.broadcast(copies) if few else copies, by).drop("end")
+    return analysis.join(rp.bounded_broadcast(copies, intake.SMALL_KEYS)[0], by)
 
 
 def _side_rows(plies: DataFrame, change: Changes) -> DataFrame:
@@ -154,8 +153,7 @@ def _live_sides(spark: SparkSession, target: str, runs: list[str]) -> DataFrame:
     others are as they were written, and are not shuffled for it."""
     rows = _kept(spark, target, "sides", runs)
     taken = land(rows.where("n < 0").select("game_key").distinct(), "taken-away")
-    few = taken.limit(intake.SMALL_KEYS + 1).count() <= intake.SMALL_KEYS
-    taken = F.broadcast(taken) if few else taken
+    taken, _ = rp.bounded_broadcast(taken, intake.SMALL_KEYS)
     columns = [c for c in rows.columns if c != "n"]
     summed = rows.join(taken, "game_key", "left_semi").groupBy(*columns).agg(F.sum("n").alias("n")).where("n > 0")
     return rows.join(taken, "game_key", "left_anti").unionByName(summed.select(*rows.columns)).drop("n")

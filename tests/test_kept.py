@@ -12,6 +12,7 @@ from plyscope.session import shared_dir
 from plyscope.sources import tables
 from plyscope.streaming import changes as ch
 from plyscope.streaming import numbering as nb
+from plyscope.streaming import scorebook
 from plyscope.streaming import tallies
 
 
@@ -216,3 +217,27 @@ def test_streamed_games_are_numbered_and_reported(spark, tmp_path):
         ps.update_reports(spark, target)
     assert numbers(spark, target) == {"g1": 1, "g0": 2}
     assert {r.games for r in ps.kept_reports(spark, target)["performance_summary"].collect()} == {2}
+
+
+def test_only_the_buckets_of_a_drop_are_opened(spark, tmp_path):
+    book = str(tmp_path / "scores")
+    moves = spark.range(400).selectExpr("CAST(id AS STRING) AS game_key", "1 AS Move_Number", "md5(CAST(id AS STRING)) AS position")
+    first = ps.score_from_book(moves, book, "a", demo_scorer, buckets=32)
+    assert first.count() == 400
+    few = moves.where("game_key IN ('3', '7')").selectExpr("position", "CAST(pmod(xxhash64(position), 32) AS INT) AS bucket")
+    kept = scorebook.kept_scores(spark, book, "b", few)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    buckets = sorted({r.bucket for r in few.collect()})
+    assert f"bucket#" in plan and "PartitionFilters" in plan and "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    opened = {f.split("bucket=")[1].split("/")[0] for f in kept.select(F.input_file_name()).distinct().toPandas().iloc[:, 0]}
+    assert opened <= {str(b) for b in buckets} and len(buckets) <= 2
+    assert kept.count() <= 2
+    # The number of buckets stays as the store has it, and a batch never reads its own scores.
+    assert scorebook.bucket_count(spark, book, 99) == 32
+    assert scorebook.kept_scores(spark, book, "a", few).count() == 0
+    again = ps.score_from_book(moves.where("game_key = '3'"), book, "b", demo_scorer)
+    assert again.first()["WDL Stats"] == first.where("game_key = '3'").first()["WDL Stats"]
+    empty = ps.score_from_book(moves.where("false"), book, "c", demo_scorer)
+    assert empty.count() == 0
+    none = moves.limit(1).withColumn("position", F.lit(None).cast("string"))
+    assert ps.score_from_book(none, str(tmp_path / "new"), "a", demo_scorer).first().Evaluation is None
