@@ -449,3 +449,4 @@ ORACLES: dict[str, str] = {
     "incremental_performance": performance("true", *TEXT, scored("tx")),
 }
 ORACLES["name_openings_shuffle"] = ORACLES["name_openings"]
+ORACLES["player_layout"] = ORACLES["player_filter"]

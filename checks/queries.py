@@ -173,6 +173,13 @@ def player_filter(spark, sf):
     return analysis_out(ps.for_player(scored(spark, sf), PLAYER, ("White", "Black")))
 
 
+def player_layout(spark, sf):
+    """The rows of one player's games, from an analysis that is laid out by player."""
+    root, analysed = shared_dir(spark, "by-player"), scored(spark, sf)
+    ps.write_by_player(analysed, root, AS_OF)
+    return analysis_out(ps.read_player(spark, root, PLAYER))
+
+
 def phase_breakdown(spark, sf):
     return ps.phase_breakdown(scored(spark, sf))
 
@@ -573,6 +580,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         game_phase,
         side_aggregates,
         player_filter,
+        player_layout,
         phase_breakdown,
         phase_drop,
         performance_summary,

@@ -40,8 +40,8 @@ def snapshot_dir(root: str, snapshot_date: dt.date | str) -> str:
     return f"{root.rstrip('/')}/{SNAPSHOT}={snapshot_date}"
 
 
-def write_snapshot(df: DataFrame, root: str, snapshot_date: dt.date | str, sort_by: tuple[str, ...] = ()) -> str:
-    """Write one dated snapshot and return its folder.
+def write_snapshot(df: DataFrame, root: str, snapshot_date: dt.date | str, sort_by: tuple[str, ...] = (), **options: str) -> str:
+    """Write one dated snapshot and return its folder; `options` are those of the writer.
 
     A second run for the same date replaces that date and no other, also when it has
     no rows. The new files are written beside those of the last commit; then a marker
@@ -56,7 +56,7 @@ def write_snapshot(df: DataFrame, root: str, snapshot_date: dt.date | str, sort_
         dated = dated.sortWithinPartitions(*sort_by)
     commit = (max(_commits(spark, root, snapshot_date), default=-1)) + 1
     before = _files(spark, folder)
-    dated.write.mode("append").option(NO_SUCCESS_FILE, "false").parquet(folder)
+    dated.write.mode("append").options(**options).option(NO_SUCCESS_FILE, "false").parquet(folder)
     files = {name: size for name, size in _files(spark, folder).items() if name not in before}
     put_mark(spark, f"{root.rstrip('/')}/{COMMITS}/{snapshot_date}", f"{commit:012d}", {"files": files, "schema": dated.schema.jsonValue()})
     _clear(spark, root, snapshot_date, commit, before)
@@ -131,7 +131,7 @@ def _read(spark: SparkSession, found: tuple[list[str], T.StructType | None], sch
     return reader.parquet(*files)
 
 
-def read_snapshot(spark: SparkSession, root: str, snapshot_date: dt.date | str, schema: T.StructType) -> DataFrame:
+def read_snapshot(spark: SparkSession, root: str, snapshot_date: dt.date | str, schema: T.StructType | None = None) -> DataFrame:
     """The last committed snapshot of one date, whatever other dates there are; without the
     date column. Raises if there is none."""
     found = _committed(spark, root, snapshot_date)

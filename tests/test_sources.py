@@ -309,3 +309,33 @@ def test_counters_of_a_stream(spark, tmp_path):
         (0, "raw_games", "rows"): 1, (0, "raw_games", "null_pgn"): 1, (1, "raw_games", "rows"): 2, (1, "raw_games", "null_pgn"): 1,
     }
     assert audit._WATCHED[folder] == []
+
+
+def games_of(spark, n=4000):
+    """Two plies for each of n games; `Hot` is in every third of them, others in one each."""
+    white = "CASE WHEN id % 3 = 0 THEN 'Hot' WHEN id = 5 THEN NULL ELSE concat('P', id) END"
+    return spark.range(n).selectExpr("id AS Game_Number", f"{white} AS White", "concat('q', id) AS Black", "explode(array(1, 2)) AS Move_Number").withColumn(
+        "Player_To_Move", F.expr("CASE WHEN Move_Number = 1 THEN White ELSE Black END")
+    )
+
+
+def test_a_layout_by_player_reads_one_player(spark, tmp_path):
+    root, rows = str(tmp_path / "players"), games_of(spark)
+    ps.write_by_player(rows, root, "2024-01-01", partitions=16, row_group_bytes=1 << 16)
+    stored = ps.latest_snapshot(spark, root)
+    assert stored.count() == 2 * (2 * 4000 - 1)  # each ply under both names, but for the one missing
+    sizes = [r["count"] for r in stored.withColumn("f", F.input_file_name()).groupBy("f").count().collect()]
+    assert len(sizes) >= 12 and max(sizes) < 3 * min(sizes)  # the hot player is spread
+    one = ps.read_player(spark, root, "p100")
+    shown = one._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(player), EqualTo(player,p100)]" in shown
+    plan = one._jdf.queryExecution()
+    assert {(r.Game_Number, r.Move_Number) for r in one.collect()} == {(100, 1), (100, 2)}
+    leaf = plan.executedPlan().collectLeaves().apply(0)
+    assert leaf.metrics().apply("numOutputRows").value() < stored.count() / 8  # other row groups are not read
+    assert ps.read_player(spark, root, "HOT").count() == 2 * 1334
+    assert ps.read_player(spark, root, "nobody").count() == 0
+    assert ps.read_player(spark, root, "Q5", rows.schema, "2024-01-01").columns == rows.columns
+    assert ps.read_player(spark, root, "Q5", rows.schema, "2024-01-01").count() == 2
+    names = ps.by_player(spark.createDataFrame([(1, "A", "a"), (2, None, None)], "g int, White string, Black string"))
+    assert [(r.g, r.player) for r in names.collect()] == [(1, "a")]
