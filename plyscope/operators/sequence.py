@@ -18,6 +18,8 @@ MAX_PLY = 2**63 - 1
 GAME_KEY = "struct({game} IS NULL AS none, {game} AS name)"
 BROKEN_PROMISE = "CAST(raise_error('a ply beyond the first chunk, although long_games=none') AS BIGINT)"
 BROADCAST_GAMES = 100_000
+#: Chunks, or blocks of chunks, that are put in order together.
+WIDE = 64
 
 MEANS = ("ACPL_White", "ACPL_Black", "Game_Accuracy_White", "Game_Accuracy_Black")
 
@@ -102,7 +104,8 @@ def score_plies(
     means = {m: f"_m_{m}" for m in MEANS}
     before = {"pev": "_pev", "pw": "_pw", "pd": "_pd"}
     if several is not None:
-        bridge = _chunk_bridge(several, measures, key, ply, skip_first)
+        levels = _levels(cut, ply, chunk_plies, long_games)
+        bridge = _chunk_bridge(several, measures, key, ply, skip_first, levels)
         rows = rows.join(bridge, [key, "_chunk"], "left")
         before = {c: f"_x{c}" for c in before}
         rows = rows.selectExpr("*", *[f"CASE WHEN _head THEN _b{c} ELSE _{c} END AS {x}" for c, x in before.items()])
@@ -125,6 +128,18 @@ def _elsewhere(ply: str, chunk_plies: int) -> str:
     return f"{ply} IS NULL OR {ply} > {chunk_plies} OR {ply} <= {1 - chunk_plies}"
 
 
+def _levels(cut: DataFrame, ply: str, chunk_plies: int, long_games: str) -> int:
+    """How many times chunks are gathered into blocks of `WIDE`, so that no game, however long,
+    has more of them in one task. Looked up as `long_games` has it; 2 serve any game of up to
+    a thousand million plies."""
+    if long_games == "all":
+        return 2
+    for level in (0, 1):
+        if cut.where(_elsewhere(ply, chunk_plies * WIDE ** (level + 1))).isEmpty():
+            return level
+    return 2
+
+
 def _several_chunks(cut: DataFrame, game: str, ply: str, chunk_plies: int, long_games: str) -> DataFrame | None:
     """Rows of games that may have more than one chunk; None if there are none.
 
@@ -167,7 +182,7 @@ def _within_chunks(cut: DataFrame, game: str, ply: str, skip_first: bool) -> tup
 
 
 def _chunk_bridge(
-    several: DataFrame, measures: dict[str, str], game: str, ply: str, skip_first: bool
+    several: DataFrame, measures: dict[str, str], game: str, ply: str, skip_first: bool, levels: int = 0
 ) -> DataFrame:
     """One row per chunk: the scores before its first ply, and the side means of the
     whole game. Heads of chunks are left out of the chunk's sums, since their loss
@@ -175,26 +190,51 @@ def _chunk_bridge(
     rows, _ = _within_chunks(several, game, ply, skip_first)
     of_head = {"_hply": ply, "_hev": "_ev", "_hw": "_w", "_hd": "_d"}
     folds = {name: f"max(CASE WHEN _head THEN {x} END)" for name, x in of_head.items()}
-    folds |= {f"_t{c}": f"max_by(_{c}, _ord)" for c in ("ev", "w", "d")}
+    folds["_tail"] = "max_by(struct(_ev AS ev, _w AS w, _d AS d), _ord)"
     folds |= {f"_s_{m}": f"sum(CASE WHEN NOT _head THEN {x} END)" for m, x in measures.items()}
     folds |= {f"_n_{m}": f"count(CASE WHEN NOT _head THEN {x} END)" for m, x in measures.items()}
     chunks = rows.groupBy(game, "_chunk").agg(*[F.expr(x).alias(name) for name, x in folds.items()])
 
-    by_chunk = f"OVER (PARTITION BY {game} ORDER BY _chunk)"
     heads = _scored("_hply", "_hev", "_hw", "_hd", "_bpev", "_bpw", "_bpd")
-    chunks = chunks.selectExpr("*", *[f"lag(_t{c}) {by_chunk} AS _bp{c}" for c in ("ev", "w", "d")]).selectExpr(
-        "*", *_named({k: heads[k] for k in ("CentiPawnLoss", "delta", "move_accuracy")}, "_h_")
-    )
+    chunks = tails_before(chunks, game, "_chunk", levels).selectExpr("*", *[f"_before.{c} AS _bp{c}" for c in ("ev", "w", "d")])
+    chunks = chunks.selectExpr("*", *_named({k: heads[k] for k in ("CentiPawnLoss", "delta", "move_accuracy")}, "_h_"))
     own = _measures("_hply", "_h_CentiPawnLoss", "_h_delta", "_h_move_accuracy", skip_first)
-    whole = f"OVER (PARTITION BY {game})"
-    means = {
-        m: f"sum(coalesce(_s_{m}, 0) + coalesce({x}, 0)) {whole}"
-        f" / nullif(sum(_n_{m} + CASE WHEN {x} IS NOT NULL THEN 1 ELSE 0 END) {whole}, 0)"
-        for m, x in own.items()
-    }
+    sums = {f"_w_{m}": f"coalesce(_s_{m}, 0) + coalesce({x}, 0)" for m, x in own.items()}
+    sums |= {f"_k_{m}": f"_n_{m} + CASE WHEN {x} IS NOT NULL THEN 1 ELSE 0 END" for m, x in own.items()}
+    chunks = with_totals(chunks.selectExpr(game, "_chunk", "_bpev", "_bpw", "_bpd", *_named(sums)), game, "_chunk", tuple(sums), levels)
+    means = {m: f"_w_{m} / nullif(_k_{m}, 0)" for m in own}
     return chunks.selectExpr(game, "_chunk", "_bpev", "_bpw", "_bpd", *_named(means, "_b_"))
 
 
+def tails_before(rows: DataFrame, game: str, place: str, levels: int) -> DataFrame:
+    """Adds to rows (game, place, _tail) the tail of the row before in the game, as `_before`.
+
+    With levels, rows are gathered into blocks of `WIDE` places: inside a block a window tells
+    what came before, and the first of a block is told by the blocks, which are rows of the
+    same kind. So no task holds more of one game than a block, or the blocks at the top.
+    """
+    if not levels:
+        return rows.selectExpr("*", f"lag(_tail) OVER (PARTITION BY {game} ORDER BY {place}) AS _before")
+    block, own = f"{place}_of", rows.columns
+    rows = rows.selectExpr("*", f"{place} div {WIDE} AS {block}")
+    blocks = rows.groupBy(game, block).agg(F.expr(f"max_by(_tail, {place})").alias("_tail"))
+    blocks = tails_before(blocks, game, block, levels - 1).selectExpr(game, block, "_before AS _carried")
+    in_block = f"OVER (PARTITION BY {game}, {block} ORDER BY {place})"
+    rows = rows.selectExpr("*", f"lag(_tail) {in_block} AS _near", f"row_number() {in_block} = 1 AS _edge")
+    return rows.join(blocks, [game, block]).selectExpr(*own, "CASE WHEN _edge THEN _carried ELSE _near END AS _before")
+
+
+def with_totals(rows: DataFrame, game: str, place: str, sums: tuple[str, ...], levels: int) -> DataFrame:
+    """Rows with the sums of their game in place of their own, handed up and down by blocks."""
+    if not levels:
+        others = [c for c in rows.columns if c not in sums]
+        return rows.selectExpr(*others, *[f"sum({c}) OVER (PARTITION BY {game}) AS {c}" for c in sums])
+    block = f"{place}_of"
+    rows = rows.selectExpr("*", f"{place} div {WIDE} AS {block}")
+    blocks = rows.groupBy(game, block).agg(*[F.sum(c).alias(c) for c in sums])
+    return rows.drop(*sums).join(with_totals(blocks, game, block, sums, levels - 1), [game, block]).drop(block)
+
+
 def side_aggregates(scored: DataFrame, keys: tuple[str, ...] = ("Game_Number",)) -> DataFrame:
     """One row per game: the four side means and the number of plies.
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import plyscope as ps
 from plyscope.functions import scoring as sc
+from plyscope.operators import sequence
 from tests.helpers import check_scored, moves
 
 GAME1 = [
@@ -174,3 +175,33 @@ def test_perspectives(spark):
     assert same.collect() == df.collect()
     with pytest.raises(ValueError):
         ps.normalise_scores(df, eval_perspective="up")
+
+
+@pytest.mark.parametrize("wide, mode", [(2, "check"), (3, "check"), (3, "all"), (64, "all")])
+def test_carry_over_blocks_of_chunks(spark, monkeypatch, wide, mode):
+    """Long games with gaps, rows without a ply and a NULL game, over two levels of blocks."""
+    monkeypatch.setattr(sequence, "WIDE", wide)
+    rnd = random.Random(wide)
+    rows = []
+    for game, n in ((1, 90), (None, 61), (3, 7), (4, 1)):
+        for ply in sorted(rnd.sample(range(1, 2 * n), n - 1)) + [None]:
+            w, d = rnd.randint(0, 700), rnd.randint(0, 300)
+            rows.append((game, ply, rnd.choice([None, rnd.randint(-300, 300)]), rnd.choice([None, [w, d, 1000 - w - d]])))
+    cut = moves(spark, rows).selectExpr("*", "coalesce(Move_Number, 9223372036854775807) AS _o").selectExpr("*", "(_o - 1) div 2 AS _chunk")
+    assert sequence._levels(cut, "Move_Number", 2, mode) == 2
+    check_scored(ps.score_plies(moves(spark, rows), chunk_plies=2, long_games=mode), rows)
+
+
+def test_no_task_holds_a_very_long_game(spark):
+    """The chunks of one game of fifty million plies: no window sees more than a hundredth."""
+    n = 50_000_000 // sequence.CHUNK_PLIES
+    chunks = spark.range(n).selectExpr("1L AS g", "id AS _chunk", "struct(id AS ev) AS _tail", "1L AS k")
+    told = sequence.tails_before(chunks, "g", "_chunk", 2)
+    assert told.where("NOT (_before.ev <=> IF(_chunk = 0, NULL, _chunk - 1))").count() == 0
+    assert sequence.with_totals(chunks.drop("_tail"), "g", "_chunk", ("k",), 2).where(f"k <> {n}").count() == 0
+    plan = told._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") >= 3
+    for level in (1, 2):
+        per_key = chunks.selectExpr(f"_chunk div {sequence.WIDE ** (level - 1)} AS at").distinct().groupBy(F.expr(f"at div {sequence.WIDE}")).count()
+        assert per_key.agg(F.max("count")).first()[0] <= n / 100
+    assert n // sequence.WIDE**2 + 1 <= n / 100  # the blocks at the top
