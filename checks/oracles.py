@@ -449,4 +449,5 @@ ORACLES: dict[str, str] = {
     "incremental_performance": performance("true", *TEXT, scored("tx")),
 }
 ORACLES["name_openings_shuffle"] = ORACLES["name_openings"]
+ORACLES["move_analysis_arrays"] = ORACLES["move_analysis"]
 ORACLES["player_layout"] = ORACLES["player_filter"]

@@ -169,6 +169,13 @@ def side_aggregates(spark, sf):
 # --- reports -----------------------------------------------------------------
 
 
+def move_analysis_arrays(spark, sf):
+    """Games kept as arrays of at most 50 plies, so that games have up to three."""
+    path = shared_dir(spark, "chunks")
+    ps.game_chunks(views.moves(spark, sf), chunk_plies=50).write.parquet(path)
+    return analysis_out(ps.score_chunks(spark.read.parquet(path)))
+
+
 def player_filter(spark, sf):
     return analysis_out(ps.for_player(scored(spark, sf), PLAYER, ("White", "Black")))
 
@@ -571,6 +578,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         move_analysis_long_games,
         move_analysis_null_game,
         move_analysis_long_ordered,
+        move_analysis_arrays,
         eval_fields,
         wdl_from_end,
         player_to_move,

@@ -1,3 +1,4 @@
+from .arrays import game_chunks, score_chunks  # noqa: F401
 from .games import (  # noqa: F401
     build_moves,
     distinct_games,

@@ -194,7 +194,12 @@ def _chunk_bridge(
     folds |= {f"_s_{m}": f"sum(CASE WHEN NOT _head THEN {x} END)" for m, x in measures.items()}
     folds |= {f"_n_{m}": f"count(CASE WHEN NOT _head THEN {x} END)" for m, x in measures.items()}
     chunks = rows.groupBy(game, "_chunk").agg(*[F.expr(x).alias(name) for name, x in folds.items()])
+    return bridge_chunks(chunks, game, skip_first, levels)
 
+
+def bridge_chunks(chunks: DataFrame, game: str, skip_first: bool, levels: int) -> DataFrame:
+    """The bridge from one row per chunk: its head (`_hply`, `_hev`, `_hw`, `_hd`), its `_tail`,
+    and sums and counts of the measures of all plies but the head (`_s_`, `_n_`)."""
     heads = _scored("_hply", "_hev", "_hw", "_hd", "_bpev", "_bpw", "_bpd")
     chunks = tails_before(chunks, game, "_chunk", levels).selectExpr("*", *[f"_before.{c} AS _bp{c}" for c in ("ev", "w", "d")])
     chunks = chunks.selectExpr("*", *_named({k: heads[k] for k in ("CentiPawnLoss", "delta", "move_accuracy")}, "_h_"))

@@ -205,3 +205,32 @@ def test_no_task_holds_a_very_long_game(spark):
         per_key = chunks.selectExpr(f"_chunk div {sequence.WIDE ** (level - 1)} AS at").distinct().groupBy(F.expr(f"at div {sequence.WIDE}")).count()
         assert per_key.agg(F.max("count")).first()[0] <= n / 100
     assert n // sequence.WIDE**2 + 1 <= n / 100  # the blocks at the top
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 16, 4096])
+@pytest.mark.parametrize("skip_first", [False, True])
+def test_arrays_of_plies_match_brute_force(spark, chunk, skip_first):
+    rows = [r for r in random_rows(chunk + 20) if r[1] is not None]
+    rows += [(None, n, n * 37 % 601 - 300, [n * 13 % 700, n % 300, 0]) for n in range(1, 12)] + [(99, None, 4, [1, 2, 3])]
+    df = ps.score_chunks(ps.game_chunks(moves(spark, rows), chunk_plies=chunk), skip_first=skip_first)
+    check_scored(df, rows, skip_first=skip_first)
+
+
+def test_arrays_are_scored_without_a_shuffle_of_plies(spark, tmp_path, monkeypatch):
+    from plyscope.operators import arrays
+
+    path = str(tmp_path / "chunks")
+    rows = [(g, n, n * 37 % 601 - 300, [n * 13 % 700, n % 300, 0]) for g in range(1, 30) for n in range(1, 20 if g < 28 else 60)]
+    ps.game_chunks(moves(spark, rows), chunk_plies=20).write.parquet(path)
+    df = ps.score_chunks(spark.read.parquet(path))
+    assert df.count() == len(rows)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # Only the bridge is shuffled: the scan that gives the plies is joined to a broadcast.
+    plies = plan[plan.index("Generate inline"):].split("BroadcastExchange")[0]
+    assert "BroadcastHashJoin" in plies and "Exchange" not in plies and "Window" not in plies and "Sort" not in plies
+    short = ps.score_chunks(spark.read.parquet(path).where("Game_Number < 28"))
+    assert "Exchange" not in short._jdf.queryExecution().executedPlan().toString()
+    check_scored(df, rows)
+    monkeypatch.setattr(arrays, "bounded_broadcast", lambda df: (df, False))  # beyond a broadcast
+    check_scored(ps.score_chunks(spark.read.parquet(path)), rows)
+    assert ps.score_chunks(spark.read.parquet(path).where("false")).count() == 0
