@@ -16,9 +16,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from plyscope.llm.common import fold, set_aside, slices, table
+from plyscope.operators.report import bounded_broadcast
+from plyscope.session import land
 
 BITS = 18
 UNKNOWN = "und"
@@ -102,6 +103,22 @@ class Model:
         return names, np.where(lettered, p[np.arange(len(best)), best], 0.0)
 
 
+def _least_by_hash(rows: DataFrame, n: int, salts: int = 256) -> DataFrame:
+    """(y, t, k): of each y the n rows of smallest hash, of id and then of text, with their place.
+
+    Hashes are sorted out first, in two folds, so that a task sees at most n of them for each
+    y and salt; only texts of the chosen rows are then shuffled. Equal rows have equal hashes:
+    one text comes for all of them.
+    """
+    hashed = rows.select("y", "t", F.xxhash64("d").alias("a"), F.xxhash64("t").alias("b"))
+    place = "row_number() OVER (PARTITION BY {} ORDER BY a, b)"
+    few = hashed.selectExpr("y", "a", "b", f"pmod(b, {salts}) AS salt").selectExpr("*", f"{place.format('y, salt')} AS k").where(f"k <= {n}")
+    few = few.selectExpr("y", "a", "b", f"{place.format('y')} AS k").where(f"k <= {n}")
+    chosen, _ = bounded_broadcast(land(few.groupBy("y", "a", "b").agg(F.collect_list("k").alias("ks")), "chosen"))
+    texts = hashed.join(chosen, ["y", "a", "b"]).groupBy("y", "a", "b").agg(F.first("t").alias("t"), F.first("ks").alias("ks"))
+    return texts.select("y", "t", F.explode("ks").alias("k"))
+
+
 def train(
     rows: DataFrame,
     text: str = "text",
@@ -115,14 +132,13 @@ def train(
 ) -> Model | None:
     """Fits on a bounded sample: the `rows_per_language` rows of smallest id hash per language.
 
-    Whole texts count. Rows with null language, or without a letter, teach nothing; with no
+    Whole texts count; repeated rows are rows of their own. Rows with null language, or without a letter, teach nothing; with no
     row left there is no model. Landmark texts come to the driver; of the other sampled rows
     only the kernel values do.
     """
     rows = rows.select(F.col(text).alias("t"), F.col(lang).alias("y"), F.col(doc_id).alias("d"))
     rows = rows.where("t IS NOT NULL AND y IS NOT NULL").where(F.col("t").rlike(r"\p{L}"))
-    order = Window.partitionBy("y").orderBy(F.xxhash64("d"), F.xxhash64("t"))
-    ranked = rows.select("y", "t", "d").withColumn("k", F.row_number().over(order)).where(f"k <= {rows_per_language}")
+    ranked = land(_least_by_hash(rows, rows_per_language), "language-sample")
     marks = ranked.where(f"k <= {landmarks_per_language}").orderBy("y", "k").select("t", "y").collect()
     if not marks:
         return None
