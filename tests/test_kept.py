@@ -156,7 +156,7 @@ def test_kept_reports_equal_the_batch(spark, sf, monkeypatch):
             "pgn": F.expr("CASE WHEN Game_Number % 4 = 3 THEN concat(substring_index(pgn, '1. ', 1), '1. a4 a5 2. h4') ELSE pgn END"),
         }
     )
-    for drop in (wrong.where("Game_Number % 4 <> 1"), text.where("Game_Number % 4 <> 1"), text.where("Game_Number % 4 <> 0"), text):
+    for drop in (wrong.where("Game_Number % 4 <> 1"), text.where("Game_Number % 4 <> 0"), text):
         views.land_documents(drop, landing)
         done = ps.weekly_run(spark, landing, target, demo_scorer, range_games=5, **options)
     want = check_reports(spark, done, landing, **options)
