@@ -12,7 +12,7 @@ from plyscope.schemas import ARCHIVE
 from plyscope.session import shared_dir
 from plyscope.sources.archive import archive_options
 from plyscope.sources.tables import filesystem
-from plyscope.streaming import intake
+from plyscope.streaming import intake, scorebook
 
 COLUMNS = ("game_key", "Move_Number", "Move", "Evaluation", "WDL Stats", "White", "Black", "End_Date", "Result")
 
@@ -188,10 +188,16 @@ def test_a_batch_that_crashed_runs_again(spark, sf, whole, monkeypatch, crash_af
         if path.endswith(crash_after):
             raise RuntimeError("lost")
 
-    monkeypatch.setattr(intake, "_replace", crash)
-    with pytest.raises(RuntimeError):
-        ps.add_games(second, target, "s-1", demo_scorer)
-    monkeypatch.setattr(intake, "_replace", real)
+    def after_scores(moves, scores):
+        raise RuntimeError("lost")  # they are written, and about to be joined
+
+    with monkeypatch.context() as m:
+        if crash_after == "scores":
+            m.setattr(scorebook, "score_join", after_scores)
+        else:
+            m.setattr(intake, "_replace", crash)
+        with pytest.raises(RuntimeError):
+            ps.add_games(second, target, "s-1", demo_scorer)
     ps.add_games(second, target, "s-1", demo_scorer)
     assert rows(spark.read.parquet(f"{target}/moves")) == rows(whole.moves)
 
