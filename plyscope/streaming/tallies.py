@@ -63,8 +63,9 @@ def _kept(spark: SparkSession, target: str, table: str, runs: list[str]) -> Data
 
 
 def _folded(rows: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
-    """Sums by `keys`, without what has been taken away whole."""
-    return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums]).where("n <> 0")
+    """Sums by `keys`, without those that are all zero. A run may add one mistake to a key and
+    take another away: the counts then cancel out, and the losses do not."""
+    return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums]).where(" OR ".join(f"{c} <> 0" for c in sums))
 
 
 def _plies_of(spark: SparkSession, target: str, change: Changes) -> DataFrame:
