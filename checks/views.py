@@ -5,11 +5,13 @@ The views are plain projections of `events`, or keyed on a game of bounded lengt
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plyscope.session import shared_dir
-from plyscope.sources.tables import filesystem
+from plyscope.sources.tables import exists, filesystem
 
 # Which written move stands for which event type.
 MOVE_OF_EVENT = {
@@ -22,6 +24,8 @@ MOVE_OF_EVENT = {
 CLUB_GAMES = 256
 CLUB = f"concat('club', Game_Number div {CLUB_GAMES})"
 NO_GAME_TEXT = "not a game record"
+#: Documents that are moved into a landing at a time.
+MOVERS = 16
 
 MOVE = "CASE event_type " + " ".join(f"WHEN '{e}' THEN '{m}'" for e, m in MOVE_OF_EVENT.items()) + " END"
 
@@ -169,20 +173,37 @@ def write_archive(texts: DataFrame, path: str, marks: bool = True) -> str:
     return path
 
 
+def _paths(spark: SparkSession, folder: str) -> list[str]:
+    """The files below a folder; their contents are not read."""
+    if not exists(spark, folder):
+        return []
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return [r.path for r in files.select("path").collect()]
+
+
 def land_documents(texts: DataFrame, path: str) -> str:
-    """Lands each document under a name of its own; one that is there is replaced."""
+    """Lands each document under a name of its own; one that is there is replaced.
+
+    The files are listed by Spark and moved by threads, a few calls for each.
+    """
     spark = texts.sparkSession
     fresh = write_archive(texts, shared_dir(spark, "documents"), marks=False)
-    fs, root = filesystem(spark, fresh)
-    found = fs.listFiles(root, True)
-    while found.hasNext():
-        file = found.next().getPath()
-        if file.getName().startswith("part-"):
-            place = file.getParent()
-            _, to = filesystem(spark, f"{path}/{place.getParent().getName()}/{place.getName()}/doc.json")
-            fs.mkdirs(to.getParent())
+    fs, _ = filesystem(spark, path)
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    month = lambda file: "/".join(file.split("/")[-3:-1])
+    there = {month(f) for f in _paths(spark, path) if f.endswith("/doc.json")}
+
+    def move(file: str) -> None:
+        to = location(f"{path}/{month(file)}/doc.json")
+        if month(file) in there:
             fs.delete(to, False)
-            fs.rename(file, to)
+        else:
+            fs.mkdirs(to.getParent())
+        if not fs.rename(location(file), to):
+            raise OSError(f"{file} was not moved to {to}")
+
+    with ThreadPoolExecutor(MOVERS) as movers:
+        list(movers.map(move, {month(f): f for f in _paths(spark, fresh)}.values()))
     return path
 
 

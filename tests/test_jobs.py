@@ -236,3 +236,32 @@ def test_each_position_is_scored_once(spark):
 
     assert ps.score_table(moves.repartition(6), counting, partitions=2).agg(F.count("*")).first()[0] == 3
     assert seen.value == 3
+
+
+def test_landing_a_document_takes_few_calls_to_the_driver(spark, tmp_path, monkeypatch):
+    """Documents come by the ten thousand; each call for one of them is paid as often."""
+    client, calls = spark.sparkContext._gateway._gateway_client, []
+    send = client.send_command
+
+    def counted(command, *args, **options):
+        if not command.startswith("m\n"):  # no mere release of an object
+            calls.append(command)
+        return send(command, *args, **options)
+
+    monkeypatch.setattr(client, "send_command", counted)
+
+    def land(n, version):
+        texts = spark.range(n).selectExpr(
+            "concat('p', id) AS player", "'2024-01' AS month", "concat('u', id) AS url", f"concat('1. e4 ', '{version}') AS pgn", "id AS end_time"
+        )
+        calls.clear()
+        views.land_documents(texts, str(tmp_path / f"of-{n}"))
+        return len(calls)
+
+    for version in ("first", "second"):
+        few, many = land(5, version), land(45, version)
+        assert (many - few) / 40 <= 12, (version, few, many)
+    docs = ps.flatten_archive(ps.read_archive(spark, str(tmp_path / "of-45"))).collect()
+    assert sorted((d.player, d.pgn) for d in docs) == sorted((f"p{i}", "1. e4 second") for i in range(45))
+    files = [f for _, _, fs in os.walk(tmp_path / "of-45") for f in fs]
+    assert {f for f in files if not f.startswith(".")} == {"doc.json"}
