@@ -161,8 +161,10 @@ def game_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_archive(texts: DataFrame, path: str, marks: bool = True) -> str:
     """AJ. Lands `player=/month=` documents; with `marks` also a month without games
-    and one that is not JSON."""
-    docs = texts.groupBy("player", "month").agg(
+    and one that is not JSON. What a document costs is its file, not its bytes, so the
+    documents are dealt to as many tasks as there are shuffle partitions."""
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    docs = texts.repartition(tasks, "player", "month").groupBy("player", "month").agg(
         F.expr("to_json(named_struct('games', sort_array(collect_list(struct(url, pgn, end_time)))))").alias("value")
     )
     if marks:
