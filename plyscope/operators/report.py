@@ -200,15 +200,17 @@ def mistakes_in_context(
 ) -> DataFrame:
     """A player's mistakes, each with the kind of the move just made and how the game stood.
 
-    The move before is met by a join on game and ply, which spreads a long game evenly. A NULL
-    game is a game like any other; of several moves at one ply the first kind by name counts.
+    The move before is met by a join on game and ply, which spreads a long game evenly. It is
+    a merge, which spills: Spark takes plies in written tables for as small as their files, a
+    fraction of their size, and would broadcast every ply to every task. A NULL game is a game
+    like any other; of several moves at one ply the first kind by name counts.
     """
     by = sequence.GAME_KEY.format(game=game)  # never NULL, so that its rows meet
     mistakes = _mistakes(scored, player, bands).selectExpr(
         f"{by} AS _g", "Move_Number AS _ply", "player", "kind", f"{STATES} AS state", "game_phase", f"{STEPS} AS steps", *keep
     )
     moves = scored.selectExpr(f"{by} AS _g", "Move_Number + 1 AS _ply", f"{MOVE_KINDS.format('Move')} AS _kind")
-    moves = _agg(moves, ("_g", "_ply"), _kind="min(_kind)")
+    moves = _agg(moves, ("_g", "_ply"), _kind="min(_kind)").hint("merge")
     return mistakes.join(moves, ["_g", "_ply"], "left").selectExpr("*", "coalesce(_kind, 'none') AS after_move")
 
 

@@ -112,6 +112,15 @@ def test_a_position_that_most_plies_share_is_split(spark, tmp_path):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_moves_before_mistakes_are_never_broadcast(spark, sf, tmp_path):
+    path = str(tmp_path / "scored")
+    queries.scored(spark, sf).write.parquet(path)
+    found = ps.blunder_triggers(spark.read.parquet(path))
+    text = plan(found)
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+    assert sorted(found.collect()) == sorted(queries.blunder_triggers(spark, sf).collect())
+
+
 def test_no_cartesian_product_anywhere(spark, sf):
     for name in ("opening_repertoire", "name_openings", "analysis_context", "score_join", "performance_summary"):
         df = queries.QUERIES[name](spark, sf)
